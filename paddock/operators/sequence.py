@@ -17,6 +17,12 @@ operators here avoid that:
    joined back by broadcast with that proven bound.
 
 The result equals the single-window result exactly, given a total order.
+
+The split costs two shuffles where a plain window needs one (or none when the
+input is already partitioned by the key), so ``skew="auto"`` first measures the
+largest group with one partial aggregate and uses the plain window when it is
+below ``paddock.maxGroupRows`` (default 1,000,000 rows): one task then holds at
+most that many rows of a key. ``skew="split"`` / ``"plain"`` force a path.
 """
 
 from __future__ import annotations
@@ -73,6 +79,26 @@ def release() -> None:
         _PERSISTED.pop().unpersist()
 
 
+def max_group_rows(spark) -> int:
+    return int(spark.conf.get("paddock.maxGroupRows", "1000000"))
+
+
+def needs_split(df: DataFrame, keys: Sequence[str], skew: str = "auto",
+                probe: DataFrame | None = None) -> bool:
+    """Decide between the plain window and the block split.
+
+    ``probe``: optional cheaper frame with the same key columns (e.g. the raw
+    fact table before joins) to measure group sizes on.
+    """
+    if skew == "split":
+        return True
+    if skew == "plain":
+        return False
+    src = probe if probe is not None else df
+    top = src.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return top is not None and top > max_group_rows(df.sparkSession)
+
+
 def _groups(xb: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per (block, key): row count, rows of the key in earlier blocks, next block."""
     kw = Window.partitionBy(*keys).orderBy(_BLK)
@@ -85,11 +111,15 @@ def _groups(xb: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  name: str = "pos", parts: int | None = None) -> DataFrame:
+                  name: str = "pos", parts: int | None = None, skew: str = "auto",
+                  probe: DataFrame | None = None) -> DataFrame:
     """Add ``name``: 0-based position of the row inside its key, in ``order``.
 
     Equivalent to ``row_number() over (partition by keys order by order) - 1``.
     """
+    if not needs_split(df, keys, skew, probe):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
     xb = blocked(df, keys, order, parts)
     w = Window.partitionBy(_BLK, *keys).orderBy(*_cols(order))
     x = xb.withColumn("_lrn", F.row_number().over(w) - 1)
@@ -103,7 +133,8 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n
             means: Mapping[str, Column] | None = None,
             lags: Mapping[str, Column] | None = None,
             count_name: str | None = None,
-            parts: int | None = None) -> DataFrame:
+            parts: int | None = None, skew: str = "auto",
+            probe: DataFrame | None = None) -> DataFrame:
     """Per-key history over the ``n`` preceding rows (current row excluded).
 
     ``means``: output name -> value; mean of the non-null values among the
@@ -114,6 +145,13 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n
     """
     means = dict(means or {})
     lags = dict(lags or {})
+    if not needs_split(df, keys, skew, probe):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order))
+        res = {k: F.avg(c.cast("double")).over(w.rowsBetween(-n, -1)) for k, c in means.items()}
+        res.update({k: F.lag(c, 1).over(w) for k, c in lags.items()})
+        if count_name:
+            res[count_name] = (F.row_number().over(w) - 1).cast("long")
+        return df.withColumns(res)
     vals = {f"_v{i}": c.cast("double") for i, c in enumerate(means.values())}
     lvs = {f"_l{i}": c for i, c in enumerate(lags.values())}
     xb = blocked(df.withColumns({**vals, **lvs}) if (vals or lvs) else df, keys, order, parts)
