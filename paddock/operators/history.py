@@ -71,13 +71,17 @@ def add_targets(df: DataFrame) -> DataFrame:
 
 
 def prepare_for_training(raw: DataFrame, order: Sequence[str], n: int = N_PAST,
-                         skew: str = "auto") -> DataFrame:
-    """Drop rows without an outcome, add horse and jockey history and targets."""
+                         skew: str | tuple[str, str] = "auto") -> DataFrame:
+    """Drop rows without an outcome, add horse and jockey history and targets.
+
+    ``skew``: one mode for both entities or a (horse, jockey) pair.
+    """
+    hs, js = (skew, skew) if isinstance(skew, str) else skew
     df = raw.filter(F.col("finish_position").isNotNull())                      # D1
     if "age" in df.columns and "horse_age" not in df.columns:                  # D13
         df = df.withColumnRenamed("age", "horse_age")
-    df = horse_history(df, order, n, skew=skew)
-    df = jockey_history(df, order, n, skew=skew)
+    df = horse_history(df, order, n, skew=hs)
+    df = jockey_history(df, order, n, skew=js)
     return add_targets(df)
 
 

@@ -73,6 +73,13 @@ def blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return xb
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a frame read by several branches of one plan (see ``release``)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
 def release() -> None:
     """Unpersist the block frames created so far (call after the action)."""
     while _PERSISTED:
@@ -209,3 +216,29 @@ def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n
     out = out.withColumns(res)
     keep = [c for c in df.columns if c not in res] + list(res)
     return out.select(*keep)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                cols: Sequence[str], suffix: str = "_before", parts: int | None = None,
+                skew: str = "auto") -> DataFrame:
+    """Add ``{c}{suffix}``: sum of ``c`` over the rows strictly before, per key.
+
+    With ``keys=[]`` the order is global; the plain path would then be a
+    single-partition window, so it is only taken when the whole input is
+    below the group-size bound.
+    """
+    if not needs_split(df, keys, skew):
+        w = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"{c}{suffix}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    xb = blocked(df, keys, order, parts)
+    w = Window.partitionBy(_BLK, *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
+    x = xb.withColumns({f"_rs_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    kw = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
+    tot = xb.groupBy(_BLK, *keys).agg(*[F.sum(c).alias(f"_gt_{c}") for c in cols])
+    off = tot.select(_BLK, *keys, *[F.coalesce(F.sum(f"_gt_{c}").over(kw), F.lit(0)).alias(f"_go_{c}")
+                                    for c in cols])                      # <= parts rows
+    out = _key_join(x, off, keys, "left", extra=[_BLK]) if keys else \
+        x.join(F.broadcast(off), _BLK, "left")
+    return (out.withColumns({f"{c}{suffix}": F.col(f"_rs_{c}") + F.coalesce(F.col(f"_go_{c}"), F.lit(0))
+                             for c in cols})
+               .drop(_BLK, *[f"_rs_{c}" for c in cols], *[f"_go_{c}" for c in cols]))

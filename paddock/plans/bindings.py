@@ -12,9 +12,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import needs_split, with_position
+from paddock.operators.sequence import max_group_rows, needs_split, with_position
 from paddock.sources.tables import table
 
+# entity key -> raw lineitem column whose group sizes equal the entity's
+_PROBE_COL = {"race_id": "l_orderkey", "horse_id": "l_partkey", "jockey_id": "l_suppkey"}
+_SKEW: dict = {}
+
+
+def skew_for(spark: SparkSession, sf_dir: str, key: str) -> str:
+    """"split" or "plain" for windows keyed by ``key``, measured once per dataset.
+
+    The largest group is measured on the raw fact column (one partial
+    aggregate over a single parquet column), not on the joined frame.
+    """
+    k = (sf_dir, key, max_group_rows(spark))
+    if k not in _SKEW:
+        col = _PROBE_COL[key]
+        probe = table(spark, sf_dir, "lineitem").select(col)
+        _SKEW[k] = "split" if needs_split(probe, [col], "auto") else "plain"
+    return _SKEW[k]
+
 # Total order of entries for every per-entity window (date, then a unique tie-break).
 HISTORY_ORDER = ["race_date", "race_id", "ln", "horse_id", "jockey_id", "price", "ship"]
 # Order of entries inside a race that defines the finish position.
@@ -67,7 +85,7 @@ def entries(spark: SparkSession, sf_dir: str, skew: str = "auto") -> DataFrame:
         (F.lit(1.0) / (F.lit(1.0) + F.col("l_quantity"))).alias("predicted_prob"),
     )
     # Group sizes are measured on the raw fact column, before the join.
-    split = needs_split(e, ["race_id"], skew, probe=li.select(F.col("l_orderkey").alias("race_id")))
+    split = (skew_for(spark, sf_dir, "race_id") if skew == "auto" else skew) == "split"
     e = with_position(e, ["race_id"], FINISH_ORDER, name="_fpos",
                       skew="split" if split else "plain")
     if split:
