@@ -149,3 +149,104 @@ def with_entries(sql: str) -> str:
     body = sql.strip()
     sep = "" if body.startswith(",") else "\n"
     return "WITH " + ENTRIES_SQL.strip() + sep + body
+
+
+# ---------------------------------------------------------------------------
+# Raw result rows as a results CSV carries them: Japanese headers, every field
+# a string, with the irregular values the normaliser has to handle (status
+# words, '1.0', two-digit ages, two-part corner strings, weights without a
+# change, bad dates). Derived from the entries so the work grows with the data.
+RAW_SQL = """
+raw AS (
+  SELECT
+    CAST(race_id AS VARCHAR) AS "レースID",
+    CASE WHEN last_3f_time IS NULL THEN '取消'
+         WHEN ln = 7 THEN CAST(finish_position AS VARCHAR) || '.0'
+         ELSE CAST(finish_position AS VARCHAR) END AS "着順",
+    CAST(bracket_number AS VARCHAR) AS "枠番",
+    CAST(post_position AS VARCHAR) AS "馬番",
+    CASE WHEN horse_id % 97 = 0 THEN '' ELSE 'ホース' || CAST(horse_id AS VARCHAR) END AS "馬名",
+    CASE WHEN jockey_id % 13 = 0 THEN sex
+         ELSE sex || CAST(2 + horse_id % 11 AS VARCHAR) END AS "性齢",
+    CAST(carried_weight AS VARCHAR) AS "斤量",
+    'ジョッキー' || CAST(jockey_id AS VARCHAR) AS "騎手",
+    CASE WHEN ln % 2 = 0 THEN CAST(ln AS VARCHAR) || '-' || CAST(finish_position AS VARCHAR)
+         WHEN ln = 5 THEN 'x-' || CAST(ln AS VARCHAR) || '-3-2'
+         ELSE CAST(ln AS VARCHAR) || '-' || CAST(ln + 1 AS VARCHAR) || '- ' || CAST(finish_position AS VARCHAR) || '-1-9' END AS "通過",
+    CAST(last_3f_time AS VARCHAR) AS "上り",
+    CAST(win_odds AS VARCHAR) AS "単勝",
+    CAST(win_favorite AS VARCHAR) AS "人気",
+    CASE WHEN ln = 6 THEN CAST(CAST(400 + weight * 2 AS INTEGER) AS VARCHAR)
+         WHEN ln = 5 THEN CAST(CAST(400 + weight * 2 AS INTEGER) AS VARCHAR) || '(x)'
+         WHEN ln = 3 THEN 'abc(+2)'
+         ELSE CAST(CAST(400 + weight * 2 AS INTEGER) AS VARCHAR) || '('
+              || CASE WHEN horse_weight_change >= 0 THEN '+' ELSE '' END
+              || CAST(CAST(round(horse_weight_change) AS INTEGER) AS VARCHAR) || ')' END AS "馬体重",
+    CAST(price AS VARCHAR) AS "賞金",
+    course AS "競馬場名",
+    CAST(distance AS VARCHAR) AS "距離",
+    weather AS "天候",
+    track_condition AS "馬場状態",
+    track_type AS "芝・ダート",
+    'R' || CAST(race_id AS VARCHAR) AS "レース名",
+    CAST(race_id % 12 + 1 AS VARCHAR) AS "レース番号",
+    grade AS "リステッド・重賞",
+    CASE WHEN race_id % 101 = 0 THEN '2001-13-01' ELSE strftime(race_date, '%Y-%m-%d') END AS "日付"
+  FROM entries
+)"""
+
+
+def _s(c) -> Column:
+    return c.cast("string")
+
+
+def raw_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw results frame (all strings, Japanese headers); see ``RAW_SQL``."""
+    e = entries(spark, sf_dir)
+    c = F.col
+    w400 = _s((F.lit(400) + c("weight") * 2).cast("int"))
+    return e.select(
+        _s(c("race_id")).alias("レースID"),
+        F.when(c("last_3f_time").isNull(), F.lit("取消"))
+         .when(c("ln") == 7, F.concat(_s(c("finish_position")), F.lit(".0")))
+         .otherwise(_s(c("finish_position"))).alias("着順"),
+        _s(c("bracket_number")).alias("枠番"),
+        _s(c("post_position")).alias("馬番"),
+        F.when(c("horse_id") % 97 == 0, F.lit(""))
+         .otherwise(F.concat(F.lit("ホース"), _s(c("horse_id")))).alias("馬名"),
+        F.when(c("jockey_id") % 13 == 0, c("sex"))
+         .otherwise(F.concat(c("sex"), _s(F.lit(2) + c("horse_id") % 11))).alias("性齢"),
+        _s(c("carried_weight")).alias("斤量"),
+        F.concat(F.lit("ジョッキー"), _s(c("jockey_id"))).alias("騎手"),
+        F.when(c("ln") % 2 == 0, F.concat_ws("-", _s(c("ln")), _s(c("finish_position"))))
+         .when(c("ln") == 5, F.concat(F.lit("x-"), _s(c("ln")), F.lit("-3-2")))
+         .otherwise(F.concat(_s(c("ln")), F.lit("-"), _s(c("ln") + 1), F.lit("- "),
+                             _s(c("finish_position")), F.lit("-1-9"))).alias("通過"),
+        _s(c("last_3f_time")).alias("上り"),
+        _s(c("win_odds")).alias("単勝"),
+        _s(c("win_favorite")).alias("人気"),
+        F.when(c("ln") == 6, w400)
+         .when(c("ln") == 5, F.concat(w400, F.lit("(x)")))
+         .when(c("ln") == 3, F.lit("abc(+2)"))
+         .otherwise(F.concat(w400, F.lit("("),
+                             F.when(c("horse_weight_change") >= 0, F.lit("+")).otherwise(F.lit("")),
+                             _s(F.round(c("horse_weight_change")).cast("int")), F.lit(")"))).alias("馬体重"),
+        _s(c("price")).alias("賞金"),
+        c("course").alias("競馬場名"),
+        _s(c("distance")).alias("距離"),
+        c("weather").alias("天候"),
+        c("track_condition").alias("馬場状態"),
+        c("track_type").alias("芝・ダート"),
+        F.concat(F.lit("R"), _s(c("race_id"))).alias("レース名"),
+        _s(c("race_id") % 12 + 1).alias("レース番号"),
+        c("grade").alias("リステッド・重賞"),
+        F.when(c("race_id") % 101 == 0, F.lit("2001-13-01"))
+         .otherwise(F.date_format("race_date", "yyyy-MM-dd")).alias("日付"),
+    )
+
+
+def with_raw(sql: str) -> str:
+    """Prefix a query that reads ``raw`` with the entries and raw CTEs."""
+    body = sql.strip()
+    sep = "" if body.startswith(",") else "\n"
+    return "WITH " + ENTRIES_SQL.strip() + ",\n" + RAW_SQL.strip() + sep + body

@@ -70,3 +70,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for intermediate files."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/paddock-scratch/{name}-{uuid.uuid4().hex[:12]}"
