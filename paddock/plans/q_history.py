@@ -200,3 +200,26 @@ def q_days_since(spark, sf):
     e = entries(spark, sf).groupBy("horse_id").agg(F.max("race_date").alias("last_race_date"))
     return e.select(F.col("horse_id").cast("long"), "last_race_date",
                     H.days_since("last_race_date", AS_OF).alias("days_since_last_race"))
+
+
+# Full training frame (every entries column + history + targets) for the oracle.
+TRAIN_SQL = f"""
+, train AS (
+  SELECT * EXCLUDE (age, win, top3), age AS horse_age,
+         avg(CAST(finish_position AS DOUBLE)) OVER hw AS avg_finish,
+         avg(win) OVER hw AS win_rate, avg(top3) OVER hw AS top3_rate,
+         avg(CAST(corner_position_4 AS DOUBLE)) OVER hw AS avg_corner_pos_4,
+         avg(last_3f_time) OVER hw AS avg_last_3f_time,
+         date_diff('day', lag(race_date) OVER ho, race_date) AS days_since_last_race,
+         row_number() OVER ho - 1 AS num_past_races,
+         avg(win) OVER jw AS jockey_win_rate, avg(top3) OVER jw AS jockey_top3_rate,
+         row_number() OVER jo - 1 AS jockey_experience,
+         CAST(finish_position = 1 AS BIGINT) AS is_win, finish_position AS actual_position
+  FROM (SELECT *, CASE WHEN finish_position = 1 THEN 1.0e0 ELSE 0.0e0 END AS win,
+               CASE WHEN finish_position <= 3 THEN 1.0e0 ELSE 0.0e0 END AS top3
+        FROM entries WHERE finish_position IS NOT NULL)
+  WINDOW ho AS (PARTITION BY horse_id ORDER BY {ORD}),
+         hw AS (PARTITION BY horse_id ORDER BY {ORD} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING),
+         jo AS (PARTITION BY jockey_id ORDER BY {ORD}),
+         jw AS (PARTITION BY jockey_id ORDER BY {ORD} ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+)"""
