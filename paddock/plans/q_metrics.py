@@ -112,22 +112,22 @@ def q_expected_value(spark, sf):
 
 
 AUC_SQL = """
-, sc AS (
+, {name}_sc AS (
   SELECT {by} predicted_prob AS s, sum(is_win) AS pos, sum(CAST(is_win = 0 AS BIGINT)) AS neg
   FROM {src} GROUP BY {by} predicted_prob
-), scw AS (
+), {name}_scw AS (
   SELECT *, COALESCE(sum(pos) OVER (PARTITION BY {part} ORDER BY s DESC
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_before FROM sc
-), auc AS (
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_before FROM {name}_sc
+), {name} AS (
   SELECT {by} CASE WHEN sum(pos) > 0 AND sum(neg) > 0
          THEN sum(neg * pos_before + 0.5 * pos * neg) / (sum(pos) * 1.0e0 * sum(neg)) ELSE 0.0 END AS auc_roc
-  FROM scw {group}
+  FROM {name}_scw {group}
 )"""
 
 
-def auc_sql(src: str = "preds", by: str = "") -> str:
+def auc_sql(src: str = "preds", by: str = "", name: str = "auc") -> str:
     return AUC_SQL.format(by=f"{by}, " if by else "", src=src, part=by or "1",
-                          group=f"GROUP BY {by}" if by else "")
+                          group=f"GROUP BY {by}" if by else "", name=name)
 
 
 @query("auc_roc", with_preds(auc_sql() + "\nSELECT round(auc_roc, 6) AS auc_roc FROM auc"))
