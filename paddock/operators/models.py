@@ -27,3 +27,250 @@ def ensemble(probs: Sequence[Column], weights: Sequence[float] | None = None,
     prob = sum((F.lit(wi) * p for wi, p in zip(w, probs)), F.lit(0.0))
     cls = sum((F.lit(wi) * (p >= class_threshold).cast("double") for wi, p in zip(w, probs)), F.lit(0.0))
     return prob, cls
+
+
+# ---------------------------------------------------------------------------
+# Spark ML models
+import datetime as _dt  # noqa: E402
+import hashlib  # noqa: E402
+import json  # noqa: E402
+import random  # noqa: E402
+
+from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
+from pyspark.ml.classification import GBTClassifier, LogisticRegression  # noqa: E402
+from pyspark.ml.feature import Imputer, VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+
+from paddock.operators import metrics as _M  # noqa: E402
+
+
+def model_frame(df: DataFrame, feature_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Cast features to double and add a missing flag per feature.
+
+    Every entity's first race has null history; GBTs reject NaN and the
+    assembler rejects null, so nulls are imputed and the flags keep the
+    'missing' signal the reference's boosting library uses natively.
+    """
+    cols = {f"_x_{c}": F.col(c).cast("double") for c in feature_cols}
+    cols.update({f"_m_{c}": F.col(c).isNull().cast("double") for c in feature_cols})
+    return df.withColumns(cols), [f"_m_{c}" for c in feature_cols]
+
+
+def _stages(feature_cols: Sequence[str], estimator) -> list:
+    xs = [f"_x_{c}" for c in feature_cols]
+    imputed = [f"_i_{c}" for c in feature_cols]
+    flags = [f"_m_{c}" for c in feature_cols]
+    return [Imputer(inputCols=xs, outputCols=imputed, strategy="mean"),
+            VectorAssembler(inputCols=imputed + flags, outputCol="features", handleInvalid="keep"),
+            estimator]
+
+
+def classifier(kind: str = "gbt", label: str = "is_win", **params):
+    """GBT (default) or logistic regression producing ``probability``."""
+    if kind == "gbt":
+        p = dict(maxIter=20, maxDepth=4, stepSize=0.1, seed=42, subsamplingRate=0.8)
+        p.update(params)
+        return GBTClassifier(labelCol=label, featuresCol="features", **p)
+    p = dict(maxIter=50, regParam=0.01)
+    p.update(params)
+    return LogisticRegression(labelCol=label, featuresCol="features", **p)
+
+
+def fit_classifier(train: DataFrame, feature_cols: Sequence[str], kind: str = "gbt",
+                   label: str = "is_win", **params) -> PipelineModel:
+    x, _ = model_frame(train, feature_cols)
+    x = x.withColumn(label, F.col(label).cast("double"))
+    return Pipeline(stages=_stages(feature_cols, classifier(kind, label, **params))).fit(x)
+
+
+def predict_proba(model: PipelineModel, df: DataFrame, feature_cols: Sequence[str],
+                  out: str = "predicted_prob") -> DataFrame:
+    """Score rows; ``out`` is the positive-class probability."""
+    x, _ = model_frame(df, feature_cols)
+    p = model.transform(x)
+    drop = [c for c in p.columns if c.startswith(("_x_", "_m_", "_i_"))] + \
+        ["features", "rawPrediction", "probability", "prediction"]
+    return p.withColumn(out, vector_to_array("probability")[1]).drop(*[c for c in drop if c in p.columns])
+
+
+def calibrator(holdout: DataFrame, method: str = "isotonic", prob: str = "predicted_prob",
+               label: str = "is_win"):
+    """Calibration fitted on held-out rows: isotonic (monotone step) or
+    sigmoid (logistic regression on the score)."""
+    x = holdout.withColumn("_y", F.col(label).cast("double"))
+    if method == "isotonic":
+        return IsotonicRegression(featuresCol=prob, labelCol="_y", predictionCol="calibrated_prob").fit(x)
+    va = VectorAssembler(inputCols=[prob], outputCol="_pv")
+    lr = LogisticRegression(featuresCol="_pv", labelCol="_y", probabilityCol="_cp",
+                            rawPredictionCol="_cr", predictionCol="_cl")
+    return Pipeline(stages=[va, lr]).fit(x)
+
+
+def calibrate(cal, df: DataFrame) -> DataFrame:
+    out = cal.transform(df)
+    if "_cp" in out.columns:
+        out = out.withColumn("calibrated_prob", vector_to_array("_cp")[1]).drop("_pv", "_cp", "_cr", "_cl")
+    return out
+
+
+def fit_ranker(train: DataFrame, feature_cols: Sequence[str], relevance_col: str = "relevance",
+               **params) -> PipelineModel:
+    """Pointwise ranking: regress the relevance label (I7); rank inside the
+    race by the score (H6)."""
+    p = dict(maxIter=20, maxDepth=4, stepSize=0.1, seed=42)
+    p.update(params)
+    x, _ = model_frame(train, feature_cols)
+    x = x.withColumn(relevance_col, F.col(relevance_col).cast("double"))
+    est = GBTRegressor(labelCol=relevance_col, featuresCol="features", predictionCol="rank_score", **p)
+    return Pipeline(stages=_stages(feature_cols, est)).fit(x)
+
+
+def importances(spark: SparkSession, model: PipelineModel, feature_cols: Sequence[str],
+                top: int = 20, weight: float = 1.0) -> DataFrame:
+    """(feature, importance) of the fitted trees, top ``top`` by importance.
+
+    Importance of a feature = its value column plus its missing flag.
+    """
+    last = model.stages[-1]
+    imp = last.featureImportances.toArray() if hasattr(last, "featureImportances") else \
+        abs(last.coefficients.toArray())
+    n = len(feature_cols)
+    rows = [(c, float(imp[i] + imp[n + i]) * weight) for i, c in enumerate(feature_cols)]
+    df = spark.createDataFrame(rows, "feature string, importance double")
+    return df.orderBy(F.col("importance").desc(), "feature").limit(top)
+
+
+def ensemble_importances(parts: Sequence[DataFrame], weights: Sequence[float] | None = None) -> DataFrame:
+    """Mean over models of importance x normalised weight."""
+    w = effective_weights(weights, len(parts))
+    out = None
+    for p, wi in zip(parts, w):
+        x = p.select("feature", (F.col("importance") * wi).alias("importance"))
+        out = x if out is None else out.unionByName(x)
+    return out.groupBy("feature").agg((F.sum("importance") / len(parts)).alias("importance"))
+
+
+# -- I10, I11 ----------------------------------------------------------------
+def classification_metrics(df: DataFrame, by: Sequence[str] = (), threshold: float = 0.5,
+                           prob: str = "predicted_prob", label: str = "is_win") -> DataFrame:
+    """Accuracy, precision, recall, F1; AUC and log loss only for groups
+    with both classes. Long form (by..., metric, value)."""
+    by = list(by)
+    x = df.withColumn("predicted_win", (F.col(prob) >= threshold).cast("long")) \
+          .withColumn("is_win", F.col(label).cast("long")).withColumn("predicted_prob", F.col(prob))
+    base = x.groupBy(*by).agg(
+        F.avg((F.col("predicted_win") == F.col("is_win")).cast("double")).alias("accuracy"), *_M.prf_cols(),
+        _M.log_loss_col().alias("log_loss"),
+        F.countDistinct("is_win").alias("_classes"))
+    if by:
+        wide = base.join(_M.auc_roc(x, by), by)
+    else:
+        auc = _M.auc_roc(x.withColumn("_all", F.lit(0)), ["_all"])
+        wide = base.withColumn("_all", F.lit(0)).join(auc, "_all").drop("_all")
+    two = F.col("_classes") == 2
+    wide = wide.withColumn("auc_roc", F.when(two, F.col("auc_roc"))).withColumn(
+        "log_loss", F.when(two, F.col("log_loss")))
+    names = ["accuracy", "precision", "recall", "f1", "auc_roc", "log_loss"]
+    stack = F.expr("stack({}, {})".format(len(names), ", ".join(f"'{n}', CAST({n} AS DOUBLE)" for n in names)))
+    return wide.select(*by, stack.alias("metric", "value")).filter(F.col("value").isNotNull())
+
+
+def regression_summary(df: DataFrame, by: Sequence[str] = (), col: str = "rank_score") -> DataFrame:
+    """I10 for the ranker: mean and population std of the predictions."""
+    return df.groupBy(*by).agg(F.avg(col).alias("pred_mean"), F.stddev_pop(col).alias("pred_std"))
+
+
+def cv_summary(fold_metrics: DataFrame) -> DataFrame:
+    """Mean and population std of each metric over folds."""
+    return fold_metrics.groupBy("metric").agg(F.avg("value").alias("mean"),
+                                              F.stddev_pop("value").alias("std"),
+                                              F.count(F.lit(1)).cast("long").alias("folds"))
+
+
+# -- I12 ---------------------------------------------------------------------
+SEARCH_SPACE = {"maxDepth": [2, 3, 4, 5], "stepSize": [0.05, 0.1, 0.2], "maxIter": [5, 10, 20],
+                "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 5, 20]}
+
+
+def random_candidates(n: int, seed: int = 42, space: dict | None = None) -> list[dict]:
+    """Seeded random search over the parameter grid (replaces a TPE sampler)."""
+    rnd = random.Random(seed)
+    space = space or SEARCH_SPACE
+    return [{k: rnd.choice(v) for k, v in space.items()} for _ in range(n)]
+
+
+def param_search(df: DataFrame, feature_cols: Sequence[str], folds: DataFrame | None,
+                 candidates: Sequence[dict], metric: str = "auc_roc", kind: str = "gbt") -> DataFrame:
+    """Each candidate is fitted per fold (train = rows before the fold's
+    test block) and scored on the block; a single-class block scores 0.5.
+
+    ``folds``: ``time_folds`` output (position, test_fold). Returns one row per
+    (candidate, fold) with the score; ``best_params`` picks the winner.
+    """
+    spark = df.sparkSession
+    rows = []
+    nf = folds.agg(F.max("test_fold")).first()[0] if folds is not None else None
+    for ci, params in enumerate(candidates):
+        for f in range(int(nf) + 1 if nf is not None else 1):
+            first = folds.filter(F.col("test_fold") == f).agg(F.min("position")).first()[0]
+            tr = folds.filter(F.col("position") < first)
+            te = folds.filter(F.col("test_fold") == f)
+            model = fit_classifier(tr, feature_cols, kind, **params)
+            sc = predict_proba(model, te, feature_cols)
+            m = classification_metrics(sc).filter(F.col("metric") == metric).first()
+            score = m["value"] if m is not None else 0.5
+            rows.append((ci, json.dumps(params, sort_keys=True), f, float(score)))
+    return spark.createDataFrame(rows, "candidate long, params string, fold long, score double")
+
+
+def best_params(results: DataFrame, maximize: bool = True) -> DataFrame:
+    avg = results.groupBy("candidate", "params").agg(F.avg("score").alias("mean_score"))
+    key = F.struct(F.col("mean_score") if maximize else -F.col("mean_score"), -F.col("candidate"))
+    return avg.agg(F.max_by("params", key).alias("params"), F.max_by("mean_score", key).alias("mean_score"))
+
+
+# -- I13 ---------------------------------------------------------------------
+class ModelRegistry:
+    """Versioned models under a shared folder plus an append-only metadata table.
+
+    version = yyyymmdd_<8 hex>; 'latest' is the newest by created_at (plain
+    string order of versions is only by day).
+    """
+
+    META_SCHEMA = ("name string, version string, model_type string, params string, metrics string, "
+                   "created_at timestamp, path string")
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+
+    def _meta_path(self) -> str:
+        return f"{self.base}/_metadata"
+
+    def save(self, model: PipelineModel, name: str, model_type: str, params: dict,
+             metrics: dict, now: _dt.datetime | None = None) -> str:
+        now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        h = hashlib.sha256(f"{name}|{json.dumps(params, sort_keys=True)}|{now.isoformat()}".encode()).hexdigest()[:8]
+        version = f"{now:%Y%m%d}_{h}"
+        path = f"{self.base}/{name}/{version}"
+        model.write().overwrite().save(path)
+        row = [(name, version, model_type, json.dumps(params, sort_keys=True), json.dumps(metrics, sort_keys=True),
+                now, path)]
+        self.spark.createDataFrame(row, self.META_SCHEMA).write.mode("append").parquet(self._meta_path())
+        return version
+
+    def versions(self, name: str | None = None) -> DataFrame:
+        m = self.spark.read.parquet(self._meta_path())
+        if name is not None:
+            m = m.filter(F.col("name") == name)
+        return m.orderBy("name", "version")
+
+    def latest(self) -> DataFrame:
+        m = self.spark.read.parquet(self._meta_path())
+        return m.groupBy("name").agg(F.max_by("version", F.struct("created_at", "version")).alias("version"))
+
+    def load(self, name: str, version: str | None = None) -> PipelineModel:
+        if version is None:
+            version = self.latest().filter(F.col("name") == name).first()["version"]
+        return PipelineModel.load(f"{self.base}/{name}/{version}")

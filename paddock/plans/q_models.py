@@ -1 +1,216 @@
-"""Registered queries."""
+"""Queries for model evaluation tables, Spark ML models and scoring."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from paddock.functions.features import feature_columns
+from paddock.operators import metrics as M
+from paddock.operators import models as ML
+from paddock.operators import scoring as SC
+from paddock.operators import splits as S
+from paddock.operators.fitted import FeaturePipeline
+from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, skew_for, with_entries
+from paddock.plans.catalog import query, r6
+from paddock.plans.q_history import training
+from paddock.plans.q_metrics import PREDS_SQL, THRESHOLD, auc_sql, predictions
+from paddock.operators.sequence import keep
+from paddock.session import scratch_dir
+
+RATIO = 0.2
+K_FOLDS = 5
+
+
+def _cls_metrics_sql(src: str, by: str) -> str:
+    """Oracle for ``classification_metrics`` (threshold THRESHOLD)."""
+    return auc_sql(src, by, name="cauc") + f"""
+, cm AS (
+  SELECT {by}, avg(CASE WHEN CAST(predicted_prob >= {THRESHOLD} AS BIGINT) = is_win THEN 1.0e0 ELSE 0.0e0 END) AS accuracy,
+         sum(CASE WHEN is_win = 1 AND predicted_prob >= {THRESHOLD} THEN 1.0e0 ELSE 0.0e0 END) AS tp,
+         sum(CASE WHEN is_win = 0 AND predicted_prob >= {THRESHOLD} THEN 1.0e0 ELSE 0.0e0 END) AS fp,
+         sum(CASE WHEN is_win = 1 AND predicted_prob < {THRESHOLD} THEN 1.0e0 ELSE 0.0e0 END) AS fn,
+         avg(-(is_win * ln(least(greatest(predicted_prob, 1e-15), 1 - 1e-15))
+             + (1 - is_win) * ln(1 - least(greatest(predicted_prob, 1e-15), 1 - 1e-15)))) AS ll,
+         count(DISTINCT is_win) AS classes
+  FROM {src} GROUP BY {by}
+), cm2 AS (
+  SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+            CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM cm
+), cm3 AS (
+  SELECT cm2.*, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+         CASE WHEN classes = 2 THEN cauc.auc_roc END AS auc_roc, CASE WHEN classes = 2 THEN ll END AS log_loss
+  FROM cm2 JOIN cauc USING ({by})
+), clong AS (
+""" + "\n  UNION ALL ".join(f"SELECT {by}, '{m}' AS metric, {m} AS value FROM cm3"
+                         for m in ["accuracy", "precision", "recall", "f1", "auc_roc", "log_loss"]) + "\n)"
+
+
+SPLIT_SQL = f"""
+, pos AS (SELECT *, row_number() OVER (ORDER BY {ORD}) AS rn, count(*) OVER () AS n FROM preds),
+sp AS (SELECT *, CASE WHEN rn <= floor(n * {1 - RATIO}) THEN 'train' ELSE 'validation' END AS split FROM pos)"""
+
+
+@query("split_metrics", with_entries(PREDS_SQL + SPLIT_SQL + _cls_metrics_sql("sp", "split")
+                                     + "\nSELECT split, metric, round(value, 6) AS value FROM clong WHERE value IS NOT NULL"))
+def q_split_metrics(spark, sf):
+    """Train and validation metrics of the scored rows (temporal split)."""
+    p = S.temporal_split(predictions(spark, sf), HISTORY_ORDER, RATIO)
+    m = ML.classification_metrics(p, by=["split"], threshold=THRESHOLD)
+    return m.select("split", "metric", r6("value").alias("value"))
+
+
+FOLD_SQL = f"""
+, fpos AS (SELECT *, row_number() OVER (ORDER BY {ORD}) - 1 AS p, count(*) OVER () AS n FROM preds),
+ff AS (SELECT *, n // {K_FOLDS + 1} AS size, n - {K_FOLDS} * (n // {K_FOLDS + 1}) AS first FROM fpos),
+folds AS (SELECT *, CAST(floor((p - first) / size) AS BIGINT) AS test_fold FROM ff WHERE size > 0 AND p >= first)"""
+
+
+@query("cv_summary", with_entries(PREDS_SQL + FOLD_SQL + _cls_metrics_sql("folds", "test_fold") + """
+SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, CAST(count(*) AS BIGINT) AS folds
+FROM clong WHERE value IS NOT NULL GROUP BY metric"""))
+def q_cv_summary(spark, sf):
+    """Per-fold metrics on expanding time folds, then mean and population std."""
+    f = S.time_folds(predictions(spark, sf), HISTORY_ORDER, K_FOLDS).filter(F.col("test_fold").isNotNull())
+    per_fold = ML.classification_metrics(f, by=["test_fold"], threshold=THRESHOLD)
+    c = ML.cv_summary(per_fold)
+    return c.select("metric", r6("mean").alias("mean"), r6("std").alias("std"), "folds")
+
+
+@query("score_rank", with_entries(PREDS_SQL + """
+SELECT race_id, horse_id, CAST(ln AS BIGINT) AS ln, round(predicted_prob, 6) AS win_probability,
+       CAST(rank() OVER (PARTITION BY race_id ORDER BY predicted_prob DESC) AS BIGINT) AS rank FROM preds"""))
+def q_score_rank(spark, sf):
+    """J2 on a fixed score: ties share the lowest rank."""
+    p = predictions(spark, sf).withColumnRenamed("predicted_prob", "win_probability")
+    r = SC.rank_scores(p, skew=skew_for(spark, sf, "race_id"))
+    return r.select("race_id", "horse_id", F.col("ln").cast("long").alias("ln"),
+                    r6("win_probability").alias("win_probability"), "rank")
+
+
+@query("score_audit", with_entries(PREDS_SQL + """
+SELECT CAST(count(DISTINCT race_id) AS BIGINT) AS n_races, CAST(count(*) AS BIGINT) AS n_rows,
+       'deterministic' AS model_name, 'latest' AS model_version FROM preds"""))
+def q_score_audit(spark, sf):
+    """Audit columns and the scoring summary."""
+    a = SC.audit(predictions(spark, sf), "deterministic")
+    s = SC.summary(a)
+    names = a.select("model_name", "model_version").limit(1)     # constant columns
+    return s.withColumn("_k", F.lit(0)).join(names.withColumn("_k", F.lit(0)), "_k").drop("_k")
+
+
+# -- Spark ML paths (rows-only checks) -----------------------------------------
+def _model_data(spark, sf):
+    """Feature frame fitted on the training split; (train, validation, feature columns)."""
+    t = S.temporal_split(training(spark, sf), HISTORY_ORDER, RATIO)
+    pipe = FeaturePipeline(["race", "horse", "jockey", "running_style"])
+    fm = pipe.fit(t.filter(F.col("split") == "train"))
+    cols = [c for c in feature_columns(fm.transform(t)) if c != "feat_jockey_course_win_rate"]
+    # iterative fits read their input several times: materialise the narrow model input once
+    x = keep(fm.transform(t).select("race_id", "horse_id", "ln", "race_date", "jockey_id", "price", "ship",
+                                    "finish_position", "is_win", "split", *cols))
+    return x.filter(F.col("split") == "train"), x.filter(F.col("split") == "validation"), cols
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf):
+    """GBT winner classifier trained on the training split, scored on validation."""
+    tr, va, cols = _model_data(spark, sf)
+    model = ML.fit_classifier(tr, cols, "gbt")
+    s = ML.predict_proba(model, va, cols)
+    return s.select("race_id", "horse_id", F.col("ln").cast("long"), "is_win", r6("predicted_prob").alias("predicted_prob"))
+
+
+@query("calibrated_scores")
+def q_calibrated_scores(spark, sf):
+    """Isotonic calibration fitted on the last 20% of the training rows."""
+    tr, va, cols = _model_data(spark, sf)
+    tr = tr.withColumn("period", F.lit(0))
+    roles = S.calibration_holdout(tr, HISTORY_ORDER, 0.2)
+    model = ML.fit_classifier(roles.filter(F.col("role") == "fit"), cols, "logistic")
+    hold = ML.predict_proba(model, roles.filter(F.col("role") == "calibration"), cols)
+    cal = ML.calibrator(hold, "isotonic")
+    out = ML.calibrate(cal, ML.predict_proba(model, va, cols))
+    return out.select("race_id", "horse_id", F.col("ln").cast("long"), r6("predicted_prob").alias("predicted_prob"),
+                      r6("calibrated_prob").alias("calibrated_prob"))
+
+
+@query("rank_regression")
+def q_rank_regression(spark, sf):
+    """I5 + I7 + H6: regress relevance, rank inside races by the score."""
+    from paddock.operators.backtest import predicted_rank
+    tr, va, cols = _model_data(spark, sf)
+    tr = tr.withColumn("relevance", M.relevance(F.col("finish_position")))
+    model = ML.fit_ranker(tr, cols)
+    x, _ = ML.model_frame(va, cols)
+    s = model.transform(x).select("race_id", "horse_id", "ln", "rank_score")
+    r = predicted_rank(s, prob="rank_score", tie_break=["horse_id", "ln"], skew=skew_for(spark, sf, "race_id"))
+    return r.select("race_id", "horse_id", F.col("ln").cast("long"), r6("rank_score").alias("rank_score"),
+                    "predicted_rank")
+
+
+@query("importances")
+def q_importances(spark, sf):
+    """Top-20 feature importances of the GBT."""
+    tr, _, cols = _model_data(spark, sf)
+    return ML.importances(spark, ML.fit_classifier(tr, cols, "gbt"), cols, top=20)
+
+
+@query("param_search")
+def q_param_search(spark, sf):
+    """Seeded random search, each candidate scored on expanding time folds."""
+    tr, _, cols = _model_data(spark, sf)
+    folds = S.time_folds(tr, HISTORY_ORDER, n_splits=2)
+    res = ML.param_search(tr, cols, folds, ML.random_candidates(2, seed=7), metric="auc_roc")
+    best = ML.best_params(res)
+    return \
+        res.withColumn("_k", F.lit(0)).join(best.select(F.lit(0).alias("_k"), F.col("params").alias("best_params")),
+                                            "_k").drop("_k")
+
+
+def _registry(spark):
+    return ML.ModelRegistry(spark, scratch_dir(spark, "registry"))
+
+
+@query("model_versions")
+def q_model_versions(spark, sf):
+    """Two saved versions, listed, and the latest per name."""
+    tr, va, cols = _model_data(spark, sf)
+    reg = _registry(spark)
+    for reg_param in (0.01, 0.1):
+        m = ML.fit_classifier(tr, cols, "logistic", regParam=reg_param)
+        reg.save(m, "winner_lr", "logistic", {"regParam": reg_param}, {"n_features": len(cols)},
+                 now=dt.datetime(2026, 1, 5, 10, 0, int(reg_param * 100) % 60))
+    latest = reg.latest().withColumnRenamed("version", "latest_version")
+    v = reg.versions("winner_lr").select("name", "version", "model_type", "params")
+    return v.join(latest, "name")
+
+
+@query("train_step")
+def q_train_step(spark, sf):
+    """Split -> fit -> calibrate -> threshold -> evaluate, as a metrics table."""
+    tr, va, cols = _model_data(spark, sf)
+    tr = tr.withColumn("period", F.lit(0))
+    roles = S.calibration_holdout(tr, HISTORY_ORDER, 0.2)
+    model = ML.fit_classifier(roles.filter(F.col("role") == "fit"), cols, "gbt")
+    hold = ML.predict_proba(model, roles.filter(F.col("role") == "calibration"), cols)
+    t = M.best_threshold(hold).first()["threshold"]
+    scored = ML.predict_proba(model, va, cols).withColumn("split", F.lit("validation")).unionByName(
+        hold.withColumn("split", F.lit("calibration")).select(
+            *ML.predict_proba(model, va, cols).withColumn("split", F.lit("validation")).columns))
+    m = ML.classification_metrics(scored, by=["split"], threshold=t)
+    return m.withColumn("threshold", F.lit(t)).select("split", "metric", r6("value").alias("value"), "threshold")
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    """Load the latest registered model, score, rank, audit, append to the sink."""
+    tr, va, cols = _model_data(spark, sf)
+    reg = _registry(spark)
+    reg.save(ML.fit_classifier(tr, cols, "logistic"), "winner_lr", "logistic", {}, {})
+    sink = scratch_dir(spark, "predictions")
+    SC.batch_predict(reg, "winner_lr", va, cols, sink=sink)
+    back = spark.read.parquet(sink)
+    return back.select("race_id", "horse_id", "predicted_date", r6("win_probability").alias("win_probability"),
+                       "rank", "model_name", "model_version")
