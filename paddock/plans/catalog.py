@@ -39,4 +39,4 @@ def r6(c: str | Column) -> Column:
 def load_all() -> None:
     """Import the modules that register queries."""
     from paddock.plans import (  # noqa: F401
-        q_history, q_metrics, q_ingest, q_features, q_splits, q_monitor, q_models)
+        q_history, q_metrics, q_ingest, q_features, q_splits, q_monitor, q_models, q_sources)
