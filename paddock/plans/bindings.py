@@ -35,8 +35,11 @@ def skew_for(spark: SparkSession, sf_dir: str, key: str) -> str:
 
 # Total order of entries for every per-entity window (date, then a unique tie-break).
 HISTORY_ORDER = ["race_date", "race_id", "ln", "horse_id", "jockey_id", "price", "ship"]
-# Order of entries inside a race that defines the finish position.
-FINISH_ORDER = [F.col("price").desc(), F.col("ln"), F.col("horse_id"), F.col("jockey_id"), F.col("ship")]
+
+
+def finish_order() -> list[Column]:
+    """Order of entries inside a race that defines the finish position."""
+    return [F.col("price").desc(), F.col("ln"), F.col("horse_id"), F.col("jockey_id"), F.col("ship")]
 
 
 def _map(col: Column, pairs: dict) -> Column:
@@ -86,7 +89,7 @@ def entries(spark: SparkSession, sf_dir: str, skew: str = "auto") -> DataFrame:
     )
     # Group sizes are measured on the raw fact column, before the join.
     split = (skew_for(spark, sf_dir, "race_id") if skew == "auto" else skew) == "split"
-    e = with_position(e, ["race_id"], FINISH_ORDER, name="_fpos",
+    e = with_position(e, ["race_id"], finish_order(), name="_fpos",
                       skew="split" if split else "plain")
     if split:
         # partial count per race, joined back (AQE splits a hot race in the join)
