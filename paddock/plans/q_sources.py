@@ -145,3 +145,15 @@ def q_prediction_sink(spark, sf):
                              "predicted_date date").json(dump)
     return back.select("race_id", "horse_id", r6("win_probability").alias("win_probability"), "predicted_date",
                        "model_name")
+
+
+@query("stream_landed_races")
+def q_stream_landed_races(spark, sf):
+    """A7 as an incremental job: a file stream over the landing folder appends
+    flat race rows; re-running it picks up nothing twice (rows-only check)."""
+    from paddock.streaming.landing import ingest_landed_races
+    land, table, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "races-stream"), scratch_dir(spark, "ckpt")
+    L.land_races(entries(spark, sf), land)
+    ingest_landed_races(spark, land, table, ckpt).awaitTermination()
+    ingest_landed_races(spark, land, table, ckpt).awaitTermination()      # nothing new: no duplicates
+    return spark.read.parquet(table).drop("_batch")

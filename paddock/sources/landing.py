@@ -37,6 +37,11 @@ def read_races(spark: SparkSession, path: str, date_from=None, date_to=None) ->
         r = r.filter(F.col("race_date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
         r = r.filter(F.col("race_date") <= F.lit(date_to).cast("date"))
+    return flatten_races(r)
+
+
+def flatten_races(r: DataFrame) -> DataFrame:
+    """Race records (possibly several chunks per race) -> one flat row per race."""
     r = r.filter(F.col("race_id").isNotNull() & (F.col("race_id") != ""))
     n = F.when(F.col("entries").isNull(), F.lit(0)).otherwise(F.size("entries"))
     g = r.groupBy("race_id", "race_date").agg(
