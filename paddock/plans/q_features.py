@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paddock.functions import features as FT
 from paddock.operators.fitted import CategoryEncoder, FeaturePipeline, FeatureScaler
+from paddock.operators.sequence import keep
 from paddock.plans.bindings import with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import TRAIN_SQL, training
@@ -115,7 +116,8 @@ ONEHOT_COLS = ["weather", "track_type"]
 
 
 def _enc_frame(spark, sf):
-    return training(spark, sf).withColumn("race_year", F.year("race_date").cast("string"))
+    # read by the fit job(s) and by the transform: computed once
+    return keep(training(spark, sf).withColumn("race_year", F.year("race_date").cast("string")))
 
 
 def _train_rows(df):
@@ -187,7 +189,7 @@ SELECT t.race_id, t.horse_id, CAST(t.ln AS BIGINT) AS ln, {exprs} FROM train t,
 
 
 def _scaled(spark, sf, kind):
-    df = training(spark, sf)
+    df = keep(training(spark, sf))
     model = FeatureScaler(SCALE_COLS, kind).fit(_train_rows(df))
     return model.transform(df).select(*_ids(), *[r6(f"{c}_scaled").alias(f"{c}_scaled") for c in SCALE_COLS])
 

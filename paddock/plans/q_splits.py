@@ -174,3 +174,14 @@ def q_temporal_integrity(spark, sf):
     e = entries(spark, sf)
     p = periods(spark, sf)
     return S.temporal_integrity(S.assign_periods(e, p, "train"), S.assign_periods(e, p, "test"))
+
+
+@query("time_fold_table", with_entries(f"""
+, n AS (SELECT count(*) AS n FROM entries),
+f AS (SELECT CAST(i AS BIGINT) AS fold, n, n // {K_FOLDS + 1} AS size FROM n, range(0, {K_FOLDS}) t(i))
+SELECT fold, CAST(n - ({K_FOLDS} - fold) * size AS BIGINT) AS test_start,
+       CAST(n - ({K_FOLDS} - fold) * size + size - 1 AS BIGINT) AS test_end,
+       CAST(n - ({K_FOLDS} - fold) * size AS BIGINT) AS n_train, CAST(size AS BIGINT) AS n_test FROM f"""))
+def q_time_fold_table(spark, sf):
+    """H2 summary: one row per fold with its test block and sizes (in positions)."""
+    return S.fold_table(entries(spark, sf), K_FOLDS)

@@ -21,7 +21,7 @@ from paddock.sources.landing import RACE_SCHEMA, flatten_races
 
 def ingest_landed_races(spark: SparkSession, landing: str, table: str,
                         checkpoint: str | None = None, available_now: bool = True,
-                        max_files_per_trigger: int = 1000):
+                        max_files_per_trigger: int = 5000):
     """Start the stream; returns the StreamingQuery (``awaitTermination`` it).
 
     Records of one race are landed together (one file per race chunk set), so
@@ -33,7 +33,7 @@ def ingest_landed_races(spark: SparkSession, landing: str, table: str,
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         flat = flatten_races(batch).withColumn("_batch", F.lit(batch_id))
-        flat.write.mode("append").partitionBy("race_date").parquet(table)
+        flat.hint("rebalance", "race_date").write.mode("append").partitionBy("race_date").parquet(table)
 
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
