@@ -31,25 +31,23 @@ def validate(df: DataFrame, dataset: str, required: Sequence[str] = (),
             [(dataset, c, "missing_column", None, f"Required column '{c}' is missing")
              for c in missing], VIOLATION_SCHEMA).withColumn("_o", F.lit(0)))
     cols = df.columns
+    # one aggregate per frame; every candidate violation is derived from its single row
     counts = df.agg(F.count(F.lit(1)).alias("_n"),
                     *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)])
-    if cols:
-        stack = F.expr("stack({}, {})".format(
-            len(cols), ", ".join(f"'{c.replace(chr(39), '')}', _c{i}" for i, c in enumerate(cols))))
-        rates = counts.select("_n", stack.alias("column", "_nn")).withColumn(
-            "value", (F.col("_n") - F.col("_nn")) / F.col("_n"))
-        high = rates.filter((F.col("_n") > 0) & (F.col("value") > F.lit(max_null_rate))).select(  # C2
-            F.lit(dataset).alias("dataset"), "column", F.lit("high_null_rate").alias("error_type"),
-            "value",
-            F.concat(F.lit("Column '"), F.col("column"), F.lit("' has "), _pct(F.col("value")),
-                     F.lit(" nulls (threshold: "), _pct(F.lit(max_null_rate)), F.lit(")")).alias("message"),
-            F.lit(1).alias("_o"))
-        parts.append(high)
-    empty = counts.filter(F.col("_n") == 0).select(                                  # C3
-        F.lit(dataset).alias("dataset"), F.lit("*").alias("column"),
-        F.lit("empty_dataframe").alias("error_type"), F.lit(None).cast("double").alias("value"),
-        F.lit("DataFrame has no rows").alias("message"), F.lit(2).alias("_o"))
-    parts.append(empty)
+    n = F.col("_n")
+    cands = [F.struct(F.lit(c).alias("column"), F.lit("high_null_rate").alias("error_type"),
+                      F.when(n > 0, (n - F.col(f"_c{i}")) / n).alias("value"), F.lit(1).alias("_o"))
+             for i, c in enumerate(cols)]
+    cands.append(F.struct(F.lit("*").alias("column"), F.lit("empty_dataframe").alias("error_type"),
+                          F.lit(None).cast("double").alias("value"), F.lit(2).alias("_o")))
+    x = counts.select("_n", F.explode(F.array(*cands)).alias("v")).select("_n", "v.*")
+    keep_row = F.when(F.col("error_type") == "empty_dataframe", n == 0).otherwise(         # C3 / C2
+        (n > 0) & (F.col("value") > F.lit(max_null_rate)))
+    msg = F.when(F.col("error_type") == "empty_dataframe", F.lit("DataFrame has no rows")).otherwise(
+        F.concat(F.lit("Column '"), F.col("column"), F.lit("' has "), _pct(F.col("value")),
+                 F.lit(" nulls (threshold: "), _pct(F.lit(max_null_rate)), F.lit(")")))
+    parts.append(x.filter(keep_row).select(F.lit(dataset).alias("dataset"), "column", "error_type", "value",
+                                           msg.alias("message"), "_o"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

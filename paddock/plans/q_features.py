@@ -115,9 +115,10 @@ ENC_COLS = ["course", "weather", "track_type", "sex", "race_year"]
 ONEHOT_COLS = ["weather", "track_type"]
 
 
-def _enc_frame(spark, sf):
-    # read by the fit job(s) and by the transform: computed once
-    return keep(training(spark, sf).withColumn("race_year", F.year("race_date").cast("string")))
+def _enc_frame(spark, sf, extra=()):
+    # read by the fit job(s) and by the transform: the narrow input is computed once
+    t = training(spark, sf).withColumn("race_year", F.year("race_date").cast("string"))
+    return keep(t.select("race_id", "horse_id", "ln", "race_date", *ENC_COLS, *extra))
 
 
 def _train_rows(df):
@@ -189,7 +190,7 @@ SELECT t.race_id, t.horse_id, CAST(t.ln AS BIGINT) AS ln, {exprs} FROM train t,
 
 
 def _scaled(spark, sf, kind):
-    df = keep(training(spark, sf))
+    df = keep(training(spark, sf).select("race_id", "horse_id", "ln", "race_date", *SCALE_COLS))
     model = FeatureScaler(SCALE_COLS, kind).fit(_train_rows(df))
     return model.transform(df).select(*_ids(), *[r6(f"{c}_scaled").alias(f"{c}_scaled") for c in SCALE_COLS])
 
@@ -221,7 +222,7 @@ WHERE e.race_date >= DATE '{SPLIT_DATE}'"""))
 def q_fit_on_train_only(spark, sf):
     """Extract -> fit encoder -> encode -> fit scaler on training rows only;
     the fitted pipeline is applied to the later (test) rows."""
-    df = _enc_frame(spark, sf)
+    df = _enc_frame(spark, sf, extra=("avg_finish", "win_odds"))
     pipe = FeaturePipeline(["race", "horse"], CategoryEncoder(["course"], "label"),
                            FeatureScaler(["feat_avg_finish", "feat_win_odds"], "standard"))
     model = pipe.fit(_train_rows(df))
