@@ -11,9 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paddock.session import values_frame
+
 VIOLATION_SCHEMA = "dataset string, column string, error_type string, value double, message string"
 
 
+def _q(s: str) -> str:
+    """Text safe inside a SQL single-quoted literal."""
+    return s.replace("'", "''")
+
+
 def _pct(c):
     """Rate as text with one decimal, e.g. 0.125 -> '12.5%'."""
     return F.concat(F.round(c * 100, 1).cast("string"), F.lit("%"))
@@ -27,27 +34,24 @@ def validate(df: DataFrame, dataset: str, required: Sequence[str] = (),
     missing = [c for c in required if c not in df.columns]                     # C1
     parts = []
     if missing:
-        parts.append(spark.createDataFrame(
-            [(dataset, c, "missing_column", None, f"Required column '{c}' is missing")
-             for c in missing], VIOLATION_SCHEMA).withColumn("_o", F.lit(0)))
+        parts.append(values_frame(
+            spark, [(dataset, c, "missing_column", None, f"Required column '{c}' is missing")
+                    for c in missing], VIOLATION_SCHEMA).withColumn("_o", F.lit(0)))
     cols = df.columns
     # one aggregate per frame; every candidate violation is derived from its single row
-    counts = df.agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)])
-    n = F.col("_n")
-    cands = [F.struct(F.lit(c).alias("column"), F.lit("high_null_rate").alias("error_type"),
-                      F.when(n > 0, (n - F.col(f"_c{i}")) / n).alias("value"), F.lit(1).alias("_o"))
-             for i, c in enumerate(cols)]
-    cands.append(F.struct(F.lit("*").alias("column"), F.lit("empty_dataframe").alias("error_type"),
-                          F.lit(None).cast("double").alias("value"), F.lit(2).alias("_o")))
-    x = counts.select("_n", F.explode(F.array(*cands)).alias("v")).select("_n", "v.*")
-    keep_row = F.when(F.col("error_type") == "empty_dataframe", n == 0).otherwise(         # C3 / C2
-        (n > 0) & (F.col("value") > F.lit(max_null_rate)))
-    msg = F.when(F.col("error_type") == "empty_dataframe", F.lit("DataFrame has no rows")).otherwise(
-        F.concat(F.lit("Column '"), F.col("column"), F.lit("' has "), _pct(F.col("value")),
-                 F.lit(" nulls (threshold: "), _pct(F.lit(max_null_rate)), F.lit(")")))
-    parts.append(x.filter(keep_row).select(F.lit(dataset).alias("dataset"), "column", "error_type", "value",
-                                           msg.alias("message"), "_o"))
+    # (expressions as SQL text: one plan call per expression, however wide the table)
+    counts = df.agg(F.expr("count(1) AS _n"), *[F.expr(f"count(`{c}`) AS _c{i}") for i, c in enumerate(cols)])
+    rows = [f"'{_q(c)}', 'high_null_rate', CASE WHEN _n > 0 THEN (_n - _c{i}) / _n END, 1"
+            for i, c in enumerate(cols)]
+    rows.append("'*', 'empty_dataframe', CAST(NULL AS DOUBLE), 2")
+    x = counts.selectExpr("_n", f"stack({len(rows)}, {', '.join(rows)}) AS (column, error_type, value, _o)")
+    x = x.where("CASE WHEN error_type = 'empty_dataframe' THEN _n = 0 "
+                f"ELSE _n > 0 AND value > {float(max_null_rate)!r} END")
+    thr = f"{round(max_null_rate * 100, 1):.1f}%"
+    msg = ("CASE WHEN error_type = 'empty_dataframe' THEN 'DataFrame has no rows' ELSE "
+           "concat('Column ', chr(39), column, chr(39), ' has ', CAST(round(value * 100, 1) AS STRING), "
+           f"'% nulls (threshold: {thr})') END AS message")
+    parts.append(x.selectExpr(f"'{_q(dataset)}' AS dataset", "column", "error_type", "value", msg, "_o"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

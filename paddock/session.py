@@ -23,6 +23,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # plans are built from many column expressions; capturing a Python call
+    # site for each costs several JVM round trips per expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -77,3 +80,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/paddock-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def values_frame(spark: SparkSession, rows, schema: str):
+    """Small literal table (thresholds, section maps, messages) as a SQL VALUES
+    relation: built in the JVM, no Python-side data transfer."""
+    cols = [c.strip().split() for c in schema.split(",")]
+
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return repr(v)
+
+    if not rows:
+        return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {t}) AS `{n}`" for n, t in cols) + " WHERE false")
+    vals = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    names = ", ".join(f"_{i}" for i in range(len(cols)))
+    sel = ", ".join(f"CAST(_{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(cols))
+    return spark.sql(f"SELECT {sel} FROM VALUES {vals} AS t({names})")
