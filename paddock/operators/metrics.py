@@ -127,15 +127,15 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), target: str = "is_win",
 
 
 # -- K10 ---------------------------------------------------------------------
-def ndcg(df: DataFrame, by: Sequence[str] = (), k: int | None = None,
-         name: str | None = None, skew: str = "auto") -> DataFrame:
-    """Mean per-race NDCG (@k). Relevance = entries in race - actual + 1.
+def ndcg_multi(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int | None] = (None,),
+               skew: str = "auto") -> DataFrame:
+    """Mean per-race NDCG for several cutoffs from one pass (None = all entries).
 
-    Two orderings per race (predicted and ideal) give two positions; with
-    bounded races both are windows over the same race partitioning.
+    Relevance = entries in race - actual + 1. The predicted and the ideal
+    ordering give two positions per row; with bounded races both are windows
+    over the same race partitioning. Columns ``ndcg`` / ``ndcg_at_{k}``.
     """
     by = list(by)
-    name = name or ("ndcg" if k is None else f"ndcg_at_{k}")
     keys = [*by, "race_id"]
     split = needs_split(df, keys, skew)
     if split:
@@ -147,12 +147,27 @@ def ndcg(df: DataFrame, by: Sequence[str] = (), k: int | None = None,
     x = x.withColumn("_rel", (F.col("_n") - F.col("actual_position") + 1).cast("double"))
     x = with_position(x, keys, [F.col("predicted_rank"), F.col("horse_id")], name="_pp", skew=mode)
     x = with_position(x, keys, [F.col("_rel").desc(), F.col("horse_id")], name="_ip", skew=mode)
-    cut = F.lit(k) if k is not None else F.col("_n")
-    gain = lambda pos: F.when(pos < cut, F.col("_rel") / F.log2(pos + F.lit(2.0))).otherwise(F.lit(0.0))
-    per_race = x.groupBy(*keys).agg(F.sum(gain(F.col("_pp"))).alias("_dcg"),
-                                    F.sum(gain(F.col("_ip"))).alias("_idcg"))
-    v = F.when(F.col("_idcg") > 0, F.col("_dcg") / F.col("_idcg")).otherwise(F.lit(0.0))
-    return _grouped(per_race, by, F.coalesce(F.avg(v), F.lit(0.0)).alias(name))
+
+    def gain(pos: Column, k) -> Column:
+        cut = F.lit(k) if k is not None else F.col("_n")
+        return F.when(pos < cut, F.col("_rel") / F.log2(pos + F.lit(2.0))).otherwise(F.lit(0.0))
+
+    names = {k: ("ndcg" if k is None else f"ndcg_at_{k}") for k in ks}
+    aggs = []
+    for k, nm in names.items():
+        aggs += [F.sum(gain(F.col("_pp"), k)).alias(f"_d_{nm}"), F.sum(gain(F.col("_ip"), k)).alias(f"_i_{nm}")]
+    per_race = x.groupBy(*keys).agg(*aggs)
+    outs = [F.coalesce(F.avg(F.when(F.col(f"_i_{nm}") > 0, F.col(f"_d_{nm}") / F.col(f"_i_{nm}"))
+                             .otherwise(F.lit(0.0))), F.lit(0.0)).alias(nm) for nm in names.values()]
+    return _grouped(per_race, by, *outs)
+
+
+def ndcg(df: DataFrame, by: Sequence[str] = (), k: int | None = None,
+         name: str | None = None, skew: str = "auto") -> DataFrame:
+    """Mean per-race NDCG (@k). Relevance = entries in race - actual + 1."""
+    out = ndcg_multi(df, by, [k], skew)
+    nm = "ndcg" if k is None else f"ndcg_at_{k}"
+    return out.withColumnRenamed(nm, name) if name and name != nm else out
 
 
 # -- K11 ---------------------------------------------------------------------
@@ -182,8 +197,7 @@ def compute_all(df: DataFrame, by: Sequence[str] = (), has_betting: bool = False
         if {"predicted_prob", "odds"} <= cols:
             aggs.append(expected_value_col().alias("expected_value"))
     rk = "split" if needs_split(df, [*by, "race_id"], skew) else "plain"
-    parts = [_grouped(df, by, *aggs), top_n_accuracy(df, by),
-             ndcg(df, by, skew=rk), ndcg(df, by, k=3, skew=rk)]
+    parts = [_grouped(df, by, *aggs), top_n_accuracy(df, by), ndcg_multi(df, by, [None, 3], skew=rk)]
     if has_prob:
         parts.append(auc_roc(df, by))
     wide = parts[0]
