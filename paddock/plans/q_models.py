@@ -163,10 +163,8 @@ def q_param_search(spark, sf):
     tr, _, cols = _model_data(spark, sf)
     folds = S.time_folds(tr, HISTORY_ORDER, n_splits=2)
     res = ML.param_search(tr, cols, folds, ML.random_candidates(2, seed=7), metric="auc_roc")
-    best = ML.best_params(res)
-    return \
-        res.withColumn("_k", F.lit(0)).join(best.select(F.lit(0).alias("_k"), F.col("params").alias("best_params")),
-                                            "_k").drop("_k")
+    best = ML.best_params(res).select(F.lit(0).alias("_k"), F.col("params").alias("best_params"))  # one row
+    return res.withColumn("_k", F.lit(0)).join(F.broadcast(best), "_k").drop("_k")
 
 
 def _registry(spark):

@@ -54,3 +54,13 @@ def test_header_mapping_and_collision(spark):
     n = normalise(m).collect()[0]
     assert n["prize_money"] == 100.0 and str(n["race_date"]) == "2020-01-01"
     assert choose_map(["Race ID", "FP", "Date"])["FP"] == "finish_position"
+
+
+def test_csv_shift_jis_fallback(spark, tmp_path):
+    """A Shift_JIS file is detected by its header and decoded."""
+    from paddock.sources.results_csv import load_race_results
+    p = tmp_path / "results.csv"
+    p.write_bytes("レースID,着順,性齢,日付\n1,1,牡3,2020-01-05\n1,取消,牝4,2020-01-05\n".encode("shift_jis"))
+    df = load_race_results(spark, str(p))
+    rows = sorted((tuple(r) for r in df.select("race_id", "finish_position", "sex", "age").collect()), key=str)
+    assert rows == sorted([("1", 1, "牡", 3), ("1", None, "牝", 4)], key=str)
