@@ -8,11 +8,14 @@ sides, so engine-specific last-bit and width differences do not count.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paddock.session import apply_defaults
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -24,7 +27,13 @@ def query(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)          # UTC, AQE, ... also on a caller's own session
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

@@ -29,7 +29,7 @@ def snapshots(spark, sf):
         (F.avg("value") / 70.0).alias("recovery_rate"))
     day = day.withColumn("seq", F.row_number().over(Window.orderBy("d")).cast("long"))  # one row per day
     stack = F.expr("stack(4, " + ", ".join(f"'{m}', {m}" for m in METRICS4) + ")")
-    return day.select("seq", F.col("d").cast("timestamp").alias("ts"),
+    return day.select("seq", F.col("d").cast("timestamp_ntz").alias("ts"),
                       F.date_format("d", "yyyy-MM-dd").alias("label"), stack.alias("metric", "value"))
 
 
@@ -120,8 +120,8 @@ DRIFT_COLS = ["event_id", "user_id", "value"]
 
 def _drift(spark, sf):
     ev = table(spark, sf, "events")
-    return MO.drift(ev.filter(F.col("ts") < F.lit(SPLIT_TS)), ev.filter(F.col("ts") >= F.lit(SPLIT_TS)),
-                    DRIFT_COLS, 0.1)
+    cut = F.lit(str(SPLIT_TS)).cast("timestamp_ntz")      # event times carry no time zone
+    return MO.drift(ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut), DRIFT_COLS, 0.1)
 
 
 def _drift_sql():
