@@ -202,26 +202,35 @@ def random_candidates(n: int, seed: int = 42, space: dict | None = None) -> list
 
 
 def param_search(df: DataFrame, feature_cols: Sequence[str], folds: DataFrame | None,
-                 candidates: Sequence[dict], metric: str = "auc_roc", kind: str = "gbt") -> DataFrame:
+                 candidates: Sequence[dict], metric: str = "auc_roc", kind: str = "gbt",
+                 parallelism: int = 4) -> DataFrame:
     """Each candidate is fitted per fold (train = rows before the fold's
     test block) and scored on the block; a single-class block scores 0.5.
 
-    ``folds``: ``time_folds`` output (position, test_fold). Returns one row per
-    (candidate, fold) with the score; ``best_params`` picks the winner.
+    ``folds``: ``time_folds`` output (position, test_fold). Fits are submitted
+    from ``parallelism`` threads (as Spark ML's own tuning does); each fit is a
+    distributed Spark job. Returns one row per (candidate, fold).
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from paddock.operators.sequence import keep
+
     spark = df.sparkSession
-    rows = []
-    nf = folds.agg(F.max("test_fold")).first()[0] if folds is not None else None
-    for ci, params in enumerate(candidates):
-        for f in range(int(nf) + 1 if nf is not None else 1):
-            first = folds.filter(F.col("test_fold") == f).agg(F.min("position")).first()[0]
-            tr = folds.filter(F.col("position") < first)
-            te = folds.filter(F.col("test_fold") == f)
-            model = fit_classifier(tr, feature_cols, kind, **params)
-            sc = predict_proba(model, te, feature_cols)
-            m = classification_metrics(sc).filter(F.col("metric") == metric).first()
-            score = m["value"] if m is not None else 0.5
-            rows.append((ci, json.dumps(params, sort_keys=True), f, float(score)))
+    folds = keep(folds)          # every fit reads it: compute the fold positions once
+    bounds = folds.filter(F.col("test_fold").isNotNull()).groupBy("test_fold").agg(
+        F.min("position").alias("first")).collect()                 # one row per fold
+    tasks = [(ci, params, int(b["test_fold"]), int(b["first"]))
+             for ci, params in enumerate(candidates) for b in sorted(bounds, key=lambda r: r["test_fold"])]
+
+    def run(task):
+        ci, params, f, first = task
+        model = fit_classifier(folds.filter(F.col("position") < first), feature_cols, kind, **params)
+        sc = predict_proba(model, folds.filter(F.col("test_fold") == f), feature_cols)
+        m = classification_metrics(sc).filter(F.col("metric") == metric).first()
+        return ci, json.dumps(params, sort_keys=True), f, float(m["value"]) if m is not None else 0.5
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(run, tasks))
     return spark.createDataFrame(rows, "candidate long, params string, fold long, score double")
 
 
