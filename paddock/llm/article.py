@@ -258,6 +258,8 @@ def made_page(rnd: random.Random) -> str:
 
     def body():
         out = [] if rnd.random() < 0.15 else [f"<{rnd.choice(['h1', 'h1', 'h2'])}>{words(1, 14, rnd.random() < 0.5)}</h1>"]
+        if out and rnd.random() < 0.2:                  # the article's own heading
+            out = [rnd.choice([f"<header>{out[0]}</header>", f'<div class="entry-header">{out[0]}</div>', f"<hgroup>{out[0]}</hgroup>"])]
         loose = rnd.random() < 0.3
         for _ in range(rnd.choice([1, 1, 2, 3, 5, 8, 14, 25])):
             kind = rnd.random()
@@ -277,6 +279,8 @@ def made_page(rnd: random.Random) -> str:
                 out.append(f"<pre>{words(4, 30)}</pre>")
             else:
                 out.append(rnd.choice([ad, ad, social, notice, side, form])())
+        if rnd.random() < 0.12:
+            out.append(rnd.choice([comments, comments, foot, social])())
         return "".join(out)
 
     style = rnd.random()
