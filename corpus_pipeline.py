@@ -1,22 +1,57 @@
-"""Corpus pipeline over ``documents``: each stage is one operator of ``paddock.llm``."""
+"""Corpus pipeline over ``documents``: each stage is one operator of ``paddock.llm``.
+
+1. language ID: documents without a letter go, and those of ``LONG`` characters
+   or more whose best cosine is below ``MIN_SCORE``: they resemble no language
+   that the labelled documents show. Short texts have low cosines and stay.
+2. n-gram Jaccard join: of every component of linked documents the one of the
+   smallest id stays.
+3. benchmark decontamination: documents that hold a benchmark item go.
+4. secret scans: documents stay, secrets in their text are masked and n_chars
+   follows the text.
+5. mixing: documents that the mix takes stay, with the number of copies.
+
+Every stage keeps all columns of ``documents`` and works on all rows it gets.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paddock.llm import langid
+from paddock.llm import cube, decontaminate, jaccard, langid, secrets
 from paddock.llm.common import read, stored
 from paddock.session import apply_defaults
 
+LONG, MIN_SCORE = 200, 0.1
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and long ones that resemble no learned language."""
-    found = langid.predict(docs, langid.train(docs), keep=docs.columns)
-    return found.filter("lang_pred <> 'und'").select(docs.columns)
+    found = langid.predict(docs, langid.train(docs))
+    unlike = (F.length("text") >= LONG) & (F.col("score") < MIN_SCORE)
+    return found.filter((F.col("lang_pred") != langid.UND) & ~unlike).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    masked = secrets.redact(docs, secrets.train(secrets.samples(docs)))
+    return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return cube.mix(docs).filter("copies > 0")
 
 
-STAGES = [("language ID", language_id)]
-#: The stages train models and sample; SQL can't express them.
+STAGES = [("language ID", language_id), ("n-gram Jaccard join", near_duplicates),
+          ("benchmark decontamination", decontamination), ("secret scans", secret_scan),
+          ("mixing sources", source_mix)]
+#: The stages train models, join by similarity and sample; SQL can't express them.
 ORACLE_SQL = None
 
 
