@@ -7,8 +7,9 @@ the row of smallest page id (then url; nulls last). Revisit records are made
 from the headers alone. The payload rows only learn whether they are an
 original: they are joined with the repeated digests on (digest, salt), where a
 digest's entry is copied to all salts, so a digest that holds a third of all
-rows is spread; Spark broadcasts that side if it is small. Payloads of revisits
-are dropped there.
+rows is spread. The repeated digests are written first: where their files are
+below Spark's broadcast threshold, no payload is shuffled. Payloads of revisits
+are dropped in the join.
 
 Archives are gzip files of WARC/1.1 records written by Spark's text writer, in
 which the record separator CRLF CRLF is the line separator; so they go wherever
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paddock.llm.common import stored
+
 SALTS = 32
 _END = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -90,6 +93,7 @@ def records(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id", url:
     again = (same.filter(F.col("bytes") >= min_bytes).groupBy("digest")
              .agg(F.min(order).alias("first"), F.min_by("n", order).alias("copies"), F.sum("n").alias("total"))
              .filter("total > 1").withColumnRenamed("digest", "d"))
+    again = stored(again, "warc-repeats")            # its size is known before payloads are joined
     salt = lambda: F.pmod(F.xxhash64("id", "url"), F.lit(SALTS))
     spread = again.withColumn("salt_d", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     first = F.col("id").eqNullSafe(F.col("first.id")) & F.col("url").eqNullSafe(F.col("first.url"))
