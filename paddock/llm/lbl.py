@@ -192,25 +192,30 @@ def contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return w2, w1
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], vocab: dict[bytes, int], column: int) -> Iterator:
-    """(batch rows, ids, starts, unknown words of each row) in chunks of about _CHUNK tokens."""
-    get = vocab.get
-    rows, ids, starts, unknown, at = [], [], [], [], 0
+def _encoded(batches: Iterator[pa.RecordBatch], number: dict[bytes, int], rest: bool = False) -> Iterator:
+    """(record batches, ids, starts, words without a number) in chunks of about
+    _CHUNK tokens of whole texts; the words only if ``rest``, one list a text."""
+    get = number.get
+    parts, ids, starts, unknown, at = [], [], [], [], 0
     for b in batches:
-        for i, t in enumerate(b.column(column)):
+        lo = 0
+        for i, t in enumerate(b.column(0)):
             words = _words(t.as_py())
             x = list(map(get, words, repeat(UNK)))
-            unknown.append([w for w, k in zip(words, x, strict=True) if not k])
+            if rest:
+                unknown.append([w for w, k in zip(words, x, strict=True) if not k])
             x.append(END)
-            rows.append((b, i))
             ids.append(np.array(x, np.int32))
             starts.append(at)
             at += len(x)
             if at >= _CHUNK:
-                yield rows, np.concatenate(ids), np.array(starts), unknown
-                rows, ids, starts, unknown, at = [], [], [], [], 0
-    if rows:
-        yield rows, np.concatenate(ids), np.array(starts), unknown
+                parts.append(b.slice(lo, i + 1 - lo))
+                yield parts, np.concatenate(ids), np.array(starts), unknown
+                parts, ids, starts, unknown, at, lo = [], [], [], [], 0, i + 1
+        if lo < b.num_rows:
+            parts.append(b.slice(lo))
+    if ids:
+        yield parts, np.concatenate(ids), np.array(starts), unknown
 
 
 def _pack(params: list[np.ndarray]) -> bytes:
@@ -242,7 +247,7 @@ def fit(texts: DataFrame, warm: DataFrame, model: Model) -> Model:
             part = TaskContext.get().partitionId()
             t = Trainer(start.value, part + 1)
             kept, size = [], 0
-            for _, ids, starts, _ in _encoded(batches, start.value.vocab, 0):
+            for _, ids, starts, _ in _encoded(batches, start.value.vocab):
                 if limit is None:
                     t.text_ids(ids, starts)
                 elif size < limit:
@@ -275,23 +280,47 @@ def fit(texts: DataFrame, warm: DataFrame, model: Model) -> Model:
     return model
 
 
-def log_probs(model: Model, w2: np.ndarray, w1: np.ndarray, w: np.ndarray, block: int = 4096) -> np.ndarray:
-    """Normalised natural-log probabilities of ``w`` after each context."""
-    ctx, out, c1, c2, bias = model.params
-    n = len(out)
-    left, right = ctx @ c1, ctx @ c2
-    key, place = np.unique(w2.astype(np.int64) * n + w1, return_inverse=True)
-    score = np.empty(len(w), np.float32)
-    for lo in range(0, len(w), 1 << 16):
-        s = slice(lo, lo + (1 << 16))
-        score[s] = np.einsum("ij,ij->i", left[w1[s]] + right[w2[s]], out[w[s]]) + bias[w[s]]
-    norm = np.empty(len(key))
-    for lo in range(0, len(key), block):
-        k = key[lo:lo + block]
-        z = (left[k % n] + right[k // n]) @ out.T + bias
-        top = z.max(axis=1, keepdims=True)
-        norm[lo:lo + block] = np.log(np.exp(z - top).sum(axis=1, dtype=np.float64)) + top[:, 0]
-    return score - norm[place]
+class Scorer:
+    """Normalised natural-log probabilities; the normaliser of a context is
+    kept for the next batches while the table of contexts fits ``TABLE``."""
+
+    TABLE = 1 << 22
+
+    def __init__(self, model: Model):
+        ctx, self.out, c1, c2, self.bias = model.params
+        self.n = len(self.out)
+        self.left, self.right = ctx @ c1, ctx @ c2
+        self.known = np.full(self.n ** 2, np.nan) if self.n ** 2 <= self.TABLE else None
+
+    def _norms(self, key: np.ndarray, block: int = 4096) -> np.ndarray:
+        norm = np.empty(len(key))
+        for lo in range(0, len(key), block):
+            k = key[lo:lo + block]
+            z = (self.left[k % self.n] + self.right[k // self.n]) @ self.out.T + self.bias
+            top = z.max(axis=1, keepdims=True)
+            z -= top
+            np.exp(z, out=z)
+            norm[lo:lo + block] = np.log(z.sum(axis=1, dtype=np.float64)) + top[:, 0]
+        return norm
+
+    def __call__(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
+        key = w2.astype(np.int64) * self.n + w1
+        if self.known is None:
+            new, place = np.unique(key, return_inverse=True)
+            norm = self._norms(new)[place]
+        else:
+            new = np.unique(key[np.isnan(self.known[key])])
+            self.known[new] = self._norms(new)
+            norm = self.known[key]
+        score = np.empty(len(w), np.float32)
+        for lo in range(0, len(w), 1 << 16):
+            s = slice(lo, lo + (1 << 16))
+            score[s] = np.einsum("ij,ij->i", self.left[w1[s]] + self.right[w2[s]], self.out[w[s]]) + self.bias[w[s]]
+        return score - norm
+
+
+def log_probs(model: Model, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return Scorer(model)(w2, w1, w)
 
 
 def score(docs: DataFrame, text: str, keep: list[str], c: Counts, model: Model) -> DataFrame:
@@ -304,35 +333,35 @@ def score(docs: DataFrame, text: str, keep: list[str], c: Counts, model: Model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, head, ends = shared.value
-        logc = np.zeros(len(m.params[0]))
-        known = np.zeros(len(logc))
-        for w, i in m.vocab.items():
-            logc[i], known[i] = math.log10(head[w] + 1), 1
-        logc[END], known[END] = math.log10(ends + 1), ends > 0
-        logs = {w: math.log10(k + 1) for w, k in head.items()}
-        for rows, ids, starts, unknown in _encoded(batches, m.vocab, 0):
-            w2, w1 = contexts(ids, starts)
-            lp = np.add.reduceat(log_probs(m, w2, w1, ids), starts) / math.log(10)
+        number = dict(m.vocab)                   # vocabulary ids, then those of the other head words
+        for w in head:
+            number.setdefault(w, len(number) + 2)
+        count = np.zeros(len(number) + 2)
+        count[END] = ends
+        for w, i in number.items():
+            count[i] = head[w]
+        logc, known = np.log10(count + 1), (count > 0).astype(np.int64)
+        scorer, vocab = Scorer(m), len(m.params[0])
+        for parts, ids, starts, unknown in _encoded(batches, number, rest=True):
+            inside = ids < vocab
+            w = np.where(inside, ids, UNK)
+            outside = ~inside | (ids == UNK)     # words that share <unk>
+            w2, w1 = contexts(w, starts)
+            lp = scorer(w2, w1, w) / math.log(10) + np.where(outside, logc[ids] - unk_den, 0)
             n = np.diff(np.append(starts, len(ids)))
-            s_c, s_k = np.add.reduceat(logc[ids], starts), np.add.reduceat(known[ids], starts)
-            rest = []
-            for i, u in enumerate(unknown):
-                left = []
-                for w, tf in Counter(u).items():
-                    x = logs.get(w)
-                    if x is None:
-                        left.append({"word": w, "tf": tf})
-                    else:
-                        s_c[i] += tf * x
-                        s_k[i] += tf
-                        lp[i] += tf * x
-                lp[i] -= len(u) * unk_den
-                rest.append(left)
-            table = pa.Table.from_batches([b.slice(i, 1) for b, i in rows])
-            cols = [pa.concat_arrays(table.column(j).chunks) for j in range(1, table.num_columns)]
+            words, tf, cut = [], [], [0]
+            for u in unknown:
+                seen = Counter(u)
+                words += seen.keys()
+                tf += seen.values()
+                cut.append(len(words))
+            rest = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(tf, pa.int32())], ["word", "tf"]))
+            table = pa.Table.from_batches(parts).combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(n, pa.int64()), pa.array(s_k.astype(np.int64)), pa.array(s_c), pa.array(lp),
-                 pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32())])))],
+                [*[table.column(j).chunk(0) for j in range(1, table.num_columns)], pa.array(n, pa.int64()),
+                 pa.array(np.add.reduceat(known[ids], starts)), pa.array(np.add.reduceat(logc[ids], starts)),
+                 pa.array(np.add.reduceat(lp, starts)), rest],
                 [*keep, "n_tokens", "k", "s", "lp", "rest"])
 
     types = ", ".join(f"`{f}` {docs.schema[f].dataType.simpleString()}" for f in keep)
