@@ -35,7 +35,6 @@ def main() -> None:
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus != "*" else "8"))
 
-    from paddock.operators.sequence import release
     from paddock.plans.catalog import QUERIES, load_all
     from paddock.session import local_session
 
@@ -46,7 +45,6 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         dt = time.perf_counter() - t0
-        release()
         return dt
 
     run("group_sizes")                      # JVM / parquet warm-up

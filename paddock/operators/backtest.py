@@ -12,38 +12,26 @@ from paddock.operators.sequence import with_position
 
 def predicted_rank(df: DataFrame, prob: str = "predicted_prob", group: str = "race_id",
                    tie_break: Sequence[str] = ("horse_id",), name: str = "predicted_rank",
-                   by: Sequence[str] = (), skew: str = "auto") -> DataFrame:
+                   by: Sequence[str] = ()) -> DataFrame:
     """H6: ordinal rank (1 = highest probability) inside each race.
 
     Equal probabilities are ordered by ``tie_break`` so the rank is
     deterministic.
     """
     order = [F.col(prob).desc(), *[F.col(c) for c in tie_break]]
-    out = with_position(df, [*by, group], order, name=name, skew=skew)
+    out = with_position(df, [*by, group], order, name=name, by=(prob, True))
     return out.withColumn(name, (F.col(name) + 1).cast("long"))
 
 
 def min_rank(df: DataFrame, prob: str = "win_probability", group: str | None = "race_id",
-             name: str = "rank", tie_break: Sequence[str] = ("horse_id",),
-             skew: str = "auto") -> DataFrame:
+             name: str = "rank") -> DataFrame:
     """``rank()`` semantics (ties share the lowest rank) by probability desc.
 
-    The rank of a row is 1 + the position of the first row with the same
-    probability; that first position is a per-(race, probability) minimum
-    (partial aggregate) joined back. Without ``group`` the ranking is global;
-    it then runs on the distributed position operator, never on a
-    single-partition window.
+    Without ``group`` the ranking is global: it runs over buckets of the
+    probability, never in a single-partition window.
     """
-    keys = [group] if group else []
-    order = [F.col(prob).desc(), *[F.col(c) for c in tie_break]]
-    if not keys:
-        df = df.withColumn("_all", F.lit(0))
-        keys = ["_all"]
-    x = with_position(df, keys, order, name="_pos", skew=skew)
-    first = x.groupBy(*keys, prob).agg(F.min("_pos").alias("_first"))
-    out = x.join(first, [*keys, prob], "left")
-    out = out.withColumn(name, (F.col("_first") + 1).cast("long")).drop("_pos", "_first")
-    return out.drop("_all") if "_all" in out.columns else out
+    out = with_position(df, [group] if group else [], [F.col(prob).desc()], name=name, by=(prob, True), ties=True)
+    return out.withColumn(name, (F.col(name) + 1).cast("long"))
 
 
 def prediction_frame(df: DataFrame, threshold: float = 0.5, prob: str = "predicted_prob",

@@ -29,7 +29,7 @@ def _top3(c: str = "finish_position") -> Column:
 
 
 def horse_history(df: DataFrame, order: Sequence[str], n: int = N_PAST,
-                  key: str = "horse_id", skew: str = "auto") -> DataFrame:
+                  key: str = "horse_id") -> DataFrame:
     """Rolling finish stats over the previous ``n`` races of the entity,
     days since its previous race and the count of all earlier races."""
     means = {
@@ -42,14 +42,14 @@ def horse_history(df: DataFrame, order: Sequence[str], n: int = N_PAST,
     if "last_3f_time" in df.columns:
         means["avg_last_3f_time"] = F.col("last_3f_time")
     out = rolling(df, [key], order, n, means=means, lags={"_prev_date": F.col("race_date")},
-                  count_name="num_past_races", skew=skew)
+                  count_name="num_past_races")
     return (out.withColumn("days_since_last_race",
                            F.datediff("race_date", "_prev_date").cast("long"))
                .drop("_prev_date"))
 
 
 def jockey_history(df: DataFrame, order: Sequence[str], n: int = N_PAST,
-                   key: str = "jockey_id", skew: str = "auto") -> DataFrame:
+                   key: str = "jockey_id") -> DataFrame:
     """The jockey's rolling win / top-3 rate and prior rides."""
     if key not in df.columns:
         return df.withColumns({
@@ -59,7 +59,7 @@ def jockey_history(df: DataFrame, order: Sequence[str], n: int = N_PAST,
         })
     return rolling(df, [key], order, n,
                    means={"jockey_win_rate": _win(), "jockey_top3_rate": _top3()},
-                   count_name="jockey_experience", skew=skew)
+                   count_name="jockey_experience")
 
 
 def add_targets(df: DataFrame) -> DataFrame:
@@ -70,23 +70,18 @@ def add_targets(df: DataFrame) -> DataFrame:
     })
 
 
-def prepare_for_training(raw: DataFrame, order: Sequence[str], n: int = N_PAST,
-                         skew: str | tuple[str, str] = "auto") -> DataFrame:
-    """Drop rows without an outcome, add horse and jockey history and targets.
-
-    ``skew``: one mode for both entities or a (horse, jockey) pair.
-    """
-    hs, js = (skew, skew) if isinstance(skew, str) else skew
+def prepare_for_training(raw: DataFrame, order: Sequence[str], n: int = N_PAST) -> DataFrame:
+    """Drop rows without an outcome, add horse and jockey history and targets."""
     df = raw.filter(F.col("finish_position").isNotNull())                      # D1
     if "age" in df.columns and "horse_age" not in df.columns:                  # D13
         df = df.withColumnRenamed("age", "horse_age")
-    df = horse_history(df, order, n, skew=hs)
-    df = jockey_history(df, order, n, skew=js)
+    df = horse_history(df, order, n)
+    df = jockey_history(df, order, n)
     return add_targets(df)
 
 
 def strict_date_history(df: DataFrame, order: Sequence[str], n: int = N_PAST,
-                        key: str = "horse_id", skew: str = "auto") -> DataFrame:
+                        key: str = "horse_id") -> DataFrame:
     """Q1 option: history from earlier *dates* only.
 
     Rows of one entity on one date share the history of the first of them,
@@ -94,23 +89,25 @@ def strict_date_history(df: DataFrame, order: Sequence[str], n: int = N_PAST,
     are picked per (entity, date) with ``min_by`` (partial aggregate) and
     joined back.
     """
-    h = horse_history(df, order, n, key=key, skew=skew)
+    h = horse_history(df, order, n, key=key)
     feats = ["avg_finish", "win_rate", "top3_rate", "days_since_last_race", "num_past_races"]
     rank = F.struct(*[F.col(c) for c in order])
     first = h.groupBy(key, "race_date").agg(
         *[F.min_by(F.col(c), rank).alias(c) for c in feats])
-    return df.join(first, [key, "race_date"])
+    first = first.withColumnsRenamed({key: "_key", "race_date": "_date"})
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("race_date").eqNullSafe(F.col("_date"))
+    return df.join(first, same, "left").drop("_key", "_date")
 
 
 def horse_summary(df: DataFrame, order: Sequence[str], n_past: int = N_PAST,
-                  key: str = "horse_id", skew: str = "auto") -> DataFrame:
+                  key: str = "horse_id") -> DataFrame:
     """Per-entity summary of its latest ``n_past`` races.
 
     ``weight`` is the value of the oldest of those races (the reference takes
     the last row after a newest-first sort).
     """
     desc = [F.col(c).desc() for c in order]
-    recent = with_position(df, [key], desc, name="_age", skew=skew).filter(F.col("_age") < n_past)
+    recent = with_position(df, [key], desc, name="_age", by=(order[0], True)).filter(F.col("_age") < n_past)
     fp = F.col("finish_position")
     return recent.groupBy(key).agg(
         F.avg(fp.cast("double")).alias("avg_finish"),

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import keep, needs_split, running_sum, with_position
+from paddock.operators.sequence import running_sum, with_position
 
 EPS = 1e-15
 
@@ -117,8 +117,9 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), target: str = "is_win",
     s = df.groupBy(*by, F.col(prob).alias("_s")).agg(
         F.sum(F.col(target).cast("long")).alias("_pos"),
         F.sum((F.col(target) == 0).cast("long")).alias("_neg"))
-    s = running_sum(s, by, [F.col("_s").desc()], ["_pos"])
-    pairs = F.col("_neg") * F.col("_pos_before") + F.lit(0.5) * F.col("_pos") * F.col("_neg")
+    s = running_sum(s, by, [F.col("_s").desc()], ["_pos"], by=("_s", True))
+    neg = F.col("_neg").cast("double")                 # products of counts exceed a long
+    pairs = neg * F.col("_pos_before") + F.lit(0.5) * F.col("_pos") * neg
     t = _grouped(s, by, F.sum(pairs).alias("_num"), F.sum("_pos").alias("_p"),
                  F.sum("_neg").alias("_n"))
     auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0),
@@ -127,8 +128,7 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), target: str = "is_win",
 
 
 # -- K10 ---------------------------------------------------------------------
-def ndcg_multi(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int | None] = (None,),
-               skew: str = "auto") -> DataFrame:
+def ndcg_multi(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int | None] = (None,)) -> DataFrame:
     """Mean per-race NDCG for several cutoffs from one pass (None = all entries).
 
     Relevance = entries in race - actual + 1. The predicted and the ideal
@@ -137,16 +137,9 @@ def ndcg_multi(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int | None] =
     """
     by = list(by)
     keys = [*by, "race_id"]
-    split = needs_split(df, keys, skew)
-    if split:
-        n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        x = df.join(n, keys)
-    else:
-        x = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    mode = "split" if split else "plain"
+    x = with_position(df, keys, ["predicted_rank", "horse_id"], name="_pp", total="_n")
     x = x.withColumn("_rel", (F.col("_n") - F.col("actual_position") + 1).cast("double"))
-    x = with_position(x, keys, [F.col("predicted_rank"), F.col("horse_id")], name="_pp", skew=mode)
-    x = with_position(x, keys, [F.col("_rel").desc(), F.col("horse_id")], name="_ip", skew=mode)
+    x = with_position(x, keys, [F.col("_rel").desc(), F.col("horse_id")], name="_ip", by=("_rel", True))
 
     def gain(pos: Column, k) -> Column:
         cut = F.lit(k) if k is not None else F.col("_n")
@@ -163,25 +156,23 @@ def ndcg_multi(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int | None] =
 
 
 def ndcg(df: DataFrame, by: Sequence[str] = (), k: int | None = None,
-         name: str | None = None, skew: str = "auto") -> DataFrame:
+         name: str | None = None) -> DataFrame:
     """Mean per-race NDCG (@k). Relevance = entries in race - actual + 1."""
-    out = ndcg_multi(df, by, [k], skew)
+    out = ndcg_multi(df, by, [k])
     nm = "ndcg" if k is None else f"ndcg_at_{k}"
     return out.withColumnRenamed(nm, name) if name and name != nm else out
 
 
 # -- K11 ---------------------------------------------------------------------
-def compute_all(df: DataFrame, by: Sequence[str] = (), has_betting: bool = False,
-                skew: str = "auto") -> DataFrame:
+def compute_all(df: DataFrame, by: Sequence[str] = (), has_betting: bool = False) -> DataFrame:
     """All metrics the columns allow, long form (by..., metric, value).
 
     One row-level aggregate for the per-row metrics, one race-level aggregate
     each for top-3 and NDCG, one score-level aggregate for AUC; joined on
-    ``by`` (one row per group each). The prediction frame feeds five branches,
-    so it is persisted once (released with ``sequence.release``).
+    ``by`` (one row per group each). The caller may persist the prediction
+    frame, which feeds these branches.
     """
     by = list(by)
-    df = keep(df)
     whole = not by
     if whole:  # one group: a constant key keeps every join an equi-join
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
@@ -196,8 +187,7 @@ def compute_all(df: DataFrame, by: Sequence[str] = (), has_betting: bool = False
         aggs += [recovery_rate_col().alias("recovery_rate"), roi_col().alias("roi")]
         if {"predicted_prob", "odds"} <= cols:
             aggs.append(expected_value_col().alias("expected_value"))
-    rk = "split" if needs_split(df, [*by, "race_id"], skew) else "plain"
-    parts = [_grouped(df, by, *aggs), top_n_accuracy(df, by), ndcg_multi(df, by, [None, 3], skew=rk)]
+    parts = [_grouped(df, by, *aggs), top_n_accuracy(df, by), ndcg_multi(df, by, [None, 3])]
     if has_prob:
         parts.append(auc_roc(df, by))
     wide = parts[0]

@@ -44,6 +44,7 @@ from pyspark.ml.regression import GBTRegressor, IsotonicRegression  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 
 from paddock.operators import metrics as _M  # noqa: E402
+from paddock.session import staged  # noqa: E402
 
 
 def model_frame(df: DataFrame, feature_cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -213,10 +214,8 @@ def param_search(df: DataFrame, feature_cols: Sequence[str], folds: DataFrame |
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from paddock.operators.sequence import keep
-
     spark = df.sparkSession
-    folds = keep(folds)          # every fit reads it: compute the fold positions once
+    folds = staged(folds, "folds")          # every fit reads it: compute the fold positions once
     bounds = folds.filter(F.col("test_fold").isNotNull()).groupBy("test_fold").agg(
         F.min("position").alias("first")).collect()                 # one row per fold
     tasks = [(ci, params, int(b["test_fold"]), int(b["first"]))

@@ -29,12 +29,11 @@ def score(model: PipelineModel, features: DataFrame, feature_cols: Sequence[str]
     return out
 
 
-def rank_scores(df: DataFrame, prob: str = "win_probability", skew: str = "auto") -> DataFrame:
+def rank_scores(df: DataFrame, prob: str = "win_probability") -> DataFrame:
     """``rank`` 1 = highest probability in the race, ties share the lowest
     rank; global ranking when there is no race_id."""
     group = "race_id" if "race_id" in df.columns else None
-    return min_rank(df, prob=prob, group=group, tie_break=["horse_id"] if "horse_id" in df.columns else [],
-                    skew=skew)
+    return min_rank(df, prob=prob, group=group)
 
 
 def audit(df: DataFrame, model_name: str, model_version: str | None = None,

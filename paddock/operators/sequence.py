@@ -1,244 +1,143 @@
-"""Skew-safe ordered sequences per key: positions, lags and rolling means.
-
-``Window.partitionBy(key)`` sends every row of a key to one task, so a key
-holding a third of all rows becomes a third of the job in one task. The
-operators here avoid that:
-
-1. Rows are range-partitioned on ``(keys, order)`` into ``parts`` blocks.
-   Range bounds are sampled on the full sort key, so one hot key is spread
-   over many blocks of about ``N / parts`` rows each; a key's blocks are
-   consecutive.
-2. Each block does the ordinary window work over ``(block, keys)``; these
-   groups are bounded by the block size.
-3. What a block needs from earlier blocks of the same key is the running
-   count before it (offset) and the last ``n`` rows before it (halo). Only a
-   key that crosses a block boundary has such a need, so both frames hold at
-   most ``parts`` groups (and ``n * n * parts`` halo candidates). They are
-   joined back by broadcast with that proven bound.
-
-The result equals the single-window result exactly, given a total order.
-
-The split costs two shuffles where a plain window needs one (or none when the
-input is already partitioned by the key), so ``skew="auto"`` first measures the
-largest group with one partial aggregate and uses the plain window when it is
-below ``paddock.maxGroupRows`` (default 1,000,000 rows): one task then holds at
-most that many rows of a key. ``skew="split"`` / ``"plain"`` force a path.
+"""Ordered sequences per key that are safe for any key: positions, rolling
+statistics and running sums.
+
+``Window.partitionBy(key)`` sends every row of a key to one task, however many
+they are. Here every sequence takes one path that splits keys by their own data:
+
+1. A coarse, order-preserving function of the first order column (``coarse``)
+   cuts each key's rows into buckets, the same in every run. Windows run over
+   (key, bucket).
+2. What a bucket needs from earlier ones is their row counts or sums, and for
+   rolling statistics their last ``n`` rows. The first and last ``n`` rows of all
+   buckets of a key form a thin group: at most 2n rows a bucket. The key's window
+   over the thin group gives its rows the same values as over all rows, since
+   the rows between are in no frame of a bucket's first ``n`` rows.
+3. Counts and sums of earlier buckets go from a bucket's first row to its other
+   rows in a window over (key, bucket) again.
+
+So a plan is a chain of windows: nothing is joined, counted, persisted or run
+while it is built, and a key that holds a third of all rows is spread over its
+buckets. The results equal those of the single window, given a total order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paddock.session import shuffle_parts
-
-_BLK = "_blk"
-_PERSISTED: list[DataFrame] = []
+_B, _G, _AT, _SIZE = "_bucket", "_thin", "_at", "_size"
+_FAR = 10_000_000
 
 
 def _cols(items: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
 
 
-def _key_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-              how: str = "inner", extra: Sequence[str] = (), broadcast: bool = True) -> DataFrame:
-    """Join on ``extra`` columns plus entity keys; null keys match each other."""
-    ren = {c: f"_r_{c}" for c in list(keys) + list(extra)}
-    r = right.withColumnsRenamed(ren)
-    if broadcast:
-        r = F.broadcast(r)
-    cond = [left[c].eqNullSafe(r[ren[c]]) for c in keys] + [left[c] == r[ren[c]] for c in extra]
-    return left.join(r, cond, how).drop(*ren.values())
-
-
-def blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-            parts: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order) and tag rows with their block id.
-
-    The result is persisted: the block window and the small offset/halo frames
-    are separate branches, and after column pruning Spark may plan each branch
-    with its own range exchange, whose sampled bounds can differ. Reading one
-    persisted frame gives every branch the same block ids; a lost cached
-    partition is recomputed from the same shuffle dependency, hence with the
-    same bounds.
+def coarse(df: DataFrame, name: str, desc: bool = False) -> Column:
+    """A long that grows with the order of a column (or falls with it, for
+    ``desc``): days of a date or timestamp, steps of about one per cent of a
+    number, the first characters of a text. Nulls go first, or last for desc."""
+    kind, c = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
+        v = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
+    elif isinstance(kind, T.NumericType):
+        x = c.cast("double")
+        step = F.floor(F.log2(F.abs(x)) * 64) + 100_000              # over 0 for every double but 0
+        v = F.when(F.isnan(x), F.lit(_FAR - 1)).when(x == 0, F.lit(0)).when(x > 0, step).otherwise(-step).cast("long")
+        v = F.when(F.abs(x) == float("inf"), F.when(x > 0, F.lit(_FAR - 2)).otherwise(F.lit(2 - _FAR))).otherwise(v)
+    elif isinstance(kind, T.StringType):
+        code = lambda i, most: F.least(F.ascii(F.substring(c, i, 1)), F.lit(most)).cast("long")
+        v = F.when(c.isNotNull(), code(1, 4000) * 2048 + F.when(F.ascii(c) < 4000, code(2, 2047)).otherwise(F.lit(0)))
+    else:
+        v = F.lit(0).cast("long")
+    v = F.coalesce(v, F.lit(-_FAR).cast("long"))
+    return -v if desc else v
+
+
+def _bucket(df: DataFrame, order: Sequence[str | Column], by: tuple[str, bool] | None) -> Column:
+    if by is None:
+        if not isinstance(order[0], str):
+            raise ValueError("name the first order column in `by`")
+        by = (order[0], False)
+    return coarse(df, *by)
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], o: Sequence[Column], bucket: Column, n: int,
+              sums: Mapping[str, Column]) -> DataFrame:
+    """Add bucket, position and size in the bucket, the thin group (null for
+    the first and last ``n`` rows of a bucket, else the bucket) and, as
+    ``_off_<name>``, each sum over the key's earlier buckets: right in the first
+    ``n`` rows of a bucket."""
+    whole = Window.partitionBy(*keys, _B)
+    x = df.withColumn(_B, bucket)
+    x = x.withColumns({_AT: F.row_number().over(whole.orderBy(*o)) - 1, _SIZE: F.count(F.lit(1)).over(whole),
+                       **{f"_sum_{k}": c.over(whole) for k, c in sums.items()}})
+    edge = (F.col(_AT) < n) | (F.col(_SIZE) - F.col(_AT) <= n)
+    x = x.withColumn(_G, F.when(~edge, F.col(_B)))
+    last = F.col(_AT) == F.col(_SIZE) - 1
+    before = Window.partitionBy(*keys, _G).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
+    return x.withColumns({f"_off_{k}": F.coalesce(F.sum(F.when(last, F.col(f"_sum_{k}"))).over(before), F.lit(0)) for k in sums})
+
+
+def _to_all(c: Column, keys: Sequence[str]) -> Column:
+    """The value of a bucket's first row, for all its rows."""
+    return F.max(F.when(F.col(_AT) == 0, c)).over(Window.partitionBy(*keys, _B))
+
+
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "pos",
+                  by: tuple[str, bool] | None = None, total: str | None = None, ties: bool = False) -> DataFrame:
+    """Add ``name``: 0-based position of the row inside its key, in ``order``,
+    and ``total``: the rows of the key. With ``ties``, rows that are equal in
+    ``order`` share the lowest position.
+
+    ``by``: (name, descending) of the first order column, where it is not a name.
     """
-    parts = parts or shuffle_parts(df.sparkSession)
-    xb = (df.repartitionByRange(parts, *_cols(keys), *_cols(order))
-            .withColumn(_BLK, F.spark_partition_id())
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    _PERSISTED.append(xb)
-    return xb
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Persist a frame read by several branches of one plan (see ``release``)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    return df
-
-
-def release() -> None:
-    """Unpersist the block frames created so far (call after the action)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-def max_group_rows(spark) -> int:
-    return int(spark.conf.get("paddock.maxGroupRows", "1000000"))
-
-
-def needs_split(df: DataFrame, keys: Sequence[str], skew: str = "auto",
-                probe: DataFrame | None = None) -> bool:
-    """Decide between the plain window and the block split.
-
-    ``probe``: optional cheaper frame with the same key columns (e.g. the raw
-    fact table before joins) to measure group sizes on.
-    """
-    if skew == "split":
-        return True
-    if skew == "plain":
-        return False
-    src = probe if probe is not None else df
-    top = src.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return top is not None and top > max_group_rows(df.sparkSession)
-
-
-def _groups(xb: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per (block, key): row count, rows of the key in earlier blocks, next block."""
-    kw = Window.partitionBy(*keys).orderBy(_BLK)
-    g = xb.groupBy(_BLK, *keys).agg(F.count(F.lit(1)).alias("_gcnt"))
-    return g.withColumns({
-        "_off": F.coalesce(F.sum("_gcnt").over(
-            kw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"),
-        "_nxt": F.lead(_BLK, 1).over(kw),
-    })
-
-
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  name: str = "pos", parts: int | None = None, skew: str = "auto",
-                  probe: DataFrame | None = None) -> DataFrame:
-    """Add ``name``: 0-based position of the row inside its key, in ``order``.
-
-    Equivalent to ``row_number() over (partition by keys order by order) - 1``.
-    """
-    if not needs_split(df, keys, skew, probe):
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    xb = blocked(df, keys, order, parts)
-    w = Window.partitionBy(_BLK, *keys).orderBy(*_cols(order))
-    x = xb.withColumn("_lrn", F.row_number().over(w) - 1)
-    off = _groups(xb, keys).filter(F.col("_off") > 0).select(_BLK, *keys, "_off")
-    out = _key_join(x, off, keys, "left", extra=[_BLK])
-    return (out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("long"))
-               .drop("_lrn", "_off", _BLK))
+    keys, o = list(keys), _cols(order)
+    x = _bucketed(df, keys, o, _bucket(df, order, by), 1, {"n": F.count(F.lit(1))})
+    add = {}
+    if total:
+        last = F.col(_AT) == F.col(_SIZE) - 1
+        x = x.withColumn("_all", F.sum(F.when(last, F.col("_sum_n"))).over(Window.partitionBy(*keys, _G)))
+        add[total] = _to_all(F.col("_all"), keys).cast("long")
+    rank = F.rank().over(Window.partitionBy(*keys, _B).orderBy(*o)) - 1 if ties else F.col(_AT)
+    add[name] = (rank + _to_all(F.col("_off_n"), keys)).cast("long")
+    return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)
 
 
 def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int,
-            means: Mapping[str, Column] | None = None,
-            lags: Mapping[str, Column] | None = None,
-            count_name: str | None = None,
-            parts: int | None = None, skew: str = "auto",
-            probe: DataFrame | None = None) -> DataFrame:
+            means: Mapping[str, Column] | None = None, lags: Mapping[str, Column] | None = None,
+            count_name: str | None = None, by: tuple[str, bool] | None = None) -> DataFrame:
     """Per-key history over the ``n`` preceding rows (current row excluded).
 
     ``means``: output name -> value; mean of the non-null values among the
-    previous ``n`` rows (null if there are none), i.e. SQL ``AVG`` over
-    ``ROWS BETWEEN n PRECEDING AND 1 PRECEDING``.
-    ``lags``: output name -> value of the previous row of the key.
-    ``count_name``: number of earlier rows of the key.
+    previous ``n`` rows (null if there are none). ``lags``: output name -> value
+    of the previous row. ``count_name``: number of earlier rows of the key.
     """
-    means = dict(means or {})
-    lags = dict(lags or {})
-    if not needs_split(df, keys, skew, probe):
-        w = Window.partitionBy(*keys).orderBy(*_cols(order))
-        res = {k: F.avg(c.cast("double")).over(w.rowsBetween(-n, -1)) for k, c in means.items()}
-        res.update({k: F.lag(c, 1).over(w) for k, c in lags.items()})
-        if count_name:
-            res[count_name] = (F.row_number().over(w) - 1).cast("long")
-        return df.withColumns(res)
-    vals = {f"_v{i}": c.cast("double") for i, c in enumerate(means.values())}
-    lvs = {f"_l{i}": c for i, c in enumerate(lags.values())}
-    xb = blocked(df.withColumns({**vals, **lvs}) if (vals or lvs) else df, keys, order, parts)
-
-    w = Window.partitionBy(_BLK, *keys).orderBy(*_cols(order))
-    frame = w.rowsBetween(-n, -1)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wcols = {"_lrn": F.row_number().over(w) - 1, "_gcnt_in": F.count(F.lit(1)).over(whole)}
-    for v in vals:
-        wcols[f"{v}_s"] = F.sum(v).over(frame)
-        wcols[f"{v}_c"] = F.count(v).over(frame)
-    for lv in lvs:
-        wcols[f"{lv}_p"] = F.lag(lv, 1).over(w)
-    x = xb.withColumns(wcols)
-
-    g = _groups(xb, keys)
-    off = g.filter(F.col("_off") > 0).select(_BLK, *keys, "_off")          # <= parts rows
-    cont = g.filter(F.col("_nxt").isNotNull()).select(_BLK, *keys, "_off")  # <= parts rows
-
-    out = _key_join(x, off, keys, "left", extra=[_BLK])
-    if vals or lvs:
-        # last n rows of every group that continues into a later block
-        tail = (x.filter(F.col("_gcnt_in") - F.col("_lrn") <= n)
-                 .select(_BLK, *keys, "_lrn", *vals, *lvs))
-        tail = _key_join(tail, cont, keys, "inner", extra=[_BLK])
-        tail = (tail.withColumn("_p", F.col("_off") + F.col("_lrn"))
-                    .withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(n))))
-                    .withColumn("_tblk", F.col(_BLK) + F.col("_j"))
-                    .drop(_BLK, "_off", "_lrn", "_j")
-                    .withColumnRenamed("_tblk", _BLK))
-        tgt = off.withColumnRenamed("_off", "_toff")
-        halo = _key_join(tail, tgt, keys, "inner", extra=[_BLK])
-        halo = halo.withColumn("_d", F.col("_toff") - F.col("_p")).filter(
-            (F.col("_d") >= 1) & (F.col("_d") <= n))
-        aggs = [F.max(F.when(F.col("_d") == d, F.col(v))).alias(f"{v}_h{d}")
-                for v in vals for d in range(1, n + 1)]
-        aggs += [F.max(F.when(F.col("_d") == 1, F.col(lv))).alias(f"{lv}_h1") for lv in lvs]
-        hagg = halo.groupBy(_BLK, *keys).agg(*aggs)                           # <= parts rows
-        out = _key_join(out, hagg, keys, "left", extra=[_BLK])
-
-    res = {}
-    lrn = F.col("_lrn")
-    for (name, v) in zip(means, vals):
-        s = F.coalesce(F.col(f"{v}_s"), F.lit(0.0))
-        c = F.col(f"{v}_c")
-        for d in range(1, n + 1):
-            use = (lrn + d <= n) & F.col(f"{v}_h{d}").isNotNull()
-            s = s + F.when(use, F.col(f"{v}_h{d}")).otherwise(F.lit(0.0))
-            c = c + F.when(use, F.lit(1)).otherwise(F.lit(0))
-        res[name] = F.when(c > 0, s / c)
-    for (name, lv) in zip(lags, lvs):
-        res[name] = F.when(lrn == 0, F.col(f"{lv}_h1")).otherwise(F.col(f"{lv}_p"))
+    keys, o = list(keys), _cols(order)
+    means, lags = dict(means or {}), dict(lags or {})
+
+    def stats(group: str, tag: str) -> dict[str, Column]:
+        w = Window.partitionBy(*keys, group).orderBy(*o)
+        out = {f"{tag}{k}": F.avg(c.cast("double")).over(w.rowsBetween(-n, -1)) for k, c in means.items()}
+        return out | {f"{tag}{k}": F.lag(c, 1).over(w) for k, c in lags.items()}
+
+    x = _bucketed(df, keys, o, _bucket(df, order, by), n, {"n": F.count(F.lit(1))})
+    x = x.withColumns(stats(_G, "_edge_"))                    # the thin group's windows
+    add = {k: F.when(F.col(_AT) < n, F.col(f"_edge_{k}")).otherwise(c) for k, c in stats(_B, "").items()}
     if count_name:
-        res[count_name] = (F.coalesce(F.col("_off"), F.lit(0)) + lrn).cast("long")
-    out = out.withColumns(res)
-    keep = [c for c in df.columns if c not in res] + list(res)
-    return out.select(*keep)
+        add[count_name] = (F.col(_AT) + _to_all(F.col("_off_n"), keys)).cast("long")
+    return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                cols: Sequence[str], suffix: str = "_before", parts: int | None = None,
-                skew: str = "auto") -> DataFrame:
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
+                suffix: str = "_before", by: tuple[str, bool] | None = None) -> DataFrame:
     """Add ``{c}{suffix}``: sum of ``c`` over the rows strictly before, per key.
-
-    With ``keys=[]`` the order is global; the plain path would then be a
-    single-partition window, so it is only taken when the whole input is
-    below the group-size bound.
-    """
-    if not needs_split(df, keys, skew):
-        w = Window.partitionBy(*keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({f"{c}{suffix}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
-    xb = blocked(df, keys, order, parts)
-    w = Window.partitionBy(_BLK, *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, -1)
-    x = xb.withColumns({f"_rs_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
-    kw = Window.partitionBy(*keys).orderBy(_BLK).rowsBetween(Window.unboundedPreceding, -1)
-    tot = xb.groupBy(_BLK, *keys).agg(*[F.sum(c).alias(f"_gt_{c}") for c in cols])
-    off = tot.select(_BLK, *keys, *[F.coalesce(F.sum(f"_gt_{c}").over(kw), F.lit(0)).alias(f"_go_{c}")
-                                    for c in cols])                      # <= parts rows
-    out = _key_join(x, off, keys, "left", extra=[_BLK]) if keys else \
-        x.join(F.broadcast(off), _BLK, "left")
-    return (out.withColumns({f"{c}{suffix}": F.col(f"_rs_{c}") + F.coalesce(F.col(f"_go_{c}"), F.lit(0))
-                             for c in cols})
-               .drop(_BLK, *[f"_rs_{c}" for c in cols], *[f"_go_{c}" for c in cols]))
+    Without keys the order is global."""
+    keys, o = list(keys), _cols(order)
+    x = _bucketed(df, keys, o, _bucket(df, order, by), 1, {c: F.sum(c) for c in cols})
+    w = Window.partitionBy(*keys, _B).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
+    add = {f"{c}{suffix}": F.coalesce(F.sum(c).over(w), F.lit(0)) + _to_all(F.col(f"_off_{c}"), keys) for c in cols}
+    return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)

@@ -13,38 +13,74 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import running_sum, with_position
+from paddock.operators.sequence import with_position
+
+
+_DAY, _TIME = "_day", "_time"
 
 
 def date_histogram(df: DataFrame, date_col: str = "race_date", by: Sequence[str] = ()) -> DataFrame:
-    """(by..., date, n, n_before): rows per date and rows on earlier dates."""
-    h = df.groupBy(*by, date_col).agg(F.count(F.lit(1)).alias("n"))
-    return running_sum(h, list(by), [F.col(date_col)], ["n"], suffix="_before")
+    """(by..., _day, n, n_before): rows per day and rows on earlier days.
+
+    One row per group and calendar day, also where the column is a timestamp.
+    Null dates are a day of their own after all others.
+    """
+    h = df.groupBy(*by, F.col(date_col).cast("date").alias(_DAY)).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*by).orderBy(F.col(_DAY).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return h.withColumn("n_before", F.coalesce(F.sum("n").over(w), F.lit(0)))       # over the calendar only
+
+
+def _with_days(df: DataFrame, h: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Join the histogram's columns to the rows, null days included; it has one
+    row per group and calendar day, which bounds the broadcast."""
+    keys = [*by, _DAY]
+    h = F.broadcast(h.withColumnsRenamed({k: f"_h{k}" for k in keys}))
+    x = df.withColumn(_DAY, F.col(date_col).cast("date"))
+    return x.join(h, [F.col(k).eqNullSafe(F.col(f"_h{k}")) for k in keys]).drop(*[f"_h{k}" for k in keys])
+
+
+def _day_position(x: DataFrame, order: Sequence[str], date_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``_pd``: position of the row inside its day (by the time, then ``order``)."""
+    rest = [c for c in order if c != date_col]
+    if x.schema[date_col].dataType.typeName() == "date":
+        return with_position(x, [*by, _DAY], rest, name="_pd")
+    seconds = F.col(date_col).cast("timestamp").cast("double") - F.col(_DAY).cast("timestamp").cast("double")
+    return with_position(x.withColumn(_TIME, seconds), [*by, _DAY], [_TIME, *rest], name="_pd").drop(_TIME)
 
 
 def global_position(df: DataFrame, order: Sequence[str], date_col: str = "race_date",
-                    name: str = "position", skew: str = "auto") -> DataFrame:
+                    name: str = "position") -> DataFrame:
     """0-based position of each row in ``order`` (which starts with the date).
 
-    position = rows on earlier dates + position inside the date.
+    position = rows on earlier days + position inside the day; null dates last.
     """
-    h = date_histogram(df, date_col).select(date_col, "n_before")
-    x = with_position(df, [date_col], [F.col(c) for c in order if c != date_col], name="_pd", skew=skew)
-    x = x.join(F.broadcast(h), date_col)          # one row per distinct date
-    return x.withColumn(name, (F.col("n_before") + F.col("_pd")).cast("long")).drop("n_before", "_pd")
+    h = date_histogram(df, date_col).select(_DAY, "n_before")
+    x = _with_days(_day_position(df.withColumn(_DAY, F.col(date_col).cast("date")), order, date_col).drop(_DAY), h, date_col)
+    return x.withColumn(name, (F.col("n_before") + F.col("_pd")).cast("long")).drop("n_before", "_pd", _DAY)
+
+
+def _cut_days(df: DataFrame, h: DataFrame, order: Sequence[str], date_col: str, by: Sequence[str],
+              name: str, first: str, second: str) -> DataFrame:
+    """Label the first ``_k`` rows of each day ``first``, the others ``second``;
+    only the days that a cut falls inside need positions."""
+    x = _with_days(df, h.select(*by, _DAY, "n", "_k"), date_col, by)
+    mixed = (F.col("_k") > 0) & (F.col("_k") < F.col("n"))
+    inner = _day_position(x.filter(mixed), order, date_col, by)
+    inner = inner.withColumn(name, F.when(F.col("_pd") < F.col("_k"), first).otherwise(second))
+    whole = x.filter(~mixed).withColumn(name, F.when(F.col("_k") == F.col("n"), first).otherwise(second))
+    return whole.unionByName(inner.drop("_pd")).drop("n", "_k", _DAY)
 
 
 def temporal_split(df: DataFrame, order: Sequence[str], validation_ratio: float = 0.2,
-                   date_col: str = "race_date", mode: str = "row", skew: str = "auto") -> DataFrame:
+                   date_col: str = "race_date", mode: str = "row") -> DataFrame:
     """H1: ``split`` = 'train' for the first int(n * (1 - ratio)) rows in order,
-    else 'validation'.
+    else 'validation'. Rows without a date come last.
 
     mode='row' follows the reference (the cut may fall inside a day);
     mode='date' keeps whole days: a day is train only if all its rows fit.
-    Only the rows of the one day the cut falls in need a position.
     """
     h = date_histogram(df, date_col)
     tot = F.sum("n").over(Window.partitionBy())              # over the date histogram only
@@ -54,25 +90,17 @@ def temporal_split(df: DataFrame, order: Sequence[str], validation_ratio: float
                          .otherwise(F.lit(0)))
     else:
         h = h.withColumn("_k", F.greatest(F.lit(0), F.least(F.col("n"), F.col("_cut") - F.col("n_before"))))
-    x = df.join(F.broadcast(h.select(date_col, "n", "_k")), date_col)
-    mixed = (F.col("_k") > 0) & (F.col("_k") < F.col("n"))
-    inner = with_position(x.filter(mixed), [date_col], [F.col(c) for c in order if c != date_col],
-                          name="_pd", skew=skew)
-    inner = inner.withColumn("split", F.when(F.col("_pd") < F.col("_k"), "train").otherwise("validation"))
-    whole = x.filter(~mixed).withColumn(
-        "split", F.when(F.col("_k") == F.col("n"), "train").otherwise("validation"))
-    return whole.unionByName(inner.drop("_pd")).drop("n", "_k")
+    return _cut_days(df, h, order, date_col, [], "split", "train", "validation")
 
 
-def time_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5, date_col: str = "race_date",
-               skew: str = "auto") -> DataFrame:
+def time_folds(df: DataFrame, order: Sequence[str], n_splits: int = 5, date_col: str = "race_date") -> DataFrame:
     """H2: expanding time folds (scikit-learn ``TimeSeriesSplit`` layout).
 
     test size = n // (n_splits + 1); fold i tests on its block and trains on
     every earlier row. Adds ``position`` and ``test_fold`` (null for rows only
     ever used for training).
     """
-    x = global_position(df, order, date_col, skew=skew)
+    x = global_position(df, order, date_col)
     tot = df.agg(F.count(F.lit(1)).alias("_n")).withColumn("_k", F.lit(0))   # one row
     x = x.withColumn("_k", F.lit(0)).join(F.broadcast(tot), "_k")
     size = F.floor(F.col("_n") / (n_splits + 1))
@@ -138,20 +166,14 @@ def assign_periods(df: DataFrame, periods: DataFrame, side: str = "test",
 
 
 def calibration_holdout(train_rows: DataFrame, order: Sequence[str], holdout: float = 0.2,
-                        by: str = "period", date_col: str = "race_date", skew: str = "auto") -> DataFrame:
+                        by: str = "period", date_col: str = "race_date") -> DataFrame:
     """H5: per group, the last ``holdout`` share of rows in order calibrates
     (``role`` = 'calibration'), the rest fits ('fit'); int(n*(1-holdout)) fit rows."""
     h = date_histogram(train_rows, date_col, by=[by])
     tot = F.sum("n").over(Window.partitionBy(by))
     h = h.withColumn("_cut", F.floor(tot * F.lit(1.0 - holdout)).cast("long"))
     h = h.withColumn("_k", F.greatest(F.lit(0), F.least(F.col("n"), F.col("_cut") - F.col("n_before"))))
-    x = train_rows.join(F.broadcast(h.select(by, date_col, "n", "_k")), [by, date_col])
-    mixed = (F.col("_k") > 0) & (F.col("_k") < F.col("n"))
-    inner = with_position(x.filter(mixed), [by, date_col], [F.col(c) for c in order if c != date_col],
-                          name="_pd", skew=skew)
-    inner = inner.withColumn("role", F.when(F.col("_pd") < F.col("_k"), "fit").otherwise("calibration"))
-    whole = x.filter(~mixed).withColumn("role", F.when(F.col("_k") == F.col("n"), "fit").otherwise("calibration"))
-    return whole.unionByName(inner.drop("_pd")).drop("n", "_k")
+    return _cut_days(train_rows, h, order, date_col, [by], "role", "fit", "calibration")
 
 
 def temporal_integrity(train_rows: DataFrame, test_rows: DataFrame, by: str = "period",

@@ -9,30 +9,12 @@ entry inside its race by price. The same binding is written once in SQL
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import max_group_rows, needs_split, with_position
+from paddock.operators.sequence import with_position
 from paddock.sources.tables import table
 
-# entity key -> raw lineitem column whose group sizes equal the entity's
-_PROBE_COL = {"race_id": "l_orderkey", "horse_id": "l_partkey", "jockey_id": "l_suppkey"}
-_SKEW: dict = {}
-
-
-def skew_for(spark: SparkSession, sf_dir: str, key: str) -> str:
-    """"split" or "plain" for windows keyed by ``key``, measured once per dataset.
-
-    The largest group is measured on the raw fact column (one partial
-    aggregate over a single parquet column), not on the joined frame.
-    """
-    k = (sf_dir, key, max_group_rows(spark))
-    if k not in _SKEW:
-        col = _PROBE_COL[key]
-        probe = table(spark, sf_dir, "lineitem").select(col)
-        _SKEW[k] = "split" if needs_split(probe, [col], "auto") else "plain"
-    return _SKEW[k]
-
 # Total order of entries for every per-entity window (date, then a unique tie-break).
 HISTORY_ORDER = ["race_date", "race_id", "ln", "horse_id", "jockey_id", "price", "ship"]
 
@@ -50,7 +32,7 @@ def _map(col: Column, pairs: dict) -> Column:
     return expr
 
 
-def entries(spark: SparkSession, sf_dir: str, skew: str = "auto") -> DataFrame:
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per entry of a race, with the domain columns."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -87,18 +69,8 @@ def entries(spark: SparkSession, sf_dir: str, skew: str = "auto") -> DataFrame:
         (F.lit(2) + F.col("l_partkey") % 6).cast("int").alias("age"),
         (F.lit(1.0) / (F.lit(1.0) + F.col("l_quantity"))).alias("predicted_prob"),
     )
-    # Group sizes are measured on the raw fact column, before the join.
-    split = (skew_for(spark, sf_dir, "race_id") if skew == "auto" else skew) == "split"
-    e = with_position(e, ["race_id"], finish_order(), name="_fpos",
-                      skew="split" if split else "plain")
-    if split:
-        # partial count per race, joined back (AQE splits a hot race in the join)
-        cnt = e.groupBy("race_id").agg(F.count(F.lit(1)).cast("int").alias("num_entries"))
-        e = e.join(cnt, "race_id")
-    else:
-        # same partitioning as the finish-position window: no extra shuffle
-        e = e.withColumn("num_entries",
-                         F.count(F.lit(1)).over(Window.partitionBy("race_id")).cast("int"))
+    e = with_position(e, ["race_id"], finish_order(), name="_fpos", by=("price", True), total="num_entries")
+    e = e.withColumn("num_entries", F.col("num_entries").cast("int"))
     return e.withColumns({
         "finish_position": (F.col("_fpos") + 1).cast("int"),
         "bet_amount": F.lit(100.0),

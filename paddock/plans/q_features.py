@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from paddock.functions import features as FT
 from paddock.operators.fitted import CategoryEncoder, FeaturePipeline, FeatureScaler
-from paddock.operators.sequence import keep
 from paddock.plans.bindings import with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import TRAIN_SQL, training
+from paddock.session import staged
 
 SPLIT_DATE = dt.date(1998, 1, 1)
 IDS = ["race_id", "horse_id", "ln"]
@@ -118,7 +118,7 @@ ONEHOT_COLS = ["weather", "track_type"]
 def _enc_frame(spark, sf, extra=()):
     # read by the fit job(s) and by the transform: the narrow input is computed once
     t = training(spark, sf).withColumn("race_year", F.year("race_date").cast("string"))
-    return keep(t.select("race_id", "horse_id", "ln", "race_date", *ENC_COLS, *extra))
+    return staged(t.select("race_id", "horse_id", "ln", "race_date", *ENC_COLS, *extra), "encode")
 
 
 def _train_rows(df):
@@ -190,7 +190,7 @@ SELECT t.race_id, t.horse_id, CAST(t.ln AS BIGINT) AS ln, {exprs} FROM train t,
 
 
 def _scaled(spark, sf, kind):
-    df = keep(training(spark, sf).select("race_id", "horse_id", "ln", "race_date", *SCALE_COLS))
+    df = staged(training(spark, sf).select("race_id", "horse_id", "ln", "race_date", *SCALE_COLS), "scale")
     model = FeatureScaler(SCALE_COLS, kind).fit(_train_rows(df))
     return model.transform(df).select(*_ids(), *[r6(f"{c}_scaled").alias(f"{c}_scaled") for c in SCALE_COLS])
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from paddock.operators import history as H
-from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, entries, skew_for, with_entries
+from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, entries, with_entries
 from paddock.plans.catalog import query, r6
 
 AS_OF = dt.date(2001, 9, 1)
@@ -15,9 +15,8 @@ COURSE = "1-URGENT"
 
 
 def training(spark, sf):
-    """D14 over the entries with per-entity skew decisions measured once."""
-    return H.prepare_for_training(entries(spark, sf), HISTORY_ORDER,
-                                  skew=(skew_for(spark, sf, "horse_id"), skew_for(spark, sf, "jockey_id")))
+    """D14 over the entries."""
+    return H.prepare_for_training(entries(spark, sf), HISTORY_ORDER)
 
 
 def _ids(df):
@@ -41,7 +40,7 @@ WINDOW o AS (PARTITION BY horse_id ORDER BY {ORD}),
 """))
 def q_horse_history(spark, sf):
     e = entries(spark, sf).filter(F.col("finish_position").isNotNull())
-    h = H.horse_history(e, HISTORY_ORDER, skew=skew_for(spark, sf, "horse_id"))
+    h = H.horse_history(e, HISTORY_ORDER)
     return h.select(*_ids(h), F.col("finish_position").cast("long").alias("finish_position"),
                     *[r6(c).alias(c) for c in ("avg_finish", "win_rate", "top3_rate",
                                                "avg_corner_pos_4", "avg_last_3f_time")],
@@ -59,7 +58,7 @@ WINDOW o AS (PARTITION BY jockey_id ORDER BY {ORD}),
 """))
 def q_jockey_history(spark, sf):
     e = entries(spark, sf).filter(F.col("finish_position").isNotNull())
-    h = H.jockey_history(e, HISTORY_ORDER, skew=skew_for(spark, sf, "jockey_id"))
+    h = H.jockey_history(e, HISTORY_ORDER)
     return h.select(*_ids(h), r6("jockey_win_rate").alias("jockey_win_rate"),
                     r6("jockey_top3_rate").alias("jockey_top3_rate"), "jockey_experience")
 
@@ -132,7 +131,7 @@ WHERE e.finish_position IS NOT NULL
 """))
 def q_horse_history_strict(spark, sf):
     e = entries(spark, sf).filter(F.col("finish_position").isNotNull())
-    h = H.strict_date_history(e, HISTORY_ORDER, skew=skew_for(spark, sf, "horse_id"))
+    h = H.strict_date_history(e, HISTORY_ORDER)
     return h.select(F.col("race_id").cast("long"), F.col("horse_id").cast("long"),
                     F.col("ln").cast("long"), "race_date",
                     *[r6(c).alias(c) for c in ("avg_finish", "win_rate", "top3_rate")],
@@ -156,7 +155,7 @@ SELECT horse_id,
 FROM recent WHERE age_rank < 5 GROUP BY horse_id
 """))
 def q_horse_summary(spark, sf):
-    s = H.horse_summary(entries(spark, sf), HISTORY_ORDER, skew=skew_for(spark, sf, "horse_id"))
+    s = H.horse_summary(entries(spark, sf), HISTORY_ORDER)
     return s.select(F.col("horse_id").cast("long"),
                     *[r6(c).alias(c) for c in ("avg_finish", "win_rate", "top3_rate")],
                     "last_race_date", r6("weight").alias("weight"), "num_past_races",

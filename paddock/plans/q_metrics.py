@@ -8,7 +8,7 @@ from paddock.operators import metrics as M
 from paddock.operators.backtest import prediction_frame, predicted_rank
 from paddock.operators.history import add_targets
 from paddock.operators.models import ensemble
-from paddock.plans.bindings import entries, skew_for, with_entries
+from paddock.plans.bindings import entries, with_entries
 from paddock.plans.catalog import query, r6
 
 THRESHOLD = 0.05
@@ -21,7 +21,7 @@ def predictions(spark, sf, threshold: float = THRESHOLD):
     p = prediction_frame(e, threshold=threshold,
                          ids=("race_id", "horse_id", "ln", "jockey_id", "price", "ship",
                               "course", "race_date"))
-    return predicted_rank(p, tie_break=TIE, skew=skew_for(spark, sf, "race_id"))
+    return predicted_rank(p, tie_break=TIE)
 
 
 PREDS_SQL = f"""
@@ -186,12 +186,12 @@ def ndcg_sql(k=None, src="preds", by=""):
 
 @query("ndcg", with_preds(ndcg_sql() + "\nSELECT round(ndcg, 6) AS ndcg FROM ndcg"))
 def q_ndcg(spark, sf):
-    return M.ndcg(predictions(spark, sf), skew=skew_for(spark, sf, "race_id")).select(r6("ndcg").alias("ndcg"))
+    return M.ndcg(predictions(spark, sf)).select(r6("ndcg").alias("ndcg"))
 
 
 @query("ndcg_at_3", with_preds(ndcg_sql(3) + "\nSELECT round(ndcg_at_3, 6) AS ndcg_at_3 FROM ndcg_at_3"))
 def q_ndcg3(spark, sf):
-    return M.ndcg(predictions(spark, sf), k=3, skew=skew_for(spark, sf, "race_id")).select(r6("ndcg_at_3").alias("ndcg_at_3"))
+    return M.ndcg(predictions(spark, sf), k=3).select(r6("ndcg_at_3").alias("ndcg_at_3"))
 
 
 def metrics_all_sql(src: str, by: str) -> str:
@@ -235,8 +235,7 @@ t3 AS (SELECT {by}, COALESCE(avg(CASE WHEN act > 0 THEN hit * 1.0e0 / act END),
 
 @query("metrics_all", with_preds(metrics_all_sql("preds", "course")))
 def q_metrics_all(spark, sf):
-    m = M.compute_all(predictions(spark, sf), by=["course"], has_betting=True,
-                      skew=skew_for(spark, sf, "race_id"))
+    m = M.compute_all(predictions(spark, sf), by=["course"], has_betting=True)
     return m.select("course", "metric", r6("value").alias("value"))
 
 

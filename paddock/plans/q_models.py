@@ -12,12 +12,11 @@ from paddock.operators import models as ML
 from paddock.operators import scoring as SC
 from paddock.operators import splits as S
 from paddock.operators.fitted import FeaturePipeline
-from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, skew_for, with_entries
+from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import training
 from paddock.plans.q_metrics import PREDS_SQL, THRESHOLD, auc_sql, predictions
-from paddock.operators.sequence import keep
-from paddock.session import scratch_dir
+from paddock.session import scratch_dir, staged
 
 RATIO = 0.2
 K_FOLDS = 5
@@ -84,7 +83,7 @@ SELECT race_id, horse_id, CAST(ln AS BIGINT) AS ln, round(predicted_prob, 6) AS
 def q_score_rank(spark, sf):
     """J2 on a fixed score: ties share the lowest rank."""
     p = predictions(spark, sf).withColumnRenamed("predicted_prob", "win_probability")
-    r = SC.rank_scores(p, skew=skew_for(spark, sf, "race_id"))
+    r = SC.rank_scores(p)
     return r.select("race_id", "horse_id", F.col("ln").cast("long").alias("ln"),
                     r6("win_probability").alias("win_probability"), "rank")
 
@@ -108,8 +107,8 @@ def _model_data(spark, sf):
     fm = pipe.fit(t.filter(F.col("split") == "train"))
     cols = [c for c in feature_columns(fm.transform(t)) if c != "feat_jockey_course_win_rate"]
     # iterative fits read their input several times: materialise the narrow model input once
-    x = keep(fm.transform(t).select("race_id", "horse_id", "ln", "race_date", "jockey_id", "price", "ship",
-                                    "finish_position", "is_win", "split", *cols))
+    x = staged(fm.transform(t).select("race_id", "horse_id", "ln", "race_date", "jockey_id", "price", "ship",
+                                      "finish_position", "is_win", "split", *cols), "model-data")
     return x.filter(F.col("split") == "train"), x.filter(F.col("split") == "validation"), cols
 
 
@@ -145,7 +144,7 @@ def q_rank_regression(spark, sf):
     model = ML.fit_ranker(tr, cols)
     x, _ = ML.model_frame(va, cols)
     s = model.transform(x).select("race_id", "horse_id", "ln", "rank_score")
-    r = predicted_rank(s, prob="rank_score", tie_break=["horse_id", "ln"], skew=skew_for(spark, sf, "race_id"))
+    r = predicted_rank(s, prob="rank_score", tie_break=["horse_id", "ln"])
     return r.select("race_id", "horse_id", F.col("ln").cast("long"), r6("rank_score").alias("rank_score"),
                     "predicted_rank")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators import metrics as M
 from paddock.operators import monitor as MO
-from paddock.plans.bindings import entries, skew_for, with_entries
+from paddock.plans.bindings import entries, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_metrics import PREDS_SQL, auc_sql, metrics_all_sql, predictions
 from paddock.plans.q_splits import PERIODS_SQL, PTEST_SQL, period_predictions, periods
@@ -195,7 +195,7 @@ FROM longm l JOIN (VALUES {rows}) s(section, position, metric, display_name) USI
 
 @query("metrics_sections", _sections_sql())
 def q_metrics_sections(spark, sf):
-    m = M.compute_all(predictions(spark, sf), has_betting=True, skew=skew_for(spark, sf, "race_id"))
+    m = M.compute_all(predictions(spark, sf), has_betting=True)
     return MO.metrics_sections(m.select("metric", r6("value").alias("value")))
 
 
@@ -208,8 +208,7 @@ PERIOD_KEYS = ["win_accuracy", "place_accuracy", "top3_accuracy", "ndcg", "ndcg_
                                     + ", ".join(f"COALESCE((SELECT value FROM longm l WHERE l.period = p.period AND l.metric = '{m}'), 0.0) AS {m}"
                                                 for m in PERIOD_KEYS) + " FROM periods p"))
 def q_period_table(spark, sf):
-    m = M.compute_all(period_predictions(spark, sf), by=["period"], has_betting=True,
-                      skew=skew_for(spark, sf, "race_id"))
+    m = M.compute_all(period_predictions(spark, sf), by=["period"], has_betting=True)
     t = MO.period_table(periods(spark, sf), m.select("period", "metric", r6("value").alias("value")), PERIOD_KEYS)
     return t
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paddock.operators import metrics as M
 from paddock.operators import splits as S
 from paddock.operators.backtest import predicted_rank
-from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, entries, skew_for, with_entries
+from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, entries, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_metrics import PREDS_SQL, TIE, metrics_all_sql, predictions
 
@@ -118,14 +118,13 @@ PTEST_SQL = """
 def period_predictions(spark, sf):
     p = predictions(spark, sf).drop("predicted_rank")
     t = S.assign_periods(p, periods(spark, sf), side="test")
-    return predicted_rank(t, tie_break=TIE, by=["period"], skew=skew_for(spark, sf, "race_id"))
+    return predicted_rank(t, tie_break=TIE, by=["period"])
 
 
 @query("backtest_metrics", with_entries(PREDS_SQL + PERIODS_SQL + PTEST_SQL + metrics_all_sql("ptest", "period")))
 def q_backtest_metrics(spark, sf):
     """H8: every metric per period, one job over all periods."""
-    m = M.compute_all(period_predictions(spark, sf), by=["period"], has_betting=True,
-                      skew=skew_for(spark, sf, "race_id"))
+    m = M.compute_all(period_predictions(spark, sf), by=["period"], has_betting=True)
     return m.select("period", "metric", r6("value").alias("value"))
 
 
@@ -136,7 +135,7 @@ def q_backtest_metrics(spark, sf):
 def q_backtest_overall(spark, sf):
     """H8: metrics on the union of all period predictions (rows of overlapping
     windows count once per period, as in the reference)."""
-    m = M.compute_all(period_predictions(spark, sf), has_betting=True, skew=skew_for(spark, sf, "race_id"))
+    m = M.compute_all(period_predictions(spark, sf), has_betting=True)
     return m.select("metric", r6("value").alias("value"))
 
 
@@ -146,8 +145,7 @@ SUMMARY_METRICS = ["win_accuracy", "place_accuracy", "top3_accuracy", "ndcg", "n
 def backtest_summary(spark, sf):
     """H9: one row per period with bounds, sizes and the metrics as columns."""
     p = periods(spark, sf)
-    m = M.compute_all(period_predictions(spark, sf), by=["period"], has_betting=True,
-                      skew=skew_for(spark, sf, "race_id"))
+    m = M.compute_all(period_predictions(spark, sf), by=["period"], has_betting=True)
     wide = m.groupBy("period").pivot("metric", SUMMARY_METRICS).agg(F.first("value"))
     return p.join(wide, "period", "left")
 

@@ -19,7 +19,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -58,13 +57,16 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is used as is. Only
-    when it is unset (local tests) a private scratch folder is created.
+    On a cluster this setting names a shared folder and is used as is. Where it
+    is unset, a private scratch folder is created for a ``local`` master, whose
+    tasks all see it; on a cluster that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="paddock-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -82,6 +84,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/paddock-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df, name: str):
+    """Write a frame that several jobs read to a scratch folder and read it back:
+    computed once, with no cache to release and no lineage to repeat."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def values_frame(spark: SparkSession, rows, schema: str):
     """Small literal table (thresholds, section maps, messages) as a SQL VALUES
     relation: built in the JVM, no Python-side data transfer."""

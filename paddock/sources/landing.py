@@ -9,7 +9,7 @@ single record grows with a hot race or entity.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock.operators.sequence import with_position
@@ -56,17 +56,6 @@ def flatten_races(r: DataFrame) -> DataFrame:
                     "num_entries")
 
 
-def race_entries(spark: SparkSession, path: str, date_from=None, date_to=None) -> DataFrame:
-    """Entry rows of the landed races (``explode`` of the entries arrays)."""
-    r = spark.read.schema(RACE_SCHEMA).json(path)
-    if date_from is not None:
-        r = r.filter(F.col("race_date") >= F.lit(date_from).cast("date"))
-    if date_to is not None:
-        r = r.filter(F.col("race_date") <= F.lit(date_to).cast("date"))
-    return r.filter(F.col("race_id") != "").select("race_id", "race_date", F.explode("entries").alias("e")) \
-            .select("race_id", "race_date", "e.*")
-
-
 # -- A8 ----------------------------------------------------------------------
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Flatten entity pages: one row per listed result, with the entity id."""
@@ -74,11 +63,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return p.select("entity_id", F.explode("results").alias("r")).select("entity_id", "r.*")
 
 
-def horse_results(spark: SparkSession, path: str, limit: int = 10, skew: str = "auto") -> DataFrame:
+def horse_results(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
     """At most ``limit`` latest results per horse (newest first order)."""
     x = read_pages(spark, path).withColumnRenamed("entity_id", "page_horse_id")
     order = [F.col("race_date").desc(), F.col("race_id").desc(), F.col("ln").desc(), F.col("finish_position")]
-    x = with_position(x, ["page_horse_id"], order, name="_k", skew=skew)
+    x = with_position(x, ["page_horse_id"], order, name="_k", by=("race_date", True))
     return x.filter(F.col("_k") < limit).drop("_k", "horse_id").withColumnRenamed("page_horse_id", "horse_id")
 
 
@@ -119,11 +108,11 @@ def land_races(entries: DataFrame, path: str, chunk: int = 500) -> None:
     rec.hint("rebalance", "race_date").write.mode("overwrite").partitionBy("race_date").json(path)
 
 
-def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500, skew: str = "auto") -> None:
+def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500) -> None:
     """Write entity pages: results newest first, in chunks, partitioned by the
     date of the page's newest result."""
     order = [F.col("race_date").desc(), F.col("race_id").desc(), F.col("ln").desc()]
-    e = with_position(entries, [entity], order, name="_k", skew=skew)
+    e = with_position(entries, [entity], order, name="_k", by=("race_date", True))
     e = e.withColumn("chunk", F.floor(F.col("_k") / chunk).cast("int"))
     res = F.struct(F.col("race_id").cast("string").alias("race_id"), "race_date", "course",
                    F.col("distance").cast("int").alias("distance"), "finish_position",
@@ -136,6 +125,3 @@ def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500, ske
     g.select("entity_id", "chunk", F.transform("_rs", lambda s: s["r"]).alias("results"), "page_date") \
      .hint("rebalance", "page_date").write.mode("overwrite").partitionBy("page_date").json(path)
 
-
-__all__ = ["read_races", "race_entries", "read_pages", "horse_results", "jockey_results",
-           "land_races", "land_pages", "Window"]

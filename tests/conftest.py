@@ -19,12 +19,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
-
-
-@pytest.fixture()
-def forced_split(spark):
-    """Force the skew-safe block path for every sequence operator."""
-    old = spark.conf.get("paddock.maxGroupRows", "1000000")
-    spark.conf.set("paddock.maxGroupRows", "0")
-    yield
-    spark.conf.set("paddock.maxGroupRows", old)

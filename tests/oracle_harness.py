@@ -54,7 +54,6 @@ def rows_of(cols, rows):
 
 
 def compare(spark, sf_dir, names=None, con=None, verbose=True):
-    from paddock.operators.sequence import release
     from paddock.plans.catalog import ORACLES, QUERIES, load_all
     load_all()
     con = con or duck(sf_dir)
@@ -66,7 +65,6 @@ def compare(spark, sf_dir, names=None, con=None, verbose=True):
             df = QUERIES[name](spark, sf_dir)
             scols = df.columns
             srows = [tuple(r) for r in df.collect()]
-            release()
         except Exception as e:  # noqa: BLE001
             result[name] = f"spark error: {type(e).__name__}: {str(e)[:300]}"
             if verbose:
@@ -108,8 +106,6 @@ if __name__ == "__main__":
     from paddock.session import local_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8)
-    if os.environ.get("PADDOCK_MAX_GROUP_ROWS"):
-        spark.conf.set("paddock.maxGroupRows", os.environ["PADDOCK_MAX_GROUP_ROWS"])
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = {k: v for k, v in res.items() if v != "ok" and not v.startswith("rows-only")}
     print(f"{len(res) - len(bad)}/{len(res)} ok")

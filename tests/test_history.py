@@ -5,7 +5,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from paddock.operators.history import horse_summary, prepare_for_training, strict_date_history
-from paddock.operators.sequence import release
 
 ORDER = ["race_date", "race_id", "horse_id"]
 
@@ -21,13 +20,12 @@ def _races(spark):
 
 
 def test_first_race_has_no_history_and_counts_grow(spark):
-    t = prepare_for_training(_races(spark), ORDER, skew="split")
+    t = prepare_for_training(_races(spark), ORDER)
     rows = t.filter(F.col("horse_id") == "h0").orderBy("race_date").collect()
     assert rows[0]["num_past_races"] == 0 and rows[0]["avg_finish"] is None
     assert [r["num_past_races"] for r in rows] == list(range(len(rows)))
     assert rows[1]["avg_finish"] == rows[0]["finish_position"]
     assert rows[1]["days_since_last_race"] == 7
-    release()
 
 
 def test_history_ignores_current_and_future(spark):
