@@ -1,14 +1,16 @@
 """Encoders and scalers fitted on training rows and applied anywhere.
 
-Fitting is one aggregate job; the fitted state is small (a sorted category
-list per column, four numbers per scaled column) and, like Spark ML's own
-``StringIndexerModel`` / ``StandardScalerModel``, it is held as model
-parameters. Applying a model is then a pure projection (no join, no shuffle).
-Category lists are size-checked before they are collected.
+Scalers and one-hot encoders keep their fitted state as model parameters (four
+numbers per scaled column; the values of a one-hot column are its output
+columns) and apply it as a projection. A label encoder's mapping is a frame of
+(value, code) per column, however many categories there are: codes are
+positions in the distributed order of the distinct values, and applying it is a
+left join that the optimizer plans by size.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -17,36 +19,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock.functions.features import extract, feature_columns
-
-MAX_CATEGORIES = 100_000
-
+from paddock.operators.sequence import with_position
 
 # -- G1, G2 ------------------------------------------------------------------
 @dataclass
 class CategoryEncoderModel:
-    mappings: dict[str, list[str]]
+    """``mappings``: column -> frame (value, code) for labels, or the list of
+    values of a one-hot column."""
+    mappings: dict
     strategy: str = "label"
 
     def transform(self, df: DataFrame) -> DataFrame:
+        out = df
         cols: dict[str, Column] = {}
-        for c, values in self.mappings.items():
+        for i, (c, values) in enumerate(self.mappings.items()):
             if c not in df.columns:
                 continue
-            s = F.col(c).cast("string")
             if self.strategy == "label":
-                m = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(v), F.lit(i))])
-                cols[f"{c}_encoded"] = F.coalesce(F.try_element_at(m, s), F.lit(-1)).cast("long")
+                m = values.select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
+                out = (out.join(m, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
+                          .withColumn(f"{c}_encoded", F.coalesce(f"_c{i}", F.lit(-1)).cast("long")).drop(f"_v{i}", f"_c{i}"))
             else:
-                for v in values:
-                    cols[f"{c}_{v}"] = (s == F.lit(v)).cast("long")
-        return df.withColumns(cols) if cols else df
-
-    def to_json(self) -> str:
-        return json.dumps({"strategy": self.strategy, "mappings": self.mappings}, ensure_ascii=False)
+                s = F.col(c).cast("string")
+                cols |= {f"{c}_{v}": (s == F.lit(v)).cast("long") for v in values}
+        return out.withColumns(cols) if cols else out
+
+    def save(self, path: str) -> dict:
+        """Write label mappings below ``path``; returns the rest as plain data."""
+        if self.strategy == "label":
+            for c, m in self.mappings.items():
+                m.write.mode("overwrite").parquet(f"{path}/{c}")
+            return {"strategy": "label", "columns": list(self.mappings)}
+        return {"strategy": self.strategy, "mappings": self.mappings}
 
     @classmethod
-    def from_json(cls, s: str) -> CategoryEncoderModel:
-        d = json.loads(s)
+    def load(cls, spark: SparkSession, d: dict, path: str) -> CategoryEncoderModel:
+        if d["strategy"] == "label":
+            return cls({c: spark.read.parquet(f"{path}/{c}") for c in d["columns"]}, "label")
         return cls(d["mappings"], d["strategy"])
 
 
@@ -56,20 +65,18 @@ class CategoryEncoder:
     one-hot (``{c}_{value}`` 0/1 per fitted value; null stays null)."""
     columns: Sequence[str]
     strategy: str = "label"
-    max_categories: int = MAX_CATEGORIES
 
     def fit(self, df: DataFrame) -> CategoryEncoderModel:
         cols = [c for c in self.columns if c in df.columns]
+        if self.strategy == "label":
+            # sorted by native type, keys compared as strings; nothing runs here
+            return CategoryEncoderModel({c: with_position(
+                df.filter(F.col(c).isNotNull()).select(F.col(c).alias("v")).distinct(), [], ["v"], name="code")
+                .select(F.col("v").cast("string").alias("value"), "code") for c in cols}, "label")
         if not cols:
             return CategoryEncoderModel({}, self.strategy)
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-        too_big = [c for c in cols if sizes[c] > self.max_categories]
-        if too_big:
-            raise ValueError(f"too many categories to encode as literals: {too_big}")
-        # sorted by native type, keys compared as strings
         row = df.agg(*[F.array_sort(F.collect_set(F.col(c))).alias(c) for c in cols]).first()
-        mappings = {c: [str(v) if not isinstance(v, str) else v for v in (row[c] or [])] for c in cols}
-        return CategoryEncoderModel(mappings, self.strategy)
+        return CategoryEncoderModel({c: [str(v) for v in (row[c] or [])] for c in cols}, self.strategy)
 
 
 # -- G3, G4 ------------------------------------------------------------------
@@ -158,19 +165,23 @@ class FeaturePipelineModel:
         return out
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Persist the fitted state next to the model (one small JSON row)."""
+        """Persist the fitted state next to the model (one small JSON row, and
+        the label mappings as tables)."""
+        dates = {k: v.isoformat() for k, v in self.options.items() if isinstance(v, dt.date)}
         row = {"extractors": list(self.extractors),
-               "encoder": self.encoder.to_json() if self.encoder else None,
-               "scaler": self.scaler.to_json() if self.scaler else None}
+               "encoder": self.encoder.save(f"{path}/labels") if self.encoder else None,
+               "scaler": self.scaler.to_json() if self.scaler else None,
+               "options": {k: v for k, v in self.options.items() if k not in dates}, "dates": dates}
         spark.createDataFrame([(json.dumps(row, ensure_ascii=False),)], "state string") \
-             .coalesce(1).write.mode("overwrite").json(path)
+             .coalesce(1).write.mode("overwrite").json(f"{path}/state")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> FeaturePipelineModel:
-        d = json.loads(spark.read.json(path).first()["state"])
+        d = json.loads(spark.read.schema("state string").json(f"{path}/state").first()["state"])
         return cls(d["extractors"],
-                   CategoryEncoderModel.from_json(d["encoder"]) if d["encoder"] else None,
-                   ScalerModel.from_json(d["scaler"]) if d["scaler"] else None)
+                   CategoryEncoderModel.load(spark, d["encoder"], f"{path}/labels") if d["encoder"] else None,
+                   ScalerModel.from_json(d["scaler"]) if d["scaler"] else None,
+                   d["options"] | {k: dt.date.fromisoformat(v) for k, v in d["dates"].items()})
 
 
 @dataclass
@@ -192,7 +203,7 @@ class FeaturePipeline:
     def transform(self, df: DataFrame) -> DataFrame:
         """Only stateless pipelines can transform without fitting."""
         if self.encoder is not None or self.scaler is not None:
-            raise RuntimeError("Pipeline must be fitted before transform when encoder or scaler is configured")
+            raise RuntimeError("a pipeline with an encoder or a scaler has state: call fit first")
         return extract(df, self.extractors, **self.options)
 
 

@@ -4,10 +4,11 @@ The collector lands one folder of race records per day. Instead of listing and
 diffing folders, a file-source stream picks up every new file exactly once
 (progress lives in the checkpoint folder, which must be shared storage on a
 cluster: it defaults to a folder under ``spark.checkpoint.dir``). Each
-micro-batch is flattened with the same function as the batch reader and
-appended to a date-partitioned parquet table. ``availableNow`` processes what
-has landed and stops, which suits a scheduled daily job; a processing-time
-trigger keeps it running.
+micro-batch stores its race records (chunks) in a partition of its own, which a
+retried batch overwrites; ``landed_races`` reads the table and adds up the
+chunks of a race with the batch reader's function, whichever batches they came
+in. ``availableNow`` processes what has landed and stops, which suits a
+scheduled daily job; a processing-time trigger keeps it running.
 """
 
 from __future__ import annotations
@@ -19,21 +20,26 @@ from paddock.session import ensure_checkpoint_dir
 from paddock.sources.landing import RACE_SCHEMA, flatten_races
 
 
+def landed_races(spark: SparkSession, table: str) -> DataFrame:
+    """Flat race rows of the table that the stream writes."""
+    return flatten_races(spark.read.schema(RACE_SCHEMA).parquet(table))
+
+
 def ingest_landed_races(spark: SparkSession, landing: str, table: str,
                         checkpoint: str | None = None, available_now: bool = True,
                         max_files_per_trigger: int = 5000):
     """Start the stream; returns the StreamingQuery (``awaitTermination`` it).
 
-    Records of one race are landed together (one file per race chunk set), so
-    grouping chunks inside a micro-batch is exact.
+    ``max_files_per_trigger`` sizes the batches and does not change the result.
     """
     checkpoint = checkpoint or ensure_checkpoint_dir(spark).rstrip("/") + "/streams/landed-races"
     src = (spark.readStream.schema(RACE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .json(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        flat = flatten_races(batch).withColumn("_batch", F.lit(batch_id))
-        flat.hint("rebalance", "race_date").write.mode("append").partitionBy("race_date").parquet(table)
+        rows = batch.withColumn("_batch", F.lit(batch_id)).hint("rebalance", "race_date")
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_batch", "race_date").parquet(table))
 
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
