@@ -71,7 +71,7 @@ def _stages(feature_cols: Sequence[str], estimator) -> list:
 def classifier(kind: str = "gbt", label: str = "is_win", **params):
     """GBT (default) or logistic regression producing ``probability``."""
     if kind == "gbt":
-        p = dict(maxIter=20, maxDepth=4, stepSize=0.1, seed=42, subsamplingRate=0.8)
+        p = dict(maxIter=500, maxDepth=5, stepSize=0.05, seed=42, subsamplingRate=0.8)
         p.update(params)
         return GBTClassifier(labelCol=label, featuresCol="features", **p)
     p = dict(maxIter=50, regParam=0.01)
@@ -120,7 +120,7 @@ def fit_ranker(train: DataFrame, feature_cols: Sequence[str], relevance_col: str
                **params) -> PipelineModel:
     """Pointwise ranking: regress the relevance label (I7); rank inside the
     race by the score (H6)."""
-    p = dict(maxIter=20, maxDepth=4, stepSize=0.1, seed=42)
+    p = dict(maxIter=500, maxDepth=5, stepSize=0.05, seed=42)
     p.update(params)
     x, _ = model_frame(train, feature_cols)
     x = x.withColumn(relevance_col, F.col(relevance_col).cast("double"))
@@ -190,12 +190,67 @@ def cv_summary(fold_metrics: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).cast("long").alias("folds"))
 
 
+def fit_calibrated(fit_rows: DataFrame, cal_rows: DataFrame, thr_rows: DataFrame, feature_cols: Sequence[str],
+                   kind: str = "gbt", method: str = "sigmoid", **params):
+    """(scorer, threshold): a classifier, calibrated on ``cal_rows``, and the
+    best F1 threshold of the calibrated probability on ``thr_rows``."""
+    model = fit_classifier(fit_rows, feature_cols, kind, **params)
+    cal = calibrator(predict_proba(model, cal_rows, feature_cols), method)
+
+    def scorer(df: DataFrame) -> DataFrame:
+        out = calibrate(cal, predict_proba(model, df, feature_cols))
+        return out.withColumn("predicted_prob", F.col("calibrated_prob")).drop("calibrated_prob")
+
+    return scorer, float(_M.best_threshold(scorer(thr_rows)).first()["threshold"])
+
+
+def train_step(train: DataFrame, validation: DataFrame, feature_cols: Sequence[str], order: Sequence[str],
+               kind: str = "gbt", **params) -> tuple[DataFrame, float]:
+    """Fit on ``train``; the first half of the validation rows calibrates,
+    the second half chooses the threshold; train and validation metrics."""
+    from paddock.operators.splits import temporal_split
+    halves = staged(temporal_split(validation.drop("split"), order, 0.5), "validation-halves")
+    first, second = (halves.filter(F.col("split") == s).drop("split") for s in ("train", "validation"))
+    scorer, t = fit_calibrated(train, first, second, feature_cols, kind, **params)
+    both = train.drop("split").withColumn("split", F.lit("train")).unionByName(
+        validation.drop("split").withColumn("split", F.lit("validation")))
+    return classification_metrics(scorer(both), by=["split"], threshold=t), t
+
+
+def walk_forward(df: DataFrame, periods: DataFrame, feature_cols: Sequence[str], order: Sequence[str],
+                 holdout: float = 0.2, kind: str = "gbt", date_col: str = "race_date", **params) -> DataFrame:
+    """H8: scored test rows of every period, each by a model of its own.
+
+    The first ``1 - holdout`` of a period's training rows fit, the rest
+    calibrate and choose the threshold. Periods are bounded by the calendar;
+    each reads its date range of ``df``, so no row is copied per period.
+    """
+    from paddock.operators.splits import temporal_split
+    out = None
+    for p in periods.orderBy("period").collect():
+        rows = df.filter(F.col(date_col).cast("date").between(F.lit(p["train_start"]), F.lit(p["train_end"])))
+        split = staged(temporal_split(rows, order, holdout), "period")
+        fit, hold = split.filter(F.col("split") == "train"), split.filter(F.col("split") != "train")
+        live = [c for c, n in fit.agg(*[F.count(c).alias(c) for c in feature_cols]).first().asDict().items() if n]
+        scorer, t = fit_calibrated(fit, hold, hold, live, kind, **params)
+        last = split.agg(F.max(F.col(date_col).cast("date"))).first()[0]
+        test = df.filter(F.col(date_col).cast("date").between(F.lit(p["test_start"]), F.lit(p["test_end"])))
+        s = scorer(test).withColumns({"period": F.lit(p["period"]), "train_max": F.lit(last),
+                                      "predicted_win": (F.col("predicted_prob") >= t).cast("long")})
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 # -- I12 ---------------------------------------------------------------------
-SEARCH_SPACE = {"maxDepth": [2, 3, 4, 5], "stepSize": [0.05, 0.1, 0.2], "maxIter": [5, 10, 20],
-                "subsamplingRate": [0.6, 0.8, 1.0], "minInstancesPerNode": [1, 5, 20]}
+SEARCH_SPACE = {"maxDepth": [3, 4, 5, 6, 8], "stepSize": [0.01, 0.02, 0.05, 0.1, 0.2, 0.3], "maxIter": [100, 200, 500, 1000],
+                "subsamplingRate": [0.5, 0.6, 0.8, 1.0], "minInstancesPerNode": [5, 10, 20, 50, 100],
+                "minInfoGain": [0.0, 1e-4, 1e-3, 1e-2], "maxBins": [32, 64, 128],
+                "featureSubsetStrategy": ["all", "0.5", "0.7", "0.9"], "minWeightFractionPerNode": [0.0, 0.001, 0.01]}
+LOGISTIC_SPACE = {"regParam": [0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [50, 100]}
+SEARCH_CANDIDATES = 50
 
 
-def random_candidates(n: int, seed: int = 42, space: dict | None = None) -> list[dict]:
+def random_candidates(n: int = SEARCH_CANDIDATES, seed: int = 42, space: dict | None = None) -> list[dict]:
     """Seeded random search over the parameter grid (replaces a TPE sampler)."""
     rnd = random.Random(seed)
     space = space or SEARCH_SPACE
@@ -257,12 +312,17 @@ class ModelRegistry:
         return f"{self.base}/_metadata"
 
     def save(self, model: PipelineModel, name: str, model_type: str, params: dict,
-             metrics: dict, now: _dt.datetime | None = None) -> str:
+             metrics: dict, now: _dt.datetime | None = None, pipeline=None, feature_cols: Sequence[str] = ()) -> str:
+        """Store a model, the fitted feature pipeline that feeds it and its
+        feature columns under a new version."""
         now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         h = hashlib.sha256(f"{name}|{json.dumps(params, sort_keys=True)}|{now.isoformat()}".encode()).hexdigest()[:8]
         version = f"{now:%Y%m%d}_{h}"
         path = f"{self.base}/{name}/{version}"
-        model.write().overwrite().save(path)
+        model.write().overwrite().save(f"{path}/model")
+        if pipeline is not None:
+            pipeline.save(self.spark, f"{path}/features")
+        metrics = {**metrics, "feature_cols": list(feature_cols)} if feature_cols else metrics
         row = [(name, version, model_type, json.dumps(params, sort_keys=True), json.dumps(metrics, sort_keys=True),
                 now, path)]
         self.spark.createDataFrame(row, self.META_SCHEMA).write.mode("append").parquet(self._meta_path())
@@ -278,7 +338,15 @@ class ModelRegistry:
         m = self.spark.read.parquet(self._meta_path())
         return m.groupBy("name").agg(F.max_by("version", F.struct("created_at", "version")).alias("version"))
 
+    def _resolve(self, name: str, version: str | None) -> str:
+        return version or self.latest().filter(F.col("name") == name).first()["version"]
+
     def load(self, name: str, version: str | None = None) -> PipelineModel:
-        if version is None:
-            version = self.latest().filter(F.col("name") == name).first()["version"]
-        return PipelineModel.load(f"{self.base}/{name}/{version}")
+        return PipelineModel.load(f"{self.base}/{name}/{self._resolve(name, version)}/model")
+
+    def load_features(self, name: str, version: str | None = None):
+        """(fitted feature pipeline, feature columns) stored with a version."""
+        from paddock.operators.fitted import FeaturePipelineModel
+        v = self._resolve(name, version)
+        meta = self.versions(name).filter(F.col("version") == v).first()
+        return FeaturePipelineModel.load(self.spark, f"{self.base}/{name}/{v}/features"), json.loads(meta["metrics"])["feature_cols"]

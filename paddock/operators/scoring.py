@@ -50,15 +50,15 @@ def summary(df: DataFrame) -> DataFrame:
                   F.count(F.lit(1)).cast("long").alias("n_rows"))
 
 
-def batch_predict(registry: ModelRegistry, name: str, features: DataFrame, feature_cols: Sequence[str],
+def batch_predict(registry: ModelRegistry, name: str, raw: DataFrame,
                   version: str | None = None, sink: str | None = None,
                   date_col: str = "race_date") -> DataFrame:
-    """Load the model (pinned or latest), score, rank, audit, append to the sink.
-
-    ``features`` must come from the feature pipeline fitted at training time
-    (the reference refits it on the scoring batch).
-    """
+    """Load the model (pinned or latest) and the feature pipeline fitted
+    with it, turn ``raw`` rows into features, score, rank, audit, append to the
+    sink (the reference refits the pipeline on the scoring batch)."""
     model = registry.load(name, version)
+    pipeline, feature_cols = registry.load_features(name, version)
+    features = pipeline.transform(raw)
     cols = ["race_id", "horse_id"] + ([date_col] if date_col in features.columns else [])
     s = rank_scores(score(model, features, feature_cols, ids=cols))
     out = audit(s, name, version)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, with
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import training
 from paddock.plans.q_metrics import PREDS_SQL, THRESHOLD, auc_sql, predictions
+from paddock.operators.sequence import rolling
 from paddock.session import scratch_dir, staged
 
 RATIO = 0.2
@@ -99,115 +101,214 @@ def q_score_audit(spark, sf):
     return s.withColumn("_k", F.lit(0)).join(names.withColumn("_k", F.lit(0)), "_k").drop("_k")
 
 
-# -- Spark ML paths (rows-only checks) -----------------------------------------
+# -- Spark ML paths: scores depend on the library, so the oracles check what is
+# exact: which rows are scored, that probabilities are probabilities, that ranks
+# follow scores, counts, names, and that a model beats chance where one can learn.
+VALID_SQL = f"""
+, pos AS (SELECT *, row_number() OVER (ORDER BY {ORD}) AS rn, count(*) OVER () AS n FROM entries
+          WHERE finish_position IS NOT NULL),
+va AS (SELECT * FROM pos WHERE rn > floor(n * {1 - RATIO})),
+tr AS (SELECT * FROM pos WHERE rn <= floor(n * {1 - RATIO}))"""
+KEYS_SQL = "race_id, horse_id, CAST(ln AS BIGINT) AS ln"
+
+
+def _keys():
+    return ["race_id", "horse_id", F.col("ln").cast("long").alias("ln")]
+
+
+def _is_prob(c):
+    return F.coalesce(F.col(c).between(0.0, 1.0), F.lit(False))
+
+
+def informative(df, cols):
+    """The feature columns with a value in some row of ``df`` (one aggregate)."""
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
+    return [c for c in cols if counts[c]]
+
+
+def _split_frame(spark, sf):
+    return S.temporal_split(training(spark, sf), HISTORY_ORDER, RATIO)
+
+
 def _model_data(spark, sf):
     """Feature frame fitted on the training split; (train, validation, feature columns)."""
-    t = S.temporal_split(training(spark, sf), HISTORY_ORDER, RATIO)
-    pipe = FeaturePipeline(["race", "horse", "jockey", "running_style"])
-    fm = pipe.fit(t.filter(F.col("split") == "train"))
-    cols = [c for c in feature_columns(fm.transform(t)) if c != "feat_jockey_course_win_rate"]
+    t = _split_frame(spark, sf)
+    fm = FeaturePipeline(["race", "horse", "jockey", "running_style"]).fit(t.filter(F.col("split") == "train"))
+    cols = feature_columns(fm.transform(t))
     # iterative fits read their input several times: materialise the narrow model input once
     x = staged(fm.transform(t).select("race_id", "horse_id", "ln", "race_date", "jockey_id", "price", "ship",
                                       "finish_position", "is_win", "split", *cols), "model-data")
-    return x.filter(F.col("split") == "train"), x.filter(F.col("split") == "validation"), cols
+    tr = x.filter(F.col("split") == "train")
+    return tr, x.filter(F.col("split") == "validation"), informative(tr, cols)
 
 
-@query("gbt_scores")
+@query("gbt_scores", with_entries(VALID_SQL + f"""
+SELECT {KEYS_SQL}, CAST(finish_position = 1 AS BIGINT) AS is_win, true AS is_probability FROM va"""))
 def q_gbt_scores(spark, sf):
     """GBT winner classifier trained on the training split, scored on validation."""
     tr, va, cols = _model_data(spark, sf)
-    model = ML.fit_classifier(tr, cols, "gbt")
-    s = ML.predict_proba(model, va, cols)
-    return s.select("race_id", "horse_id", F.col("ln").cast("long"), "is_win", r6("predicted_prob").alias("predicted_prob"))
+    s = ML.predict_proba(ML.fit_classifier(tr, cols, "gbt", maxIter=20, maxDepth=4), va, cols)
+    return s.select(*_keys(), "is_win", _is_prob("predicted_prob").alias("is_probability"))
 
 
-@query("calibrated_scores")
+@query("calibrated_scores", with_entries(VALID_SQL + f"""
+SELECT {KEYS_SQL}, true AS is_probability, true AS keeps_order FROM va"""))
 def q_calibrated_scores(spark, sf):
-    """Isotonic calibration fitted on the last 20% of the training rows."""
+    """Isotonic calibration fitted on the last 20% of the training rows;
+    calibrated values never fall while the raw score rises."""
     tr, va, cols = _model_data(spark, sf)
-    tr = tr.withColumn("period", F.lit(0))
-    roles = S.calibration_holdout(tr, HISTORY_ORDER, 0.2)
+    roles = S.calibration_holdout(tr.withColumn("period", F.lit(0)), HISTORY_ORDER, 0.2)
     model = ML.fit_classifier(roles.filter(F.col("role") == "fit"), cols, "logistic")
     hold = ML.predict_proba(model, roles.filter(F.col("role") == "calibration"), cols)
     cal = ML.calibrator(hold, "isotonic")
-    out = ML.calibrate(cal, ML.predict_proba(model, va, cols))
-    return out.select("race_id", "horse_id", F.col("ln").cast("long"), r6("predicted_prob").alias("predicted_prob"),
-                      r6("calibrated_prob").alias("calibrated_prob"))
+    out = ML.calibrate(cal, ML.predict_proba(model, va, cols)).select(*_keys(), "predicted_prob", "calibrated_prob")
+    before = rolling(out, [], ["predicted_prob", "race_id", "horse_id", "ln"], 1, lags={"_prev": F.col("calibrated_prob")})
+    rises = F.coalesce(F.col("calibrated_prob") >= F.col("_prev") - 1e-9, F.lit(True))
+    return before.select("race_id", "horse_id", "ln", (_is_prob("predicted_prob") & _is_prob("calibrated_prob")).alias("is_probability"),
+                         rises.alias("keeps_order"))
 
 
-@query("rank_regression")
+@query("rank_regression", with_entries(VALID_SQL + """
+SELECT race_id, count(*) AS n_entries, true AS ranks_complete, true AS follows_score FROM va GROUP BY race_id"""))
 def q_rank_regression(spark, sf):
-    """I5 + I7 + H6: regress relevance, rank inside races by the score."""
+    """I5 + I7 + H6: regress relevance, rank inside races by the score; per
+    race the ranks are 1..n and fall with the score."""
     from paddock.operators.backtest import predicted_rank
     tr, va, cols = _model_data(spark, sf)
     tr = tr.withColumn("relevance", M.relevance(F.col("finish_position")))
-    model = ML.fit_ranker(tr, cols)
     x, _ = ML.model_frame(va, cols)
-    s = model.transform(x).select("race_id", "horse_id", "ln", "rank_score")
+    s = ML.fit_ranker(tr, cols, maxIter=20, maxDepth=4).transform(x).select("race_id", "horse_id", "ln", "rank_score")
     r = predicted_rank(s, prob="rank_score", tie_break=["horse_id", "ln"])
-    return r.select("race_id", "horse_id", F.col("ln").cast("long"), r6("rank_score").alias("rank_score"),
-                    "predicted_rank")
+    nxt = rolling(r, ["race_id"], ["predicted_rank"], 1, lags={"_prev": F.col("rank_score")})
+    return nxt.groupBy("race_id").agg(
+        F.count(F.lit(1)).alias("n_entries"),
+        ((F.count_distinct("predicted_rank") == F.count(F.lit(1))) & (F.max("predicted_rank") == F.count(F.lit(1)))).alias("ranks_complete"),
+        F.min(F.coalesce(F.col("_prev") >= F.col("rank_score"), F.lit(True))).alias("follows_score"))
 
 
-@query("importances")
+@query("importances", "SELECT 2 AS n_models, true AS ranked, true AS shares, true AS ranker_summary")
 def q_importances(spark, sf):
-    """Top-20 feature importances of the GBT."""
-    tr, _, cols = _model_data(spark, sf)
-    return ML.importances(spark, ML.fit_classifier(tr, cols, "gbt"), cols, top=20)
+    """I9 + I10: top-20 importances of two models and of their ensemble: ranked,
+    non-negative, adding up to at most one; the ranker's score summary."""
+    tr, va, cols = _model_data(spark, sf)
+    gbt = ML.fit_classifier(tr, cols, "gbt", maxIter=10, maxDepth=4)
+    rank = ML.fit_ranker(tr.withColumn("relevance", M.relevance(F.col("finish_position"))), cols, maxIter=10, maxDepth=4)
+    one, two = (ML.importances(spark, m, cols, top=20) for m in (gbt, rank))
+    both = ML.ensemble_importances([one, two], [1.0, 1.0])
+    x, _ = ML.model_frame(va, cols)
+    scores = ML.regression_summary(rank.transform(x)).select(
+        (F.col("pred_mean").isNotNull() & (F.col("pred_std") >= 0)).alias("ranker_summary"))
+    total = both.agg(F.sum("importance").alias("t"), F.min("importance").alias("low"), F.count(F.lit(1)).alias("n"))
+    return total.withColumn("_k", F.lit(0)).join(scores.withColumn("_k", F.lit(0)), "_k").select(
+        F.lit(2).alias("n_models"), (F.col("n") >= 1).alias("ranked"),
+        ((F.col("low") >= 0) & (F.col("t") <= 1 + 1e-6)).alias("shares"), "ranker_summary")
+
+
+#: Candidates of the registered search. The operator's defaults are 50 over 3
+#: folds; this query fits fewer, since it is run over and over.
+QUERY_CANDIDATES = 4
 
 
-@query("param_search")
+@query("param_search", f"""
+SELECT CAST(c AS BIGINT) AS candidate, CAST(f AS BIGINT) AS fold, true AS score_valid, true AS one_best
+FROM range({QUERY_CANDIDATES}) a(c), range(3) b(f)""")
 def q_param_search(spark, sf):
-    """Seeded random search, each candidate scored on expanding time folds."""
+    """Seeded random search, each candidate scored on 3 expanding time folds."""
     tr, _, cols = _model_data(spark, sf)
-    folds = S.time_folds(tr, HISTORY_ORDER, n_splits=2)
-    res = ML.param_search(tr, cols, folds, ML.random_candidates(2, seed=7), metric="auc_roc")
-    best = ML.best_params(res).select(F.lit(0).alias("_k"), F.col("params").alias("best_params"))  # one row
-    return res.withColumn("_k", F.lit(0)).join(F.broadcast(best), "_k").drop("_k")
+    folds = S.time_folds(tr, HISTORY_ORDER, n_splits=3)
+    space = {k: v for k, v in ML.LOGISTIC_SPACE.items()}
+    res = ML.param_search(tr, cols, folds, ML.random_candidates(QUERY_CANDIDATES, seed=7, space=space), metric="auc_roc", kind="logistic")
+    best = ML.best_params(res).select(F.lit(0).alias("_k"), F.col("params").isNotNull().alias("one_best"))  # one row
+    return res.withColumn("_k", F.lit(0)).join(F.broadcast(best), "_k").select(
+        "candidate", "fold", _is_prob("score").alias("score_valid"), "one_best")
 
 
 def _registry(spark):
     return ML.ModelRegistry(spark, scratch_dir(spark, "registry"))
 
 
-@query("model_versions")
+_V = [(0.01, "2026-01-05T10:00:01"), (0.1, "2026-01-05T10:00:10")]
+
+
+def _versions_sql() -> str:
+    """Version strings from their hashes (sha256 of name, parameters and time)."""
+    params = [json.dumps({"regParam": p}) for p, _ in _V]
+    names = [f"'20260105_' || substr(sha256('winner_lr|{p}|{at}'), 1, 8)" for p, (_, at) in zip(params, _V, strict=True)]
+    rows = " UNION ALL ".join(f"SELECT {v} AS version, '{p}' AS params" for v, p in zip(names, params, strict=True))
+    return f"""
+SELECT 'winner_lr' AS name, version, 'logistic' AS model_type, params, {names[-1]} AS latest_version FROM ({rows})"""
+
+
+@query("model_versions", _versions_sql())
 def q_model_versions(spark, sf):
     """Two saved versions, listed, and the latest per name."""
     tr, va, cols = _model_data(spark, sf)
     reg = _registry(spark)
-    for reg_param in (0.01, 0.1):
+    for reg_param, at in _V:
         m = ML.fit_classifier(tr, cols, "logistic", regParam=reg_param)
-        reg.save(m, "winner_lr", "logistic", {"regParam": reg_param}, {"n_features": len(cols)},
-                 now=dt.datetime(2026, 1, 5, 10, 0, int(reg_param * 100) % 60))
+        reg.save(m, "winner_lr", "logistic", {"regParam": reg_param}, {"n_features": len(cols)}, now=dt.datetime.fromisoformat(at))
     latest = reg.latest().withColumnRenamed("version", "latest_version")
     v = reg.versions("winner_lr").select("name", "version", "model_type", "params")
     return v.join(latest, "name")
 
 
-@query("train_step")
+@query("train_step", """
+SELECT split, metric, true AS value_valid, true AS threshold_valid
+FROM (VALUES ('train'), ('validation')) s(split),
+     (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc_roc'), ('log_loss')) m(metric)""")
 def q_train_step(spark, sf):
-    """Split -> fit -> calibrate -> threshold -> evaluate, as a metrics table."""
+    """Fit on the training split, calibrate on the first half of the
+    validation rows, choose the threshold on the second, then train and
+    validation metrics of the calibrated probabilities."""
     tr, va, cols = _model_data(spark, sf)
-    tr = tr.withColumn("period", F.lit(0))
-    roles = S.calibration_holdout(tr, HISTORY_ORDER, 0.2)
-    model = ML.fit_classifier(roles.filter(F.col("role") == "fit"), cols, "gbt")
-    hold = ML.predict_proba(model, roles.filter(F.col("role") == "calibration"), cols)
-    t = M.best_threshold(hold).first()["threshold"]
-    scored = ML.predict_proba(model, va, cols).withColumn("split", F.lit("validation")).unionByName(
-        hold.withColumn("split", F.lit("calibration")).select(
-            *ML.predict_proba(model, va, cols).withColumn("split", F.lit("validation")).columns))
-    m = ML.classification_metrics(scored, by=["split"], threshold=t)
-    return m.withColumn("threshold", F.lit(t)).select("split", "metric", r6("value").alias("value"), "threshold")
-
-
-@query("score_batch")
+    m, t = ML.train_step(tr, va, cols, HISTORY_ORDER, maxIter=20, maxDepth=4)
+    return m.select("split", "metric", F.when(F.col("metric") == "log_loss", F.col("value") >= 0).otherwise(
+        _is_prob("value")).alias("value_valid"), F.lit(0.0 < t < 0.5).alias("threshold_valid"))
+
+
+FIT_PERIODS = dict(train_window=730, test_window=365, step=365)
+
+
+@query("backtest_fitted", with_entries(f"""
+, rng AS (SELECT min(race_date) AS lo, max(race_date) AS hi FROM entries),
+c AS (SELECT CAST(unnest(generate_series(lo + 730, hi, INTERVAL 365 DAYS)) AS DATE) AS test_start, lo FROM rng),
+p AS (SELECT test_start - 730 AS train_start, test_start - 1 AS train_end, test_start, test_start + 364 AS test_end FROM c),
+n AS (SELECT p.*, (SELECT count(*) FROM entries e WHERE e.race_date BETWEEN train_start AND train_end) AS n_train,
+             (SELECT count(*) FROM entries e WHERE e.race_date BETWEEN test_start AND p.test_end) AS n_test FROM p)
+SELECT row_number() OVER (ORDER BY test_start) - 1 AS period, train_start, train_end, test_start, test_end, n_train, n_test,
+       n_test AS n_scored, true AS probabilities, true AS train_before_test
+FROM n WHERE n_train > 0 AND n_test > 0"""))
+def q_backtest_fitted(spark, sf):
+    """H8 with a model per period: fitted, calibrated and thresholded on the
+    period's training rows only, scored on its test rows."""
+    t = training(spark, sf)
+    fm = FeaturePipeline(["race", "horse", "jockey", "running_style"]).fit(t)
+    cols = feature_columns(fm.transform(t))
+    x = staged(fm.transform(t).select("race_id", "horse_id", "ln", "race_date", "jockey_id", "price", "ship",
+                                      "is_win", "actual_position", *cols), "backtest-data")
+    periods = S.walk_forward_periods(x, **FIT_PERIODS)
+    scored = ML.walk_forward(x, periods, cols, HISTORY_ORDER, kind="logistic")
+    per = scored.groupBy("period").agg(F.count(F.lit(1)).alias("n_scored"), F.min(_is_prob("predicted_prob")).alias("probabilities"),
+                                       F.min(F.col("race_date") > F.col("train_max")).alias("train_before_test"))
+    return periods.join(per, "period")
+
+
+@query("score_batch", with_entries(VALID_SQL + """
+SELECT race_id, horse_id, race_date AS predicted_date, true AS is_probability, true AS rank_in_race, 'winner_lr' AS model_name,
+       'latest' AS model_version
+FROM va"""))
 def q_score_batch(spark, sf):
-    """Load the latest registered model, score, rank, audit, append to the sink."""
-    tr, va, cols = _model_data(spark, sf)
+    """Load the latest model and the feature pipeline stored with it, turn
+    raw entries into features, score, rank, audit, append to the sink."""
+    t = _split_frame(spark, sf)
+    train = t.filter(F.col("split") == "train")
+    fm = FeaturePipeline(["race", "horse", "jockey", "running_style"]).fit(train)
+    made = staged(fm.transform(train), "score-train")
+    cols = informative(made, feature_columns(made))
     reg = _registry(spark)
-    reg.save(ML.fit_classifier(tr, cols, "logistic"), "winner_lr", "logistic", {}, {})
+    reg.save(ML.fit_classifier(made, cols, "logistic"), "winner_lr", "logistic", {}, {}, pipeline=fm, feature_cols=cols)
     sink = scratch_dir(spark, "predictions")
-    SC.batch_predict(reg, "winner_lr", va, cols, sink=sink)
+    SC.batch_predict(reg, "winner_lr", t.filter(F.col("split") == "validation"), sink=sink)
     back = spark.read.parquet(sink)
-    return back.select("race_id", "horse_id", "predicted_date", r6("win_probability").alias("win_probability"),
-                       "rank", "model_name", "model_version")
+    return back.select("race_id", "horse_id", "predicted_date", _is_prob("win_probability").alias("is_probability"),
+                       (F.col("rank") >= 1).alias("rank_in_race"), "model_name", "model_version")

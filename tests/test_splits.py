@@ -49,3 +49,21 @@ def test_calibration_holdout_last_fifth(spark):
     df = _days(spark, 10, 1).withColumn("period", F.lit(0))
     r = {x["rid"]: x["role"] for x in S.calibration_holdout(df, ORDER, 0.2).collect()}
     assert [r[d * 10] for d in range(10)] == ["fit"] * 8 + ["calibration"] * 2
+
+
+def test_null_and_timestamp_dates_are_kept(spark):
+    import datetime as dt
+
+    from paddock.operators.splits import calibration_holdout, temporal_split, time_folds
+    rows = [(i, None if i % 4 == 0 else dt.datetime(2024, 1, 1 + i % 9, i % 24)) for i in range(100)]
+    df = spark.createDataFrame(rows, "race_id long, race_date timestamp")
+    out = temporal_split(df, ["race_date", "race_id"], 0.2).collect()
+    assert len(out) == 100 and sum(r["split"] == "train" for r in out) == 80
+    dated = [r["race_date"] for r in out if r["split"] == "train" and r["race_date"]]
+    assert len(dated) == 75 and all(r["race_date"] is None for r in out if r["split"] == "validation")
+    folds = time_folds(df, ["race_date", "race_id"], 4).collect()
+    assert sorted(r["position"] for r in folds) == list(range(100))
+    by_time = sorted((r for r in folds if r["race_date"]), key=lambda r: r["position"])
+    assert [r["race_date"] for r in by_time] == sorted(r["race_date"] for r in by_time)
+    roles = calibration_holdout(df.selectExpr("*", "race_id % 2 AS period"), ["race_date", "race_id"], 0.2).collect()
+    assert len(roles) == 100 and sum(r["role"] == "fit" for r in roles) == 80
