@@ -77,6 +77,7 @@ def parse_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(_c(c).cast("string"), fmt)
 
 
+# The typed columns of the results file.
 INT_COLS = ["race_number", "distance", "win_favorite", "bracket_number", "post_position"]
 FLOAT_COLS = ["carried_weight", "win_odds", "last_3f_time", "prize_money"]
 

@@ -317,16 +317,24 @@ def _quality_checks(spark, sf):
     checks.append(validate(entries(spark, sf), "entries", ENTRY_REQUIRED, 0.1))
     checks.append(validate(table(spark, sf, "orders").filter(F.col("o_totalprice") < 0),
                            "refunds", ["o_orderkey"], 0.5))
+    checks.append(validate(_sparse(spark, sf), "sparse_orders", ["o_orderkey"], 0.5))
     return report(checks)
 
 
+def _sparse(spark, sf):
+    """Orders with three prices of four missing: over the limit."""
+    return table(spark, sf, "orders").withColumn("o_totalprice", F.when(F.col("o_orderkey") % 4 == 0, F.col("o_totalprice")))
+
+
 def _quality_oracle():
     parts = [quality_sql(t, t, TABLE_COLUMNS[t].split(), req, 0.5) for t, req in QUALITY_TABLES.items()]
     parts.append(quality_sql("entries", "entries", ENTRY_COLUMNS, ENTRY_REQUIRED, 0.1))
     parts.append(quality_sql("refunds", "refunds", TABLE_COLUMNS["orders"].split(), ["o_orderkey"], 0.5))
+    parts.append(quality_sql("sparse", "sparse_orders", TABLE_COLUMNS["orders"].split(), ["o_orderkey"], 0.5))
     body = "\nUNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
     return with_entries(f"""
 , refunds AS (SELECT * FROM orders WHERE o_totalprice < 0),
+sparse AS (SELECT * REPLACE (CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice END AS o_totalprice) FROM orders),
 q AS ({body})
 SELECT dataset, "column", error_type, round(value, 6) AS value, message,
        '[' || dataset || '] ' || message AS prefixed FROM q""")

@@ -13,6 +13,8 @@ from paddock.plans.bindings import entries, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_metrics import PREDS_SQL, auc_sql, metrics_all_sql, predictions
 from paddock.plans.q_splits import PERIODS_SQL, PTEST_SQL, period_predictions, periods
+from paddock.session import scratch_dir
+from paddock.sources.sinks import write_table
 from paddock.sources.tables import table
 
 METRICS4 = ["win_accuracy", "place_accuracy", "auc_roc", "recovery_rate"]
@@ -54,7 +56,12 @@ def W(sql):
 
 @query("metric_history", W(HIST_SQL + "\nSELECT seq, ts, label, metric, round(value, 6) AS value FROM hist"))
 def q_metric_history(spark, sf):
-    return snapshots(spark, sf).select("seq", "ts", "label", "metric", r6("value").alias("value"))
+    """L1: snapshots recorded one part after the other into a stored history."""
+    path = scratch_dir(spark, "metric-history")
+    days = snapshots(spark, sf)
+    for part in (days.filter("seq % 2 = 1"), days.filter("seq % 2 = 0")):
+        write_table(MO.record(None, part.select("seq", "ts", "label", "metric", "value"), F.col("seq"), F.col("label"), F.col("ts")), path)
+    return spark.read.parquet(path).select("seq", "ts", "label", "metric", r6("value").alias("value"))
 
 
 TH_SQL = "(VALUES " + ", ".join(f"('{k}', CAST({v} AS DOUBLE))" for k, v in MO.DEFAULT_THRESHOLDS.items()) + ") th(metric, threshold)"
@@ -118,18 +125,22 @@ def q_trend_alerts(spark, sf):
 DRIFT_COLS = ["event_id", "user_id", "value"]
 
 
-def _drift(spark, sf):
+#: An early cut for the spread: ids rise with time, so the two sides differ.
+STD_TS = dt.datetime(2024, 1, 6)
+
+
+def _drift(spark, sf, at=SPLIT_TS):
     ev = table(spark, sf, "events")
-    cut = F.lit(str(SPLIT_TS)).cast("timestamp_ntz")      # event times carry no time zone
+    cut = F.lit(str(at)).cast("timestamp_ntz")            # event times carry no time zone
     return MO.drift(ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut), DRIFT_COLS, 0.1)
 
 
-def _drift_sql():
+def _drift_sql(at=SPLIT_TS):
     parts = []
     for c in DRIFT_COLS:
         for kind, fn in (("mean", "avg"), ("std", "stddev_samp")):
-            ref = f"(SELECT {fn}(CAST({c} AS DOUBLE)) FROM events WHERE ts < TIMESTAMP '{SPLIT_TS}')"
-            cur = f"(SELECT {fn}(CAST({c} AS DOUBLE)) FROM events WHERE ts >= TIMESTAMP '{SPLIT_TS}')"
+            ref = f"(SELECT {fn}(CAST({c} AS DOUBLE)) FROM events WHERE ts < TIMESTAMP '{at}')"
+            cur = f"(SELECT {fn}(CAST({c} AS DOUBLE)) FROM events WHERE ts >= TIMESTAMP '{at}')"
             ch = f"abs({cur} - {ref}) / abs({ref})"
             parts.append(
                 f"SELECT 'drift' AS alert_type, '{c}_{kind}' AS metric_name, {cur} AS current_value, {ref} AS threshold, "
@@ -146,9 +157,9 @@ def q_drift_mean(spark, sf):
     return _alert_cols(_drift(spark, sf).filter(F.col("metric_name").endswith("_mean")))
 
 
-@query("drift_std", W(DRIFT_SQL + "\n" + ALERT_SELECT + "dalerts WHERE metric_name LIKE '%\\_std' ESCAPE '\\'"))
+@query("drift_std", W(_drift_sql(STD_TS) + "\n" + ALERT_SELECT + "dalerts WHERE metric_name LIKE '%\\_std' ESCAPE '\\'"))
 def q_drift_std(spark, sf):
-    return _alert_cols(_drift(spark, sf).filter(F.col("metric_name").endswith("_std")))
+    return _alert_cols(_drift(spark, sf, STD_TS).filter(F.col("metric_name").endswith("_std")))
 
 
 @query("health", W(THRESH_ALERTS_SQL + TREND_SQL.replace(HIST_SQL, "") + DRIFT_SQL + """
@@ -184,6 +195,15 @@ def q_leakage_report(spark, sf):
                     "n_anomalies", r6("train_auc").alias("train_auc"), r6("gap").alias("gap"), "verdict")
 
 
+@query("leakage_anomalies", with_entries(PREDS_SQL + PERIODS_SQL + PTEST_SQL + auc_sql("ptest", "period") + """
+, s AS (SELECT avg(auc_roc) + 2 * COALESCE(stddev_samp(auc_roc), 0.0) AS spike, COALESCE(stddev_samp(auc_roc), 0.0) AS sd FROM auc)
+SELECT period, round(auc_roc, 6) AS auc_roc, round(spike, 6) AS spike_threshold FROM auc, s WHERE auc_roc > spike AND sd > 0"""))
+def q_leakage_anomalies(spark, sf):
+    """The periods whose AUC lies above mean + 2 std."""
+    _, a = MO.leakage_report(M.auc_roc(period_predictions(spark, sf), by=["period"]))
+    return a.select("period", r6("auc_roc").alias("auc_roc"), r6("spike_threshold").alias("spike_threshold"))
+
+
 def _sections_sql():
     rows = ", ".join(f"('{sec}', {si * 100 + mi}, '{m}', '{m.replace('_', ' ').title()}')"
                      for si, (sec, ms) in enumerate(MO.SECTIONS) for mi, m in enumerate(ms))

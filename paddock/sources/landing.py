@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators.sequence import with_position
 
+# The fields of the landed payloads.
 ENTRY_SCHEMA = ("horse_id string, horse_name string, jockey_id string, odds double, "
                 "finish_position int, weight int")
 RACE_SCHEMA = (f"race_id string, race_name string, race_number int, course string, distance int, "

@@ -37,9 +37,9 @@ def ingest_landed_races(spark: SparkSession, landing: str, table: str,
            .json(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_batch", F.lit(batch_id)).hint("rebalance", "race_date")
+        rows = batch.withColumn("_batch", F.lit(batch_id)).hint("rebalance")
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_batch", "race_date").parquet(table))
+             .partitionBy("_batch").parquet(table))
 
     w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
