@@ -20,31 +20,36 @@ from pyspark.sql import functions as F
 
 from paddock.llm import cube, decontaminate, jaccard, langid, secrets
 from paddock.llm.common import read, stored
-from paddock.session import apply_defaults
+from paddock.llm.registry import prepare
 
 LONG, MIN_SCORE = 200, 0.1
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     found = langid.predict(docs, langid.train(docs))
     unlike = (F.length("text") >= LONG) & (F.col("score") < MIN_SCORE)
     return found.filter((F.col("lang_pred") != langid.UND) & ~unlike).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return jaccard.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     masked = secrets.redact(docs, secrets.train(secrets.samples(docs)))
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return cube.mix(docs).filter("copies > 0")
 
 
@@ -56,7 +61,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_defaults(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
