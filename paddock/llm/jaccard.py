@@ -11,8 +11,10 @@ are broadcast (a fixed bound). It decides costs only, never results.
 Adaptive prefixes. For sets of size n the first n - ceil(t n) + l shingles are
 the l-prefix; two sets linked at t share at least min(l, l') shingles of their
 prefixes. A document's l grows with the logarithm of its estimated candidate
-cost, the sum of its prefix shingles' frequencies: a dearer document gets a
-longer prefix and must share more of it. A pair is verified if it shares
+cost: a verification for each prefix shingle (a chance partner, or the leader of
+its list, see below) and one more for each that is known to be frequent. A
+dearer document gets a longer prefix and must share more of it, so that a long
+text's chance matches with unrelated ones are not verified. A pair is verified if it shares
 min(l, l') prefix shingles and passes the length and position bounds.
 
 Components need no pair of documents already connected, so candidates come in
@@ -45,12 +47,13 @@ WORDS = 5
 PERCENT = 80                       # the threshold, as a whole percentage
 MAX_FREQUENT = 1 << 20
 MAX_KNOWN = 1 << 22                # nodes whose sets are picked by a broadcast list
-CHUNK = 1 << 22
-FLUSH = 1 << 20
-COST = 256                         # candidate cost above which l grows
-MAX_MATCH = 4
+CHUNK = 1 << 20
+FLUSH = 1 << 18
+COST = 16                          # candidate cost above which l grows
+MAX_MATCH = 6
 SPREAD = 100_000                   # postings of one shingle in one task, as estimated
 BUCKETS = 64
+SHORT = 64                         # lists up to this length keep only members that fit another
 LIST_SALTS = 64
 
 
@@ -168,7 +171,7 @@ def prefix(s: np.ndarray, freq: np.ndarray, level: np.ndarray, percent: int) ->
             order = np.argsort(cls, kind="stable")
             s, cls = s[order], cls[order]
     p = n + (-percent * n // 100) + 1                     # n - ceil(t n) + 1
-    cost = float(np.exp2(cls[:p][cls[:p] > 0].astype(float)).sum())
+    cost = p + int((cls[:p] > 0).sum())
     match = 1 if cost <= COST else min(MAX_MATCH, 1 + int(np.log2(cost / COST)))
     p = min(n, p + match - 1)
     return s[:p], cls[:p], match
@@ -229,7 +232,18 @@ LIST = "kind int, token long, a long, b long, n int, pos int, match int, cnt lon
 
 def lists(packed: DataFrame, percent: int) -> DataFrame:
     """Stored rows of the shingles that several classes share: postings (kind
-    1), pairs with the list's leader (0), and leaders of dealt lists (2)."""
+    1), pairs with the list's leader (0), and leaders of dealt lists (2).
+
+    In a list of at most ``SHORT`` members those that fit no other one by length
+    and position can't be in a pair and are left out.
+    """
+
+    def _fits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Length and position bounds of postings of a common shingle."""
+        n, m = x["n"].astype(np.int64), y["n"].astype(np.int64)
+        left = np.minimum(n - x["pos"], m - y["pos"])
+        return ((100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+                & (left >= _alpha(n, m, percent) - np.minimum(x["match"], y["match"]) + 1))
 
     def run(t: pa.Table) -> pa.Table:
         sub = t.column("sub")[0].as_py()
@@ -241,13 +255,18 @@ def lists(packed: DataFrame, percent: int) -> DataFrame:
         start = np.flatnonzero(head)
         size = np.diff(np.append(start, len(p)))
         of = np.repeat(np.arange(len(start)), size)
-        more = (size[of] > 1) | (sub > 0)
+        more = (size[of] > SHORT) | (sub > 0)
+        for d in range(1, min(SHORT, int(size.max()))):    # members d places apart in a short list
+            i = np.flatnonzero((of[d:] == of[:-d]) & (size[of[d:]] <= SHORT))
+            x, y = p[i], p[i + d]
+            fit = _fits(x, y)
+            more[i[fit]] = True
+            more[i[fit] + d] = True
         lead = p[start[of]]
-        x, y = p["n"].astype(np.int64), lead["n"].astype(np.int64)
-        left = np.minimum(x - p["pos"], y - lead["pos"])
-        fits = ((100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & ~head & more
-                & (left >= _alpha(x, y, percent) - np.minimum(p["match"], lead["match"]) + 1))
-        pair, cnt = np.unique(np.stack([p["node"][fits], lead["node"][fits]], axis=1), axis=0, return_counts=True)
+        fits = more & ~head & _fits(p, lead)
+        pair, first, cnt = np.unique(np.stack([p["node"][fits], lead["node"][fits]], axis=1), axis=0,
+                                     return_index=True, return_counts=True)
+        least = np.minimum(p["match"], lead["match"])[fits][first]
         shared, tops = p[more], p[start] if sub else p[:0]
         n = [len(pair), len(shared), len(tops)]
         col = lambda name: np.concatenate([np.zeros(n[0], np.int64), shared[name].astype(np.int64), tops[name].astype(np.int64)])
@@ -257,74 +276,88 @@ def lists(packed: DataFrame, percent: int) -> DataFrame:
             "token": pa.array(np.concatenate([np.zeros(n[0], np.uint64), shared["token"], tops["token"]]).view(np.int64)),
             "a": pa.array(np.concatenate([pair[:, 0], shared["node"], tops["node"]])),
             "b": pa.array(np.concatenate([pair[:, 1], z])), "n": pa.array(col("n").astype(np.int32)),
-            "pos": pa.array(col("pos").astype(np.int32)), "match": pa.array(col("match").astype(np.int32)),
+            "pos": pa.array(col("pos").astype(np.int32)),
+            "match": pa.array(np.concatenate([least, shared["match"], tops["match"]]).astype(np.int32)),
             "cnt": pa.array(np.concatenate([cnt, z]))})
 
     return stored(packed.groupBy("bucket", "sub").applyInArrow(run, LIST), "jaccard-lists")
 
 
 def set_table(docs: DataFrame, doc_id: str, text: str, k: int, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Stored (node, s): the packed sets of ``nodes``, each read from its class's
-    smallest document. Up to ``MAX_KNOWN`` ids go to the tasks; beyond that the
-    sets of all documents are joined with the list instead."""
-    wanted = classes.join(nodes, "node").select("node", F.col("rep").alias("id"))
-    some = wanted.limit(MAX_KNOWN + 1).select("id").toArrow().column(0)
-    known = None if len(some) > MAX_KNOWN else np.sort(some.drop_null().to_numpy())
+    """Stored (node, s): the sets of ``nodes`` as arrays, each read from its class's
+    smallest document. Up to ``MAX_KNOWN`` (id, node) go to the tasks; beyond
+    that the sets of all documents are joined with the list instead."""
+    wanted = stored(classes.join(nodes, "node").select("node", F.col("rep").alias("id"), "rows").filter("id is not null"), "jaccard-wanted")
+    size = wanted.agg(F.count(F.lit(1)).alias("n"), F.max("rows").alias("rows")).first()
+    known = None
+    if size["n"] <= MAX_KNOWN:
+        t = wanted.select("id", "node").toArrow()
+        ids, at = t.column(0).to_numpy(), t.column(1).to_numpy()
+        order = np.argsort(ids, kind="stable")
+        known = ids[order], at[order]
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     @_quiet
     def run(batches):
-        keep = shared.value
+        keep, seen = shared.value, set()
         for b in batches:
-            ids = b.column(0).fill_null(-(1 << 63)).to_numpy()
-            if keep is not None:
-                at = np.minimum(np.searchsorted(keep, ids), max(0, len(keep) - 1))
-                rows = np.flatnonzero(keep[at] == ids) if len(keep) else np.empty(0, np.int64)
-                b = b.take(pa.array(rows))
-                ids = ids[rows]
+            b = b.filter(b.column(0).is_valid())
+            ids, want = b.column(0).to_numpy(), None
+            if keep is not None and len(keep[0]):
+                lo, hi = (np.searchsorted(keep[0], ids, side=s) for s in ("left", "right"))
+                rows = np.flatnonzero(hi > lo)
+                b, ids, want = b.take(pa.array(rows)), ids[rows], [set(keep[1][i:j].tolist()) for i, j in zip(lo[rows], hi[rows], strict=True)]
+            elif keep is not None:
+                continue
             for lo, sets in batch_sets(b.column(1), k):
-                hit = [j for j, s in enumerate(sets) if len(s)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(ids[lo + j]) for j in hit], pa.int64()), pa.array([node_of(sets[j]) for j in hit], pa.int64()),
-                     pa.array([sets[j].tobytes() for j in hit], pa.binary())], ["id", "node", "s"])
-
-    sets = _input(docs, doc_id, text).mapInArrow(run, "id long, node long, s binary")
-    # a document id may stand on rows with different texts: only its class's row counts
-    return stored(sets.join(wanted.select("node", "id"), ["node", "id"]).select("node", "s").dropDuplicates(["node"]), "jaccard-sets")
+                out = []
+                for j, s in enumerate(sets, lo):
+                    node = node_of(s) if len(s) else None
+                    if node is not None and (want is None or node in want[j]) and (int(ids[j]), node) not in seen:
+                        if want is not None:
+                            seen.add((int(ids[j]), node))
+                        out.append((int(ids[j]), node, s.view(np.int64)))
+                if out:
+                    i, node, s = zip(*out, strict=True)
+                    cut = np.concatenate(([0], np.cumsum([len(x) for x in s]))).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(i, pa.int64()), pa.array(node, pa.int64()),
+                         pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(s)))], ["id", "node", "s"])
+
+    sets = _input(docs, doc_id, text).mapInArrow(run, "id long, node long, s array<long>")
+    if known is None:
+        sets = sets.join(wanted.select("node", "id"), ["node", "id"])
+    sets = sets.select("node", "s")
+    return stored(sets.dropDuplicates(["node"]) if (size["rows"] or 0) > 1 else sets, "jaccard-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Stored links (a, b) among ``pairs`` (a, b).
 
-    The partners of a ``b`` are gathered in ``LIST_SALTS`` lists before its set
-    is joined, so a document with very many partners is not one task's work.
+    Only the sets of the pairs' nodes are shuffled; the nodes are broadcast to
+    the scan of the sets if there are at most ``MAX_KNOWN``. The partners of a
+    ``b`` are gathered in ``LIST_SALTS`` lists before its set is joined, so a
+    document with very many partners is not one task's work.
     """
-
-    @_quiet
-    def run(batches):
-        for t in batches:
-            a, b, sa, sb = (t.column(i).to_pylist() for i in range(4))
-            keep = []
-            for i in range(len(a)):
-                x, y = np.frombuffer(sa[i], np.uint64), np.frombuffer(sb[i], np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()),
-                                              pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
-
+    pairs = stored(pairs, "jaccard-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    nodes = F.broadcast(nodes) if nodes.count() <= MAX_KNOWN else nodes
+    sets = sets.join(nodes, "node", "left_semi")
     grouped = (pairs.groupBy("b", F.pmod(F.xxhash64("a"), F.lit(LIST_SALTS)).alias("salt"))
                     .agg(F.collect_set("a").alias("many")))
     with_b = (grouped.join(sets.withColumnsRenamed({"node": "b", "s": "sb"}), "b")
                      .select("b", "sb", F.explode("many").alias("a")))
-    full = with_b.join(sets.withColumnsRenamed({"node": "a", "s": "sa"}), "a").select("a", "b", "sa", "sb")
-    return stored(full.mapInArrow(run, "a long, b long"), "jaccard-links")
+    both = F.size(F.array_intersect("sa", "sb"))
+    full = with_b.join(sets.withColumnsRenamed({"node": "a", "s": "sa"}), "a").select(
+        "a", "b", both.alias("both"), (F.size("sa") + F.size("sb")).alias("total"))
+    return stored(full.filter(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("a", "b"), "jaccard-links")
 
 
 def _leader_pairs(rows: DataFrame) -> DataFrame:
-    """Best leader of every class (a, b); leaders of a dealt list among themselves."""
-    best = (rows.filter("kind = 0").groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
-                .groupBy("a").agg(F.max_by("b", F.struct("cnt", "b")).alias("b")))
+    """Best leader of every class (a, b), of those that share enough; leaders of
+    a dealt list among themselves."""
+    best = (rows.filter("kind = 0").groupBy("a", "b").agg(F.sum("cnt").alias("cnt"), F.max("match").alias("least"))
+                .filter("cnt >= least").groupBy("a").agg(F.max_by("b", F.struct("cnt", "b")).alias("b")))
     tops = rows.filter("kind = 2")
     first = tops.groupBy("token").agg(F.min_by("a", F.struct("pos", "a")).alias("b"))
     return best.unionByName(tops.select("token", "a").join(first, "token").filter("a <> b").select("a", "b").distinct())
@@ -363,8 +396,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     parts = 8 * shuffle_parts(docs.sparkSession)
     rows = scan(docs, doc_id, text, words)
     each = rows.filter("bucket < 0").select("doc_id", "n", "node")
-    classes = stored(each.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs")), "jaccard-classes")
+    classes = stored(each.filter("node is not null").groupBy("node", "doc_id").count().groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min_by("count", "doc_id").alias("rows"), F.sum("count").alias("docs")), "jaccard-classes")
     found = lists(postings(docs, doc_id, text, words, percent, frequent(rows), parts), percent)
     nodes = found.filter("kind = 1").select(F.col("a").alias("node")).distinct()
     sets = set_table(docs, doc_id, text, words, classes, nodes)

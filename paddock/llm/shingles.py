@@ -22,7 +22,7 @@ _LOWER += np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _POWERS: dict[str, np.ndarray] = {}
-_PACK_BYTES = 4 << 20
+_PACK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
