@@ -100,8 +100,8 @@ def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     add = {}
     if total:
         last = F.col(_AT) == F.col(_SIZE) - 1
-        x = x.withColumn("_all", F.sum(F.when(last, F.col("_sum_n"))).over(Window.partitionBy(*keys, _G)))
-        add[total] = _to_all(F.col("_all"), keys).cast("long")
+        x = x.withColumn("_rows_of_key", F.sum(F.when(last, F.col("_sum_n"))).over(Window.partitionBy(*keys, _G)))
+        add[total] = _to_all(F.col("_rows_of_key"), keys).cast("long")
     rank = F.rank().over(Window.partitionBy(*keys, _B).orderBy(*o)) - 1 if ties else F.col(_AT)
     add[name] = (rank + _to_all(F.col("_off_n"), keys)).cast("long")
     return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)
