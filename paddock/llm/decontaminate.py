@@ -12,8 +12,13 @@ about ``BLOCK_CHARS`` characters by a hash of the text, one pass over
 the documents each, so what a task holds is bounded however many items there
 are. Documents are never shuffled.
 
-Nulls and ties: null texts match nothing and are no items; items with fewer
-than ``MIN_CHARS`` normalised characters are no evidence and are left out. Items
+Items of fewer than ``MIN_CHARS`` normalised characters are held only where the
+passage does not begin or end inside a word, a run of digits and cased letters
+(scripts without case need not part their words, so they have no such bound);
+their candidate passages are few and are compared one by one.
+
+Nulls and ties: null texts match nothing and are no items, nor are texts of
+white space alone. Items
 of equal text are reported each, repeated item rows once. Of the places of an
 item in a document the one with the least distance, then the first, is
 reported. Rows that repeat a document id are rows each.
@@ -65,11 +70,46 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def distance(a: str, b: str) -> int:
+    """Edit distance of two short texts."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        left, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            left, row[j] = row[j], min(left + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def _in_word(c: str) -> bool:
+    return c.isdigit() or c.lower() != c.upper()
+
+
+def border(text: str, at: int) -> bool:
+    """Whether the place lies at no word's inside."""
+    return not (0 < at < len(text) and _in_word(text[at - 1]) and _in_word(text[at]))
+
+
+def whole_words(item: str, text: str, a: int, b: int, budget: int) -> tuple[int, int, int] | None:
+    """(distance, start, end) of the first of the nearest passages between word
+    borders of ``text[a:b]`` within the budget."""
+    best, n = None, len(item)
+    for i in range(a, b):
+        if border(text, i):
+            for j in range(max(i + 1, i + n - budget), min(b, i + n + budget) + 1):
+                if border(text, j):
+                    part = text[i:j]
+                    d = 0 if part == item else distance(item, part) if budget else 1
+                    if d <= budget and (best is None or d < best[0]):
+                        best = (d, i, j)
+    return best
+
+
 class Finder:
-    """Pieces of a block of items."""
+    """Pieces of a block of items; those under ``min_chars`` stand between word borders."""
 
-    def __init__(self, items: list[str], rate: float):
+    def __init__(self, items: list[str], rate: float, min_chars: int = MIN_CHARS):
         self.items = items
+        self.min_chars = min_chars
         self.budget = [int(rate * len(t)) for t in items]
         self.places: dict[str, list[tuple[int, int]]] = {}
         for i, (t, k) in enumerate(zip(items, self.budget, strict=True)):
@@ -107,6 +147,11 @@ class Finder:
         t = normal(text)
         for i, spans in sorted(self.windows(t).items()):
             item, best = self.items[i], None
+            if len(item) < self.min_chars:
+                near = [x for a, b in spans if (x := whole_words(item, t, a, b, self.budget[i]))]
+                if near:
+                    yield i, *min(near)
+                continue
             for a, b in spans:
                 d, end = myers(item, t[a:b])
                 if d <= self.budget[i] and (best is None or d < best[0]):
@@ -123,14 +168,14 @@ def find(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
     a row for each item that a document holds within the item's edit budget."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("_text"))
     out = None
-    for items in _blocks(benchmark, item_id, item_text, min_chars, block_chars):
-        got = source.mapInArrow(_matcher(docs.sparkSession.sparkContext.broadcast(items), rate),
+    for items in _blocks(benchmark, item_id, item_text, block_chars):
+        got = source.mapInArrow(_matcher(docs.sparkSession.sparkContext.broadcast(items), rate, min_chars),
                                 "doc_id long, item_id long, distance int, start int, end int")
         out = got if out is None else out.unionByName(got)
     return out
 
 
-def _blocks(benchmark: DataFrame, item_id: str, item_text: str, min_chars: int, block_chars: int):
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, block_chars: int):
     """Lists of (normalised text, its item ids), about ``block_chars`` of text each."""
     items = (benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).cast("string").alias("body"))
              .filter("body is not null").distinct())
@@ -140,14 +185,14 @@ def _blocks(benchmark: DataFrame, item_id: str, item_text: str, min_chars: int,
         by: dict[str, list] = {}
         for r in items.filter(F.pmod(F.xxhash64("body"), F.lit(blocks)) == block).collect():
             t = normal(r["body"])
-            if len(t) >= min_chars:
+            if t:
                 by.setdefault(t, []).append(r["item"])
         yield [(t, sorted(set(x), key=lambda v: (v is None, v))) for t, x in sorted(by.items())]
 
 
-def _matcher(shared, rate: float):
+def _matcher(shared, rate: float, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder([t for t, _ in shared.value], rate)
+        finder = Finder([t for t, _ in shared.value], rate, min_chars)
         for b in batches:
             rows = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -166,15 +211,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
     """The rows of ``docs`` that hold no benchmark item. Each row is judged in
     its own task, so rows without an id or with a repeated one are judged too."""
     out = docs
-    for items in _blocks(benchmark, item_id, item_text, min_chars, block_chars):
+    for items in _blocks(benchmark, item_id, item_text, block_chars):
         shared = docs.sparkSession.sparkContext.broadcast([t for t, _ in items])
-        out = out.mapInArrow(_filter(shared, rate, docs.columns.index(text)), docs.schema)
+        out = out.mapInArrow(_filter(shared, rate, min_chars, docs.columns.index(text)), docs.schema)
     return out
 
 
-def _filter(shared, rate: float, column: int):
+def _filter(shared, rate: float, min_chars: int, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared.value, rate)
+        finder = Finder(shared.value, rate, min_chars)
         for b in batches:
             keep = [next(finder.matches(t.as_py()), None) is None for t in b.column(column)]
             yield b.filter(pa.array(keep, pa.bool_()))

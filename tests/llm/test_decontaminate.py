@@ -79,6 +79,21 @@ def test_equals_brute_force(spark):
     assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(i) for i, _ in docs if i not in bad)
 
 
+def test_short_items_are_searched(spark):
+    items = [(1, "What is the capital of Peru?"), (2, "cat"), (3, "日本の首都はどこですか。名前を答えよ"), (4, " \n"), (5, "how many moons has mars")]
+    docs = [(1, "Quiz: what is  the capital of PERU? Lima."), (2, "concatenate"), (3, "a cat."), (4, "次の日本の首都はどこですか。名前を答えよと"),
+            (5, "so how manny moons has mars, then"), (6, "somehow many moons has marsh"), (7, "what is the capitol off Peru?"),
+            (8, "what was a capitol off Peru?"), (9, "a concat, then a cat"), (10, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = d.find(df, bench).collect()
+    got = sorted((r["doc_id"], r["item_id"], r["distance"]) for r in out)
+    assert got == [(1, 1, 0), (3, 2, 0), (4, 3, 0), (5, 5, 1), (7, 1, 2), (9, 2, 0)]
+    place = {(r["doc_id"], r["item_id"]): d.normal(dict(docs)[r["doc_id"]])[r["start"]:r["end"]] for r in out}
+    assert place[1, 1] == "what is the capital of peru?" and place[5, 5] == "how manny moons has mars"
+    assert sorted(r["doc_id"] for r in d.clean(df, bench).collect()) == [2, 6, 8, 10]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a text that is long enough to be an item of its own")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a text that is long enough to be an item of its own")], "item_id long, text string")
