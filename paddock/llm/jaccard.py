@@ -414,17 +414,29 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id.
-
-    Of rows that repeat an id with the same text one stays; rows without words
-    or without an id stay. The list of what goes is broadcast if it has at most
-    ``MAX_KNOWN`` ids (counted first), else joined by shuffle.
+    """``docs`` with one row of each component, that of the smallest id, and one
+    of those that have no id.
+
+    Rows are told apart by a tag, a 64-bit hash of id and text whose last bit
+    marks a null id, so an id on rows of different texts is judged by row. Of
+    rows that repeat id and text one stays; rows without words link with
+    nothing, and those without an id either all stay. The lists of tags are
+    broadcast if they have at most ``MAX_KNOWN`` (counted first), else joined
+    by shuffle.
     """
-    out = stored(join(docs, doc_id, text), "jaccard-out")
-    gone = out.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    again = out.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
+    key, body = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    tag = F.xxhash64(key, body.isNull(), body).bitwiseAND(F.lit(-2)).bitwiseOR(key.isNull().cast("long"))
+    tagged, no_id = docs.withColumn("_tag", tag), F.col("_tag").bitwiseAND(F.lit(1))
     small = lambda d: F.broadcast(d) if d.count() <= MAX_KNOWN else d
-    left = docs.join(small(gone), F.col(doc_id) == F.col("_gone"), "left_anti")
-    again = small(again)
-    same = F.col(doc_id) == F.col("_again")
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([doc_id, text]))
+    out = stored(join(tagged, "_tag", text).withColumnRenamed("doc_id", "_tag"), "jaccard-out")
+    linked = out.filter("_tag <> component_id")
+    members = stored(linked.select("_tag", "component_id").unionByName(
+        linked.select(F.col("component_id").alias("_tag"), "component_id")).distinct(), "jaccard-members")
+    stay = (tagged.select("_tag", key.alias("_id")).join(small(members), "_tag")
+                  .groupBy("component_id", no_id).agg(F.min_by("_tag", F.struct("_id", "_tag")).alias("_tag")).select("_tag"))
+    gone = stored(members.select("_tag").join(stay, "_tag", "left_anti"), "jaccard-gone")
+    again = small(out.groupBy("_tag").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("words"))
+                     .filter((F.col("n") > 1) & ((F.col("words") > 0) | (no_id == 0))).select("_tag"))
+    left = tagged.join(small(gone), "_tag", "left_anti")
+    one = left.join(again, "_tag", "left_semi").dropDuplicates([doc_id, text])
+    return left.join(again, "_tag", "left_anti").unionByName(one).select(docs.columns)

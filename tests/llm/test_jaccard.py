@@ -107,6 +107,15 @@ def test_keep_one(spark):
     assert sorted(map(str, kept)) == sorted(str(i) for i, c in want if i == c or i is None)
 
 
+def test_keep_one_judges_rows(spark):
+    a, b, c, e = (" ".join(f"{x}{k}" for k in range(40)) for x in "abce")
+    rows = [(1, a), (5, a.upper()), (5, b), (7, b + " x"), (5, b), (2, c), (2, c + " y"), (None, e), (None, e), (None, e + " z"),
+            (None, ""), (None, ""), (8, ""), (8, "")]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    ids = sorted((r["doc_id"] or 0, (r["text"] or "-")[:2]) for r in kept)
+    assert ids == [(0, "-"), (0, "-"), (0, "e0"), (1, "a0"), (2, "c0"), (5, "b0"), (8, "-")]
+
+
 def test_sets_do_not_depend_on_the_batch():
     texts = [b"a b c d e f", None, b"", b"  x", b"a b c d e f g A B C D E F", "é ü".encode(), b"end"]
     whole = next(batch_sets(pa.array(texts, pa.binary())))[1]
