@@ -2,9 +2,10 @@
 
 1. language ID: documents without a letter go, and those of ``LONG`` characters
    or more whose best cosine is below ``MIN_SCORE``: they resemble no language
-   that the labelled documents show. Short texts have low cosines and stay.
-2. n-gram Jaccard join: of every component of linked documents the one of the
-   smallest id stays.
+   that the labelled documents show. Short texts have low cosines and stay, and
+   if no document has a label, all that have a letter do.
+2. n-gram Jaccard join: of every component of linked rows the one of the
+   smallest id stays, and one of those without an id.
 3. benchmark decontamination: documents that hold a benchmark item go.
 4. secret scans: documents stay, secrets in their text are masked and n_chars
    follows the text.
@@ -27,9 +28,12 @@ LONG, MIN_SCORE = 200, 0.1
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = langid.predict(docs, langid.train(docs))
+    profiles = langid.train(docs)
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+    if not profiles.langs:
+        return lettered
     unlike = (F.length("text") >= LONG) & (F.col("score") < MIN_SCORE)
-    return found.filter((F.col("lang_pred") != langid.UND) & ~unlike).select(docs.columns)
+    return langid.predict(lettered, profiles).filter(~unlike).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

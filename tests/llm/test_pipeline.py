@@ -84,6 +84,15 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert all(r["copies"] in (1, 2, 3) and tuple(r)[:5] in set(before) for r in after)
 
 
+def test_language_id_without_labels(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "the cat", None), (2, "der hund und die katze " * 20, None), (3, "12 !!", None), (4, None, None), (5, "", "en"), (6, "жщц", None)]
+    docs = spark.createDataFrame([(*r, "a", 1) for r in rows], schema)
+    assert sorted(r["doc_id"] for r in cp.language_id(spark, docs, "").collect()) == [1, 2, 6]
+    named = spark.createDataFrame([(1, "the cat", "und", "a", 1), (2, "12", "und", "a", 1)], schema)
+    assert [r["doc_id"] for r in cp.language_id(spark, named, "").collect()] == [1]
+
+
 def test_run(spark, tmp_path):
     rows, items = _documents()
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
