@@ -3,8 +3,10 @@
 Block-level elements are nodes; inline elements only add to their block's text
 and link counts. Optional end tags are implied (a block start closes an open
 paragraph, an item the item before it), end tags without a start are ignored,
-an unfinished tag or comment ends the page. Scripts, styles, the head and
-embedded objects have no text.
+an unfinished tag or comment ends the page. Scripts, styles, the head, frames,
+templates and form texts have no text. svg and math keep theirs, their own tags
+have no meaning, and a tag of the page around them ends one that is not closed.
+A quote opens an attribute value only after an equals sign.
 """
 
 from __future__ import annotations
@@ -13,10 +15,11 @@ import re
 from html import unescape
 
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark meta link nobr picture q rp rt ruby s "
-    "samp small source span strike strong sub sup time track tt u var wbr".split())
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark math meta link nobr noscript object picture q rp rt ruby s "
+    "samp small source span strike strong sub sup svg time track tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe object svg math xmp noembed noframes".split())
+RAW = frozenset("script style title textarea template iframe xmp noembed noframes".split())
+FOREIGN = frozenset(("svg", "math"))
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section table ul".split())
@@ -25,7 +28,9 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
            "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
            "body": ({"head"}, {"html"})}
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4096}+"|'[^']{0,4096}+')*+)>""")
+#: Start tags that leave svg and math.
+LEAVES = CLOSES_P | IMPLIED.keys() | frozenset("b big br code em embed i img nobr ruby s small span strong strike sub sup tt u var".split())
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>""")
 _ATTR = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LABEL = re.compile(r'data-y="([01])"')
 _SPLIT = re.compile(r"[a-z]+")
@@ -76,6 +81,7 @@ def parse(html: str) -> Page:
     opened: dict[str, int] = {}
     pieces: list[str] = []
     link, head, n, at = 0, False, len(html), 0
+    foreign = ""
 
     def flush() -> None:
         if pieces:
@@ -129,6 +135,13 @@ def parse(html: str) -> Page:
         else:
             at = m.end()
         name, attrs = m[2].lower(), m[3]
+        if foreign:
+            if m[1] and (name == foreign or opened.get(name, 0)) or not m[1] and name in LEAVES:
+                foreign = ""
+            elif m[1] or attrs.endswith("/") or name not in RAW:
+                if m[1] and name == "a":
+                    link = 0
+                continue
         if m[1]:
             if name == "head":
                 head = False
@@ -146,6 +159,8 @@ def parse(html: str) -> Page:
             continue
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}", re.I).search(html, at)
+            if end is None and name == "template":
+                continue
             if end is None:
                 break
             close = html.find(">", end.end())
@@ -156,6 +171,8 @@ def parse(html: str) -> Page:
                 link = 1
             elif name == "br":
                 pieces.append("\n") if pieces else None
+            elif name in FOREIGN and not attrs.endswith("/"):
+                foreign = name
             continue
         flush()
         if name == "head":

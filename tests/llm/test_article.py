@@ -58,6 +58,26 @@ def _article(h):
     return "\n".join(x for x in (" ".join(html.unescape(re.sub(r"</?b>", "", q)).split()) for q in parts) if x)
 
 
+def _blocks(h):
+    return [t for t in (block_text(r) for _, r in parse(h).blocks) if t]
+
+
+def test_embedded_elements_keep_the_page():
+    for e in ("svg", "math", "object", "noscript", "template"):
+        assert _blocks(f"<p>One.</p><{e}><p>Two <b>bold</b>.</p><p>Three.</p>") == ["One.", "Two bold.", "Three."]
+    assert _blocks('<p>A <svg width="1"/> and <math/> b.</p><p>C <svg><path d="M0"/></svg> d.</p>') == ["A and b.", "C d."]
+    assert _blocks("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p>") == ["Let x=1 be."]
+    assert _blocks("<p>See <svg><title>no</title><g><text>label</text></g></svg> here.</p>") == ["See label here."]
+    assert _blocks('<p>An <object data="x"><b>old</b> reader</object> sees.<noscript> No script.</noscript></p>') == ["An old reader sees. No script."]
+    assert _blocks("<p>a<script>x</script>b<template><p>t</p></template></p><p>c<style>z") == ["ab", "c"]
+
+
+def test_attribute_values_have_no_length_limit():
+    assert _blocks('<p title="' + "a > b " * 5000 + '">text</p><p>more</p>') == ["text", "more"]
+    assert _blocks("<p title='" + "a > b " * 5000 + "'>text</p>") == ["text"]
+    assert _blocks('<p class=a">one</p><p>it\'s "two"</p>') == ["one", 'it\'s "two"']
+
+
 def test_query_on_pages(spark):
     sf = "/root/testdata/sf0.01"
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
