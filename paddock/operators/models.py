@@ -190,6 +190,29 @@ def cv_summary(fold_metrics: DataFrame) -> DataFrame:
                                               F.count(F.lit(1)).cast("long").alias("folds"))
 
 
+def cross_validate(df: DataFrame, feature_cols: Sequence[str], order: Sequence[str], n_splits: int = 5,
+                   kind: str = "gbt", threshold: float = 0.5, **params) -> DataFrame:
+    """Metrics of a fresh model per time fold, fitted on all rows before the
+    fold's test block: (test_fold, metric, value, n_rows) for ``cv_summary``, the
+    metrics of the training rows as ``train_...``, of the block as ``val_...``."""
+    from paddock.operators.splits import time_folds
+    folds = staged(time_folds(df, order, n_splits), "cv-folds")
+    bounds = folds.filter(F.col("test_fold").isNotNull()).groupBy("test_fold").agg(
+        F.min("position").alias("first"), F.count(F.lit(1)).alias("n")).orderBy("test_fold").collect()   # one row per fold
+    out = df.sparkSession.createDataFrame([], "test_fold long, metric string, value double, n_rows long")
+    for b in bounds:
+        rows = folds.filter((F.col("position") < b["first"]) | (F.col("test_fold") == b["test_fold"])).withColumn(
+            "split", F.when(F.col("position") < b["first"], "train").otherwise("val"))
+        fit = rows.filter(F.col("split") == "train")
+        live = [c for c, n in fit.agg(*[F.count(c).alias(c) for c in feature_cols]).first().asDict().items() if n]
+        model = fit_classifier(fit, live, kind, **params)
+        m = classification_metrics(predict_proba(model, rows, live), by=["split"], threshold=threshold)
+        out = out.unionByName(m.select(
+            F.lit(b["test_fold"]).cast("long").alias("test_fold"), F.concat_ws("_", "split", "metric").alias("metric"), "value",
+            F.when(F.col("split") == "train", b["first"]).otherwise(b["n"]).cast("long").alias("n_rows")))
+    return out
+
+
 def fit_calibrated(fit_rows: DataFrame, cal_rows: DataFrame, thr_rows: DataFrame, feature_cols: Sequence[str],
                    kind: str = "gbt", method: str = "sigmoid", **params):
     """(scorer, threshold): a classifier, calibrated on ``cal_rows``, and the

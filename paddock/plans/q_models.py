@@ -204,6 +204,26 @@ def q_importances(spark, sf):
         ((F.col("low") >= 0) & (F.col("t") <= 1 + 1e-6)).alias("shares"), "ranker_summary")
 
 
+@query("cross_validate", with_entries(VALID_SQL + f"""
+, k AS (SELECT count(*) AS n, count(*) // {K_FOLDS + 1} AS size FROM tr)
+SELECT CAST(f AS BIGINT) AS test_fold, s || '_' || m AS metric,
+       CAST(CASE WHEN s = 'train' THEN n - ({K_FOLDS} - f) * size ELSE size END AS BIGINT) AS n_rows,
+       CAST({K_FOLDS} AS BIGINT) AS folds, true AS value_valid, true AS summary_valid
+FROM k, range({K_FOLDS}) a(f), (VALUES ('train'), ('val')) x(s),
+     (VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc_roc'), ('log_loss')) y(m)"""))
+def q_cross_validate(spark, sf):
+    """I11 with a fresh model per fold: train and test metrics of every fold, and
+    their mean and population std."""
+    tr, _, cols = _model_data(spark, sf)
+    per_fold = staged(ML.cross_validate(tr.drop("split"), cols, HISTORY_ORDER, K_FOLDS, maxIter=10, maxDepth=4), "cv-metrics")
+    total = per_fold.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    summary = ML.cv_summary(per_fold).join(total, "metric").select(
+        "metric", "folds", (F.col("mean").between(F.col("low") - 1e-9, F.col("high") + 1e-9) & (F.col("std") >= 0)).alias("summary_valid"))
+    return per_fold.join(summary, "metric").select(
+        "test_fold", "metric", "n_rows", "folds", F.when(F.col("metric").endswith("log_loss"), F.col("value") >= 0).otherwise(
+            _is_prob("value")).alias("value_valid"), "summary_valid")
+
+
 #: Candidates of the registered search. The operator's defaults are 50 over 3
 #: folds; this query fits fewer, since it is run over and over.
 QUERY_CANDIDATES = 4

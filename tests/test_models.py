@@ -47,6 +47,21 @@ def test_train_step_reports_both_sides(spark, data):
     assert 0 < t < 0.5 and got["validation", "auc_roc"] > 0.7 and got["train", "auc_roc"] > 0.7
 
 
+def test_cross_validate_fits_every_fold(spark, data):
+    got = ML.cross_validate(data, COLS, ORDER, 3, kind="logistic", threshold=0.3)
+    assert {(r["metric"], r["folds"]) for r in ML.cv_summary(got).collect()} == {
+        (f"{s}_{m}", 3) for s in ("train", "val") for m in ("accuracy", "precision", "recall", "f1", "auc_roc", "log_loss")}
+    got = {(r["test_fold"], r["metric"]): r for r in got.collect()}
+    rows = sorted(data.collect(), key=lambda r: (r["race_date"], r["race_id"], r["horse_id"]))
+    for f in range(3):
+        parts = [spark.createDataFrame(x, data.schema) for x in (rows[:180 * (f + 1)], rows[180 * (f + 1):180 * (f + 2)])]
+        model = ML.fit_classifier(parts[0], COLS, "logistic")
+        for side, part in zip(("train", "val"), parts, strict=True):
+            for m in ML.classification_metrics(ML.predict_proba(model, part, COLS), threshold=0.3).collect():
+                r = got[f, f"{side}_{m['metric']}"]
+                assert r["n_rows"] == part.count() and r["value"] == pytest.approx(m["value"], abs=1e-6)
+
+
 def test_walk_forward_never_sees_the_test_window(spark, data):
     periods = walk_forward_periods(data, train_window=120, test_window=60, step=60)
     out = ML.walk_forward(data, periods, COLS, ORDER, kind="logistic").collect()
