@@ -9,7 +9,7 @@ from paddock.llm.registry import query
 SQL = r"""
 WITH t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS at
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
 c AS (
   SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
@@ -18,11 +18,11 @@ c AS (
     4294967295::BIGINT) % 6 AS h
   FROM (SELECT DISTINCT conv_id FROM t)),
 r AS (
-  SELECT c.conv_id, 0 AS own, t.at, role, text FROM c JOIN t ON t.conv_id = c.base AND t.at <= h
-  UNION ALL SELECT c.conv_id, 1, t.at, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.at > h),
+  SELECT c.conv_id, 0 AS own, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= h
+  UNION ALL SELECT c.conv_id, 1, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > h),
 s AS (
   SELECT conv_id, length(text) AS size, row_number() OVER w AS depth, md5(string_agg(md5(role || chr(0) || text), '') OVER w) AS node
-  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, at)),
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)),
 m AS (
   SELECT conv_id, depth, size, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), '') AS up,
          depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM s
