@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import with_position
+from paddock.operators.sequence import desc, with_position
 
 
 def predicted_rank(df: DataFrame, prob: str = "predicted_prob", group: str = "race_id",
@@ -16,11 +16,10 @@ def predicted_rank(df: DataFrame, prob: str = "predicted_prob", group: str = "ra
     """H6: ordinal rank (1 = highest probability) inside each race.
 
     Equal probabilities are ordered by ``tie_break`` so the rank is
-    deterministic.
+    deterministic. A race has a bounded field, so its window is one small group.
     """
-    order = [F.col(prob).desc(), *[F.col(c) for c in tie_break]]
-    out = with_position(df, [*by, group], order, name=name, by=(prob, True))
-    return out.withColumn(name, (F.col(name) + 1).cast("long"))
+    w = Window.partitionBy(*by, group).orderBy(F.col(prob).desc(), *[F.col(c) for c in tie_break])
+    return df.withColumn(name, F.row_number().over(w).cast("long"))
 
 
 def min_rank(df: DataFrame, prob: str = "win_probability", group: str | None = "race_id",
@@ -28,9 +27,11 @@ def min_rank(df: DataFrame, prob: str = "win_probability", group: str | None = "
     """``rank()`` semantics (ties share the lowest rank) by probability desc.
 
     Without ``group`` the ranking is global: it runs over buckets of the
-    probability, never in a single-partition window.
+    probability, not in a single-partition window.
     """
-    out = with_position(df, [group] if group else [], [F.col(prob).desc()], name=name, by=(prob, True), ties=True)
+    if group:
+        return df.withColumn(name, F.rank().over(Window.partitionBy(group).orderBy(F.col(prob).desc())).cast("long"))
+    out = with_position(df, [], [desc(prob)], name=name, ties=True)
     return out.withColumn(name, (F.col(name) + 1).cast("long"))
 
 

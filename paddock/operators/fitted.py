@@ -4,8 +4,8 @@ Scalers and one-hot encoders keep their fitted state as model parameters (four
 numbers per scaled column; the values of a one-hot column are its output
 columns) and apply it as a projection. A label encoder's mapping is a frame of
 (value, code) per column, however many categories there are: codes are
-positions in the distributed order of the distinct values, and applying it is a
-left join that the optimizer plans by size.
+positions in the distributed order of the distinct values, found by ``fit``, and
+applying it is a left join that the optimizer plans by size.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock.functions.features import extract, feature_columns
-from paddock.operators.sequence import with_position
+from paddock.session import shuffle_parts, staged
 
 # -- G1, G2 ------------------------------------------------------------------
 @dataclass
@@ -59,6 +60,38 @@ class CategoryEncoderModel:
         return cls(d["mappings"], d["strategy"])
 
 
+def _codes(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """column -> frame (value, code): the place of each distinct value in the
+    order of the column's own type.
+
+    The distinct values of all columns are found in one pass, dealt to sampled
+    ranges and written; a code is the place in the range plus the values of the
+    column in earlier ranges (one number per range and column).
+    """
+    if not cols:
+        return {}
+
+    def keys(c: str) -> Column:
+        kind = df.schema[c].dataType
+        whole = isinstance(kind, T.IntegralType | T.DecimalType | T.BooleanType)
+        part = isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)
+        at = F.col(c).cast("int") if isinstance(kind, T.BooleanType) else F.col(c)
+        return F.struct(F.lit(cols.index(c)).alias("c"), (at if whole else F.lit(None)).cast("decimal(38,9)").alias("whole"),
+                        (at if part else F.lit(None)).cast("double").alias("part"), F.col(c).cast("string").alias("value"))
+
+    order = ["c", "whole", "part", "value"]
+    found = df.select(F.explode(F.array(*[keys(c) for c in cols])).alias("k")).select("k.*").filter("value is not null").distinct()
+    ranged = staged(found.repartitionByRange(shuffle_parts(df.sparkSession), *order).withColumn("piece", F.spark_partition_id()), "label-values")
+    offsets, seen = [], {}
+    for r in ranged.groupBy("c", "piece").count().orderBy("c", "piece").collect():
+        offsets += [F.lit(f"{r['c']}:{r['piece']}"), F.lit(seen.get(r["c"], 0))]
+        seen[r["c"]] = seen.get(r["c"], 0) + r["count"]
+    before = F.element_at(F.create_map(*offsets), F.concat_ws(":", "c", "piece")) if offsets else F.lit(0)
+    place = F.row_number().over(Window.partitionBy("c", "piece").orderBy(*order)) - 1
+    codes = staged(ranged.select("c", "value", (place + before).cast("long").alias("code")), "label-codes")
+    return {c: codes.filter(F.col("c") == i).select("value", "code") for i, c in enumerate(cols)}
+
+
 @dataclass
 class CategoryEncoder:
     """Label (sorted distinct non-null values -> 0..k-1, unseen/null -> -1) or
@@ -69,10 +102,7 @@ class CategoryEncoder:
     def fit(self, df: DataFrame) -> CategoryEncoderModel:
         cols = [c for c in self.columns if c in df.columns]
         if self.strategy == "label":
-            # sorted by native type, keys compared as strings; nothing runs here
-            return CategoryEncoderModel({c: with_position(
-                df.filter(F.col(c).isNotNull()).select(F.col(c).alias("v")).distinct(), [], ["v"], name="code")
-                .select(F.col("v").cast("string").alias("value"), "code") for c in cols}, "label")
+            return CategoryEncoderModel(_codes(df, cols), "label")
         if not cols:
             return CategoryEncoderModel({}, self.strategy)
         row = df.agg(*[F.array_sort(F.collect_set(F.col(c))).alias(c) for c in cols]).first()

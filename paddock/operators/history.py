@@ -12,10 +12,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import rolling, with_position
+from paddock.operators.sequence import rolling
 
 N_PAST = 5
 
@@ -106,8 +106,9 @@ def horse_summary(df: DataFrame, order: Sequence[str], n_past: int = N_PAST,
     ``weight`` is the value of the oldest of those races (the reference takes
     the last row after a newest-first sort).
     """
-    desc = [F.col(c).desc() for c in order]
-    recent = with_position(df, [key], desc, name="_age", by=(order[0], True)).filter(F.col("_age") < n_past)
+    # rows beyond the limit go before the shuffle, in every input partition, so a hot key stays small
+    newest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    recent = df.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= n_past)
     fp = F.col("finish_position")
     return recent.groupBy(key).agg(
         F.avg(fp.cast("double")).alias("avg_finish"),

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import running_sum, with_position
+from paddock.operators.sequence import desc, running_sum
 
 EPS = 1e-15
 
@@ -117,7 +117,7 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), target: str = "is_win",
     s = df.groupBy(*by, F.col(prob).alias("_s")).agg(
         F.sum(F.col(target).cast("long")).alias("_pos"),
         F.sum((F.col(target) == 0).cast("long")).alias("_neg"))
-    s = running_sum(s, by, [F.col("_s").desc()], ["_pos"], by=("_s", True))
+    s = running_sum(s, by, [desc("_s")], ["_pos"])
     neg = F.col("_neg").cast("double")                 # products of counts exceed a long
     pairs = neg * F.col("_pos_before") + F.lit(0.5) * F.col("_pos") * neg
     t = _grouped(s, by, F.sum(pairs).alias("_num"), F.sum("_pos").alias("_p"),
@@ -131,25 +131,29 @@ def auc_roc(df: DataFrame, by: Sequence[str] = (), target: str = "is_win",
 def ndcg_multi(df: DataFrame, by: Sequence[str] = (), ks: Sequence[int | None] = (None,)) -> DataFrame:
     """Mean per-race NDCG for several cutoffs from one pass (None = all entries).
 
-    Relevance = entries in race - actual + 1. The predicted and the ideal
-    ordering give two positions per row; with bounded races both are windows
-    over the same race partitioning. Columns ``ndcg`` / ``ndcg_at_{k}``.
+    Relevance = entries in race - actual + 1. A race has a bounded field, so one
+    aggregate collects its (rank, horse, actual) and array functions sum the gains
+    of the predicted and of the ideal order: one shuffle. Columns ``ndcg`` /
+    ``ndcg_at_{k}``.
     """
     by = list(by)
     keys = [*by, "race_id"]
-    x = with_position(df, keys, ["predicted_rank", "horse_id"], name="_pp", total="_n")
-    x = x.withColumn("_rel", (F.col("_n") - F.col("actual_position") + 1).cast("double"))
-    x = with_position(x, keys, [F.col("_rel").desc(), F.col("horse_id")], name="_ip", by=("_rel", True))
+    entry = F.struct(F.col("predicted_rank").alias("rank"), F.col("horse_id").alias("horse"), F.col("actual_position").alias("actual"))
+    races = df.groupBy(*keys).agg(F.collect_list(entry).alias("_field"), F.count(F.lit(1)).alias("_n"))
+    rel = F.transform(F.array_sort("_field"), lambda e: (F.col("_n") - e["actual"] + 1).cast("double"))
+    ideal = F.sort_array(F.col("_rel"), asc=False)             # entries without a position come last
+    races = races.withColumn("_rel", rel).withColumn("_ideal", ideal)
 
-    def gain(pos: Column, k) -> Column:
-        cut = F.lit(k) if k is not None else F.col("_n")
-        return F.when(pos < cut, F.col("_rel") / F.log2(pos + F.lit(2.0))).otherwise(F.lit(0.0))
+    def gain(order: str, k) -> Column:
+        head = F.col(order) if k is None else F.slice(order, 1, k)
+        gains = F.transform(head, lambda r, i: F.coalesce(r, F.lit(0.0)) / F.log2(i + F.lit(2.0)))
+        return F.aggregate(gains, F.lit(0.0), lambda a, g: a + g)
 
     names = {k: ("ndcg" if k is None else f"ndcg_at_{k}") for k in ks}
-    aggs = []
+    sums = {}
     for k, nm in names.items():
-        aggs += [F.sum(gain(F.col("_pp"), k)).alias(f"_d_{nm}"), F.sum(gain(F.col("_ip"), k)).alias(f"_i_{nm}")]
-    per_race = x.groupBy(*keys).agg(*aggs)
+        sums |= {f"_d_{nm}": gain("_rel", k), f"_i_{nm}": gain("_ideal", k)}
+    per_race = races.select(*keys, *[c.alias(n) for n, c in sums.items()])
     outs = [F.coalesce(F.avg(F.when(F.col(f"_i_{nm}") > 0, F.col(f"_d_{nm}") / F.col(f"_i_{nm}"))
                              .otherwise(F.lit(0.0))), F.lit(0.0)).alias(nm) for nm in names.values()]
     return _grouped(per_race, by, *outs)

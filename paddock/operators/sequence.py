@@ -2,142 +2,176 @@
 statistics and running sums.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task, however many
-they are. Here every sequence takes one path that splits keys by their own data:
-
-1. A coarse, order-preserving function of the first order column (``coarse``)
-   cuts each key's rows into buckets, the same in every run. Windows run over
-   (key, bucket).
-2. What a bucket needs from earlier ones is their row counts or sums, and for
-   rolling statistics their last ``n`` rows. The first and last ``n`` rows of all
-   buckets of a key form a thin group: at most 2n rows a bucket. The key's window
-   over the thin group gives its rows the same values as over all rows, since
-   the rows between are in no frame of a bucket's first ``n`` rows.
-3. Counts and sums of earlier buckets go from a bucket's first row to its other
-   rows in a window over (key, bucket) again.
-
-So a plan is a chain of windows: nothing is joined, counted, persisted or run
-while it is built, and a key that holds a third of all rows is spread over its
-buckets. The results equal those of the single window, given a total order.
+they are. Here a key is cut into buckets at some of its own rows:
+
+1. About one row in ``CUT_EVERY``, chosen by a hash of its key and order, is a
+   cut (one narrow pass over those columns). A row's bucket is the number of its
+   key's cuts up to it, found by bisection. So buckets hold about ``CUT_EVERY``
+   rows whatever the values look like, in the rows' total order, and a key of
+   fewer rows is rarely cut. The cuts are broadcast: one per ``CUT_EVERY`` rows.
+2. Windows run over (key, bucket): one shuffle of the rows.
+3. What a bucket needs from earlier ones comes from summaries of the buckets of
+   cut keys only: row counts or sums and, for rolling statistics, the last ``n``
+   rows. A window over these summaries gives each bucket what precedes it, and a
+   broadcast join (as many rows as cuts and cut keys) hands it to the bucket's
+   first rows. Where no key is cut, this branch is empty.
+
+There is no probe, no size switch and nothing runs while a plan is built. The
+results equal those of the single window, given a total order; rows that are
+equal in all key and order columns are never cut apart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_B, _G, _AT, _SIZE = "_bucket", "_thin", "_at", "_size"
-_FAR = 10_000_000
-
-
-def _cols(items: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in items]
-
-
-def coarse(df: DataFrame, name: str, desc: bool = False) -> Column:
-    """A long that grows with the order of a column (or falls with it, for
-    ``desc``): days of a date or timestamp, steps of about one per cent of a
-    number, the first characters of a text. Nulls go first, or last for desc."""
-    kind, c = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.DateType | T.TimestampType | T.TimestampNTZType):
-        v = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
-    elif isinstance(kind, T.NumericType):
-        x = c.cast("double")
-        step = F.floor(F.log2(F.abs(x)) * 64) + 100_000              # over 0 for every double but 0
-        v = F.when(F.isnan(x), F.lit(_FAR - 1)).when(x == 0, F.lit(0)).when(x > 0, step).otherwise(-step).cast("long")
-        v = F.when(F.abs(x) == float("inf"), F.when(x > 0, F.lit(_FAR - 2)).otherwise(F.lit(2 - _FAR))).otherwise(v)
-    elif isinstance(kind, T.StringType):
-        code = lambda i, most: F.least(F.ascii(F.substring(c, i, 1)), F.lit(most)).cast("long")
-        v = F.when(c.isNotNull(), code(1, 4000) * 2048 + F.when(F.ascii(c) < 4000, code(2, 2047)).otherwise(F.lit(0)))
-    else:
-        v = F.lit(0).cast("long")
-    v = F.coalesce(v, F.lit(-_FAR).cast("long"))
-    return -v if desc else v
-
-
-def _bucket(df: DataFrame, order: Sequence[str | Column], by: tuple[str, bool] | None) -> Column:
-    if by is None:
-        if not isinstance(order[0], str):
-            raise ValueError("name the first order column in `by`")
-        by = (order[0], False)
-    return coarse(df, *by)
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str], o: Sequence[Column], bucket: Column, n: int,
-              sums: Mapping[str, Column]) -> DataFrame:
-    """Add bucket, position and size in the bucket, the thin group (null for
-    the first and last ``n`` rows of a bucket, else the bucket) and, as
-    ``_off_<name>``, each sum over the key's earlier buckets: right in the first
-    ``n`` rows of a bucket."""
-    whole = Window.partitionBy(*keys, _B)
-    x = df.withColumn(_B, bucket)
-    x = x.withColumns({_AT: F.row_number().over(whole.orderBy(*o)) - 1, _SIZE: F.count(F.lit(1)).over(whole),
-                       **{f"_sum_{k}": c.over(whole) for k, c in sums.items()}})
-    edge = (F.col(_AT) < n) | (F.col(_SIZE) - F.col(_AT) <= n)
-    x = x.withColumn(_G, F.when(~edge, F.col(_B)))
-    last = F.col(_AT) == F.col(_SIZE) - 1
-    before = Window.partitionBy(*keys, _G).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
-    return x.withColumns({f"_off_{k}": F.coalesce(F.sum(F.when(last, F.col(f"_sum_{k}"))).over(before), F.lit(0)) for k in sums})
-
-
-def _to_all(c: Column, keys: Sequence[str]) -> Column:
-    """The value of a bucket's first row, for all its rows."""
-    return F.max(F.when(F.col(_AT) == 0, c)).over(Window.partitionBy(*keys, _B))
-
-
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str = "pos",
-                  by: tuple[str, bool] | None = None, total: str | None = None, ties: bool = False) -> DataFrame:
+
+#: Rows of a bucket, on average.
+CUT_EVERY = 1 << 20
+_STEPS = 26                     # bisection finds one of up to 2^26 cuts of a key
+_K, _O, _CUTS, _B, _AT = "_seq_key", "_seq_order", "_seq_cuts", "_seq_bucket", "_seq_at"
+
+
+@dataclass(frozen=True)
+class desc:  # noqa: N801  (reads like the function of the same name)
+    """A column in descending order, nulls last."""
+    name: str
+
+
+Order = Sequence["str | desc"]
+
+
+def _name(o: str | desc) -> str:
+    return o.name if isinstance(o, desc) else o
+
+
+def _columns(order: Order) -> list[Column]:
+    return [F.col(o.name).desc() if isinstance(o, desc) else F.col(o) for o in order]
+
+
+def _up_to(cut: Column, row: Column, order: Order, same: bool = True) -> Column:
+    """The cut comes before the row, or (``same``) is equal to it."""
+    if not any(isinstance(o, desc) for o in order):
+        return cut <= row if same else cut < row            # structs compare field by field, nulls first
+    out = F.lit(same)
+    for i, o in reversed(list(enumerate(order))):
+        c, r = cut[f"o{i}"], row[f"o{i}"]
+        first, then = (r, c) if isinstance(o, desc) else (c, r)
+        before = F.coalesce(first < then, first.isNull() & then.isNotNull())
+        out = before | (c.eqNullSafe(r) & out)
+    return out
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
+    """Add the key, its sorted cuts (null: none) and the bucket of the row."""
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]) if keys else F.lit(0)
+    place = F.struct(*[F.col(_name(o)).alias(f"o{i}") for i, o in enumerate(order)])
+    hashed = F.xxhash64(*dict.fromkeys([*keys, *[_name(o) for o in order]]))
+    own = None
+    if any(isinstance(o, desc) for o in order):
+        own = lambda a, b: F.when(_up_to(a, b, order, False), -1).when(_up_to(b, a, order, False), 1).otherwise(0)
+    cuts = (df.filter(F.pmod(hashed, F.lit(CUT_EVERY)) == 0).select(key.alias(_K), place.alias(_O))
+              .groupBy(_K).agg(F.array_sort(F.collect_set(_O), own).alias(_CUTS)))
+    x = df.withColumn(_K, key).join(F.broadcast(cuts), _K, "left")
+    found = F.aggregate(F.array(*[F.lit(1 << i) for i in range(_STEPS - 1, -1, -1)]), F.lit(0),
+                        lambda n, s: F.when((n + s <= F.size(_CUTS)) & _up_to(F.get(F.col(_CUTS), n + s - 1), place, order), n + s)
+                        .otherwise(n))
+    return x.withColumn(_B, F.when(F.col(_CUTS).isNull(), 0).otherwise(found))
+
+
+def _group(keys: Sequence[str]) -> list[str]:
+    return [*keys, _B]
+
+
+def _handed(x: DataFrame, summary: DataFrame) -> DataFrame:
+    """Join what precedes a bucket (columns of ``summary`` by key and bucket)."""
+    return x.join(F.broadcast(summary), [_K, _B], "left")
+
+
+def _before() -> Window:
+    return Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_position(df: DataFrame, keys: Sequence[str], order: Order, name: str = "pos",
+                  total: str | None = None, ties: bool = False) -> DataFrame:
     """Add ``name``: 0-based position of the row inside its key, in ``order``,
     and ``total``: the rows of the key. With ``ties``, rows that are equal in
-    ``order`` share the lowest position.
-
-    ``by``: (name, descending) of the first order column, where it is not a name.
-    """
-    keys, o = list(keys), _cols(order)
-    x = _bucketed(df, keys, o, _bucket(df, order, by), 1, {"n": F.count(F.lit(1))})
-    add = {}
+    ``order`` share the lowest position."""
+    keys, o = list(keys), _columns(order)
+    x = _cut(df, keys, order)
+    sizes = (x.filter(F.col(_CUTS).isNotNull()).groupBy(_K, _B).agg(F.count(F.lit(1)).alias("_n"))
+              .select(_K, _B, F.sum("_n").over(_before()).alias("_off"), F.sum("_n").over(Window.partitionBy(_K)).alias("_all")))
+    w = Window.partitionBy(*_group(keys))
+    at = F.rank() if ties else F.row_number()
+    add = {_AT: at.over(w.orderBy(*o)) - 1}
     if total:
-        last = F.col(_AT) == F.col(_SIZE) - 1
-        x = x.withColumn("_rows_of_key", F.sum(F.when(last, F.col("_sum_n"))).over(Window.partitionBy(*keys, _G)))
-        add[total] = _to_all(F.col("_rows_of_key"), keys).cast("long")
-    rank = F.rank().over(Window.partitionBy(*keys, _B).orderBy(*o)) - 1 if ties else F.col(_AT)
-    add[name] = (rank + _to_all(F.col("_off_n"), keys)).cast("long")
-    return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)
+        add["_size"] = F.count(F.lit(1)).over(w)
+    x = _handed(x.withColumns(add), sizes)
+    out = {name: (F.col(_AT) + F.coalesce("_off", F.lit(0))).cast("long")}
+    if total:
+        out[total] = F.coalesce("_all", "_size").cast("long")
+    return x.withColumns(out).select(*[c for c in df.columns if c not in out], *out)
 
 
-def rolling(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int,
+def rolling(df: DataFrame, keys: Sequence[str], order: Order, n: int,
             means: Mapping[str, Column] | None = None, lags: Mapping[str, Column] | None = None,
-            count_name: str | None = None, by: tuple[str, bool] | None = None) -> DataFrame:
+            count_name: str | None = None) -> DataFrame:
     """Per-key history over the ``n`` preceding rows (current row excluded).
 
     ``means``: output name -> value; mean of the non-null values among the
     previous ``n`` rows (null if there are none). ``lags``: output name -> value
     of the previous row. ``count_name``: number of earlier rows of the key.
     """
-    keys, o = list(keys), _cols(order)
+    keys, o = list(keys), _columns(order)
     means, lags = dict(means or {}), dict(lags or {})
-
-    def stats(group: str, tag: str) -> dict[str, Column]:
-        w = Window.partitionBy(*keys, group).orderBy(*o)
-        out = {f"{tag}{k}": F.avg(c.cast("double")).over(w.rowsBetween(-n, -1)) for k, c in means.items()}
-        return out | {f"{tag}{k}": F.lag(c, 1).over(w) for k, c in lags.items()}
-
-    x = _bucketed(df, keys, o, _bucket(df, order, by), n, {"n": F.count(F.lit(1))})
-    x = x.withColumns(stats(_G, "_edge_"))                    # the thin group's windows
-    add = {k: F.when(F.col(_AT) < n, F.col(f"_edge_{k}")).otherwise(c) for k, c in stats(_B, "").items()}
+    x = _cut(df, keys, order)
+    values = {f"_v{i}": c.cast("double") for i, c in enumerate(means.values())} | {f"_l{i}": c for i, c in enumerate(lags.values())}
+    x = x.withColumns({_AT: F.lit(0), **values}) if values else x
+    w = Window.partitionBy(*_group(keys))
+    here = F.row_number().over(w.orderBy(*o)) - 1
+
+    # the last n rows and the row counts of the buckets of cut keys
+    cut = x.filter(F.col(_CUTS).isNotNull()).withColumns({_AT: here, "_size": F.count(F.lit(1)).over(w)})
+    last = (cut.filter(F.col("_size") - F.col(_AT) <= n).groupBy(_K, _B)
+               .agg(F.max("_size").alias("_size"), F.array_sort(F.collect_list(F.struct(F.col(_AT).alias("at"), *values))).alias("_last")))
+    near = F.flatten(F.collect_list("_last").over(Window.partitionBy(_K).orderBy(_B).rowsBetween(-n, -1)))
+    handed = (last.select(_K, _B, F.sum("_size").over(_before()).alias("_off"), near.alias("_near"))
+                  .withColumn("_near", F.slice("_near", F.greatest(F.size("_near") - n + 1, F.lit(1)), n)))
+
+    prev = w.orderBy(*o).rowsBetween(-n, -1)
+    local = {_AT: here}
+    local |= {f"_s{i}": F.sum(f"_v{i}").over(prev) for i in range(len(means))}
+    local |= {f"_c{i}": F.count(f"_v{i}").over(prev) for i in range(len(means))}
+    local |= {f"_p{i}": F.lag(f"_l{i}", 1).over(w.orderBy(*o)) for i in range(len(lags))}
+    x = _handed(x.withColumns(local), handed)
+    edge = F.col("_near").isNotNull() & (F.size("_near") > 0) & (F.col(_AT) < n)
+    out = {}
+    for i, k in enumerate(means):
+        # the rows of the window that lie before the bucket
+        far = F.slice("_near", F.greatest(F.size("_near") - n + F.col(_AT) + 1, F.lit(1)), F.lit(n))
+        own = F.filter(far.getField(f"_v{i}"), lambda v: v.isNotNull())
+        s = F.when(edge & (F.size(own) > 0), F.aggregate(own, F.lit(0.0), lambda a, v: a + v) + F.coalesce(f"_s{i}", F.lit(0.0))).otherwise(F.col(f"_s{i}"))
+        c = F.when(edge, F.size(own) + F.col(f"_c{i}")).otherwise(F.col(f"_c{i}"))
+        out[k] = F.when(c > 0, s / c)
+    for i, k in enumerate(lags):
+        out[k] = F.when(edge & (F.col(_AT) == 0), F.element_at("_near", -1)[f"_l{i}"]).otherwise(F.col(f"_p{i}"))
     if count_name:
-        add[count_name] = (F.col(_AT) + _to_all(F.col("_off_n"), keys)).cast("long")
-    return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)
+        out[count_name] = (F.col(_AT) + F.coalesce("_off", F.lit(0))).cast("long")
+    return x.withColumns(out).select(*[c for c in df.columns if c not in out], *out)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
-                suffix: str = "_before", by: tuple[str, bool] | None = None) -> DataFrame:
+def running_sum(df: DataFrame, keys: Sequence[str], order: Order, cols: Sequence[str],
+                suffix: str = "_before") -> DataFrame:
     """Add ``{c}{suffix}``: sum of ``c`` over the rows strictly before, per key.
     Without keys the order is global."""
-    keys, o = list(keys), _cols(order)
-    x = _bucketed(df, keys, o, _bucket(df, order, by), 1, {c: F.sum(c) for c in cols})
-    w = Window.partitionBy(*keys, _B).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
-    add = {f"{c}{suffix}": F.coalesce(F.sum(c).over(w), F.lit(0)) + _to_all(F.col(f"_off_{c}"), keys) for c in cols}
-    return x.withColumns(add).select(*[c for c in df.columns if c not in add], *add)
+    keys, o = list(keys), _columns(order)
+    x = _cut(df, keys, order)
+    sums = (x.filter(F.col(_CUTS).isNotNull()).groupBy(_K, _B).agg(*[F.sum(c).alias(f"_n_{c}") for c in cols])
+             .select(_K, _B, *[F.sum(f"_n_{c}").over(_before()).alias(f"_off_{c}") for c in cols]))
+    w = Window.partitionBy(*_group(keys)).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
+    x = _handed(x.withColumns({f"_here_{c}": F.sum(c).over(w) for c in cols}), sums)
+    out = {f"{c}{suffix}": F.coalesce(f"_here_{c}", F.lit(0)) + F.coalesce(f"_off_{c}", F.lit(0)) for c in cols}
+    return x.withColumns(out).select(*[c for c in df.columns if c not in out], *out)

@@ -9,10 +9,9 @@ entry inside its race by price. The same binding is written once in SQL
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import with_position
 from paddock.sources.tables import table
 
 # Total order of entries for every per-entity window (date, then a unique tie-break).
@@ -69,8 +68,9 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(2) + F.col("l_partkey") % 6).cast("int").alias("age"),
         (F.lit(1.0) / (F.lit(1.0) + F.col("l_quantity"))).alias("predicted_prob"),
     )
-    e = with_position(e, ["race_id"], finish_order(), name="_fpos", by=("price", True), total="num_entries")
-    e = e.withColumn("num_entries", F.col("num_entries").cast("int"))
+    race = Window.partitionBy("race_id")                     # a race has a bounded field
+    e = e.withColumns({"_fpos": F.row_number().over(race.orderBy(*finish_order())) - 1,
+                       "num_entries": F.count(F.lit(1)).over(race).cast("int")})
     return e.withColumns({
         "finish_position": (F.col("_fpos") + 1).cast("int"),
         "bet_amount": F.lit(100.0),

@@ -9,10 +9,10 @@ single record grows with a hot race or entity.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import with_position
+from paddock.operators.sequence import desc, with_position
 
 # The fields of the landed payloads.
 ENTRY_SCHEMA = ("horse_id string, horse_name string, jockey_id string, odds double, "
@@ -67,9 +67,10 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def horse_results(spark: SparkSession, path: str, limit: int = 10) -> DataFrame:
     """At most ``limit`` latest results per horse (newest first order)."""
     x = read_pages(spark, path).withColumnRenamed("entity_id", "page_horse_id")
-    order = [F.col("race_date").desc(), F.col("race_id").desc(), F.col("ln").desc(), F.col("finish_position")]
-    x = with_position(x, ["page_horse_id"], order, name="_k", by=("race_date", True))
-    return x.filter(F.col("_k") < limit).drop("_k", "horse_id").withColumnRenamed("page_horse_id", "horse_id")
+    # the limit cuts rows before the shuffle, in every input partition
+    newest = Window.partitionBy("page_horse_id").orderBy(F.col("race_date").desc(), F.col("race_id").desc(), F.col("ln").desc(),
+                                                         F.col("finish_position"))
+    return x.withColumn("_k", F.row_number().over(newest)).filter(F.col("_k") <= limit).drop("_k", "horse_id").withColumnRenamed("page_horse_id", "horse_id")
 
 
 # -- A9 ----------------------------------------------------------------------
@@ -112,8 +113,8 @@ def land_races(entries: DataFrame, path: str, chunk: int = 500) -> None:
 def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500) -> None:
     """Write entity pages: results newest first, in chunks, partitioned by the
     date of the page's newest result."""
-    order = [F.col("race_date").desc(), F.col("race_id").desc(), F.col("ln").desc()]
-    e = with_position(entries, [entity], order, name="_k", by=("race_date", True))
+    order = [desc("race_date"), desc("race_id"), desc("ln")]
+    e = with_position(entries, [entity], order, name="_k")
     e = e.withColumn("chunk", F.floor(F.col("_k") / chunk).cast("int"))
     res = F.struct(F.col("race_id").cast("string").alias("race_id"), "race_date", "course",
                    F.col("distance").cast("int").alias("distance"), "finish_position",
