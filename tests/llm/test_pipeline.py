@@ -52,7 +52,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
     keep = []
     for r in before:
         lang, score = language(r[1], profiles, langid.DIM)
-        if lang != "und" and not (len(r[1]) >= cp.LONG and score < cp.MIN_SCORE):
+        if lang != "und" and not score * (len(r[1]) + cp.HALF) < cp.MIN_SCORE * len(r[1]):
             keep.append(r)
     assert sorted(after, key=key) == sorted(keep, key=key)
     assert {300, 301, 302, 303}.isdisjoint(r[0] for r in after) and len(after) == len(rows) - 4
