@@ -21,7 +21,7 @@ def ensemble(probs: Sequence[Column], weights: Sequence[float] | None = None,
     """I8: weighted mean of positive-class probabilities and of class outputs.
 
     Model outputs sit side by side as columns, so the ensemble is a projection
-    (no shuffle); ``long_form_ensemble`` covers outputs stored as rows.
+    (no shuffle).
     """
     w = effective_weights(weights, len(probs))
     prob = sum((F.lit(wi) * p for wi, p in zip(w, probs)), F.lit(0.0))

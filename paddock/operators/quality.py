@@ -21,11 +21,6 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
-def _pct(c):
-    """Rate as text with one decimal, e.g. 0.125 -> '12.5%'."""
-    return F.concat(F.round(c * 100, 1).cast("string"), F.lit("%"))
-
-
 def validate(df: DataFrame, dataset: str, required: Sequence[str] = (),
              max_null_rate: float = 0.5) -> DataFrame:
     """(dataset, column, error_type, value, message) rows, in the order

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paddock.functions.features import feature_columns
+from paddock.operators import lambdarank as LR
 from paddock.operators import metrics as M
 from paddock.operators import models as ML
 from paddock.operators import scoring as SC
@@ -186,6 +188,35 @@ def q_rank_regression(spark, sf):
         F.min(F.coalesce(F.col("_prev") >= F.col("rank_score"), F.lit(True))).alias("follows_score"))
 
 
+LISTWISE_ROUNDS = 10
+
+
+@query("listwise_ranking", with_entries(VALID_SQL + """
+SELECT race_id, count(*) AS n_entries, true AS ranks_complete, true AS follows_score FROM va GROUP BY race_id"""))
+def q_listwise_ranking(spark, sf):
+    """Boosted trees on NDCG lambda gradients; per race the ranks are 1..n and fall with the score."""
+    from paddock.operators.backtest import predicted_rank
+    tr, va, cols = _model_data(spark, sf)
+    tr = tr.withColumn("relevance", M.relevance(F.col("finish_position")))
+    model = LR.fit_lambdarank(tr, cols, ties=["horse_id", "ln"], rounds=LISTWISE_ROUNDS, depth=4, step=0.1)
+    s = staged(model.transform(va).select("race_id", "horse_id", "ln", "rank_score"), "listwise-scores")
+    r = predicted_rank(s, prob="rank_score", tie_break=["horse_id", "ln"])
+    nxt = r.withColumn("_prev", F.lag("rank_score").over(Window.partitionBy("race_id").orderBy("predicted_rank")))
+    return nxt.groupBy("race_id").agg(
+        F.count(F.lit(1)).alias("n_entries"),
+        ((F.count_distinct("predicted_rank") == F.count(F.lit(1))) & (F.max("predicted_rank") == F.count(F.lit(1)))).alias("ranks_complete"),
+        F.min(F.coalesce(F.col("_prev") >= F.col("rank_score"), F.lit(True))).alias("follows_score"))
+
+
+@query("feature_importances")
+def q_feature_importances(spark, sf):
+    """The importances themselves: (feature, importance, rank) of boosted trees, the 20 highest."""
+    tr, _, cols = _model_data(spark, sf)
+    top = ML.importances(spark, ML.fit_classifier(tr, cols, "gbt", maxIter=10, maxDepth=4), cols, top=20)
+    w = Window.orderBy(F.col("importance").desc(), "feature")                # over 20 rows
+    return top.withColumn("rank", F.row_number().over(w).cast("long"))
+
+
 @query("importances", "SELECT 2 AS n_models, true AS ranked, true AS shares, true AS ranker_summary")
 def q_importances(spark, sf):
     """I9 + I10: top-20 importances of two models and of their ensemble: ranked,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators import metrics as M
 from paddock.operators import monitor as MO
+from paddock.operators import runlog as RL
 from paddock.plans.bindings import entries, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_metrics import PREDS_SQL, auc_sql, metrics_all_sql, predictions
@@ -265,3 +266,52 @@ FROM (SELECT * FROM last ORDER BY start_time DESC, run_id DESC LIMIT 10)"""))
 def q_run_comparison(spark, sf):
     c = MO.run_comparison(_log(spark, sf), RUN_KEYS, newest=10, sort_metric="purchase")
     return c.select("run_id", "start_time", *[r6(k).alias(k) for k in RUN_KEYS])
+
+
+PARAMS = ("opening", "props")
+PARAM_SQL = """
+, pr AS (
+  SELECT user_id, min(ts) AS start_time, arg_min(event_type, (ts, event_id)) AS opening, arg_min(props, (ts, event_id)) AS props
+  FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+)"""
+
+
+def _records(spark, sf):
+    """Metrics and parameters of all runs, written as two batches (one of them
+    twice, as a retried job would) and read back."""
+    events = table(spark, sf, "events").filter("user_id is not null")
+    first = F.struct("ts", "event_id")
+    runs = events.groupBy(F.col("user_id").alias("run_id")).agg(
+        F.min("ts").alias("start_time"), F.min_by("event_type", first).alias("opening"), F.min_by("props", first).alias("props"))
+    path = scratch_dir(spark, "run-records")
+    RL.append_records(RL.param_records(runs, PARAMS), path, "params")
+    RL.append_records(RL.metric_records(_log(spark, sf).filter("run_id is not null")), path, "metrics")
+    RL.append_records(RL.param_records(runs, PARAMS), path, "params")
+    return RL.read_records(spark, path)
+
+
+@query("run_records", W(RUNLOG_SQL + PARAM_SQL + """
+SELECT CAST(run_id AS VARCHAR) AS run_id, start_time, 'metric' AS kind, key, round(value, 6) AS number, NULL::VARCHAR AS text, step, 'metrics' AS batch
+FROM rl WHERE run_id IS NOT NULL
+UNION ALL SELECT CAST(user_id AS VARCHAR), start_time, 'param', 'opening', NULL, opening, 0, 'params' FROM pr WHERE opening IS NOT NULL
+UNION ALL SELECT CAST(user_id AS VARCHAR), start_time, 'param', 'props', NULL, props, 0, 'params' FROM pr WHERE props IS NOT NULL"""))
+def q_run_records(spark, sf):
+    """The typed run log: parameters as text, metrics as numbers with steps."""
+    return _records(spark, sf).withColumn("number", r6("number"))
+
+
+@query("run_comparison_csv", W(RUNLOG_SQL + PARAM_SQL + """
+, last AS (
+  SELECT run_id, """ + ", ".join(
+    f"arg_max(value, step) FILTER (key = '{k}' AND value IS NOT NULL) AS {k}" for k in RUN_KEYS) + """
+  FROM rl WHERE run_id IS NOT NULL GROUP BY run_id
+)
+SELECT CAST(run_id AS VARCHAR) AS run_id, start_time, opening AS param_opening, props AS param_props, """ + ", ".join(f"round({k}, 6) AS {k}" for k in RUN_KEYS) + """
+FROM last JOIN pr ON user_id = run_id ORDER BY start_time DESC, CAST(run_id AS VARCHAR) DESC LIMIT 25"""))
+def q_run_comparison_csv(spark, sf):
+    """The 25 newest runs with parameter and metric columns, exported as CSV and read back."""
+    c = RL.compare_runs(_records(spark, sf), RUN_KEYS, PARAMS, newest=25, sort_metric="purchase")
+    path = scratch_dir(spark, "run-comparison")
+    RL.export_csv(c, path)
+    back = RL.read_csv(spark, path, c._jdf.schema().toDDL())
+    return back.select("run_id", "start_time", *[f"param_{p}" for p in PARAMS], *[r6(k).alias(k) for k in RUN_KEYS])
