@@ -12,6 +12,7 @@ from paddock.functions.features import feature_columns
 from paddock.operators import lambdarank as LR
 from paddock.operators import metrics as M
 from paddock.operators import models as ML
+from paddock.operators import parzen as PZ
 from paddock.operators import scoring as SC
 from paddock.operators import splits as S
 from paddock.operators.fitted import FeaturePipeline
@@ -274,6 +275,22 @@ def q_param_search(spark, sf):
         "candidate", "fold", _is_prob("score").alias("score_valid"), "one_best")
 
 
+TUNE_TRIALS, TUNE_FOLDS = 4, 2
+
+
+@query("adaptive_search", f"""
+SELECT CAST(c AS BIGINT) AS candidate, CAST(f AS BIGINT) AS fold, 9 AS n_params, true AS score_valid
+FROM range({TUNE_TRIALS}) a(c), range({TUNE_FOLDS}) b(f)""")
+def q_adaptive_search(spark, sf):
+    """Parzen search over nine parameters of boosted trees, few and small
+    trees, trials and folds (the operator's default is 50 x 3 of up to 1,000 trees)."""
+    tr, _, cols = _model_data(spark, sf)
+    folds = S.time_folds(tr, HISTORY_ORDER, n_splits=TUNE_FOLDS)
+    space = PZ.SPACE | {"maxIter": PZ.Whole(3, 6), "maxDepth": PZ.Whole(2, 4), "maxBins": PZ.Whole(32, 64)}
+    res = PZ.tune(tr, cols, folds, space, n=TUNE_TRIALS, batch=2, start=2)
+    return res.select("candidate", "fold", F.size(F.json_object_keys("params")).alias("n_params"), _is_prob("score").alias("score_valid"))
+
+
 def _registry(spark):
     return ML.ModelRegistry(spark, scratch_dir(spark, "registry"))
 
