@@ -1,37 +1,49 @@
 """Log-bilinear language model trained with noise-contrastive estimation (numpy).
 
 Tokens: ASCII-lower-cased words (runs of characters other than 0x20 and
-0x09-0x0D), then one end token per text. A null text is an empty one.
+0x09-0x0D), then one end token per text. A null text is an empty one. Repeated
+rows are texts each; an empty table gives no rows; further columns, of any name,
+are not read. A word of more than ``LONG`` bytes travels as its 16-byte digest.
 
 Counts. Each task counts its words and flushes partial counts; one shuffle
 adds them over all training texts and the table is written to shared storage.
 
-Model. The ``VOCAB`` most frequent tokens have embeddings; all other words
-share the token <unk>. The two tokens before the target give a predicted
-embedding C1 r(w1) + C2 r(w2), whose product with the target's embedding plus a
-bias is its score. Training is by NCE with unigram noise: a warm start on
-``WARM_TOKENS`` tokens, in epochs over the documents of smallest hashed id, then every
+Vocabulary. It grows with the corpus: of v distinct training words the
+``ROOT`` * sqrt(v) most frequent have embeddings of their own. Every other word
+belongs to one of ``TAILS`` tail tokens by its last three bytes, which have
+embeddings too, so contexts and targets of rare words differ.
+
+Model, two levels. The vocabulary, in order of frequency, is cut into about
+sqrt(V) classes of similar mass (of root counts). The two tokens before the target
+give a predicted embedding h = C1 r(w1) + C2 r(w2); its products with the class
+embeddings score the class, those with the embeddings of the class's members score
+the token. P(token) = P(class | h) P(token | class, h): a normaliser costs about
+2 sqrt(V) products, not V. Both levels train by NCE: noise classes from the class
+unigram, shared by a batch, and noise tokens of the target's own class, which are
+other targets of the batch. A warm
+start on ``WARM_TOKENS`` tokens, in epochs over the rows of smallest hash, then every
 task trains on all its training texts from there and the parameters are
-averaged, weighted by tokens (one round of parameter mixing).
+averaged, weighted by tokens, in slices (one round of parameter mixing).
 
-Scoring. A batched matrix product gives the scores of all vocabulary tokens
-for each distinct context of a batch, hence exact normalisers. A word outside
-the vocabulary gets P(<unk> | context) * (c + 1) / (N_unk + V_unk + 1), with its
-training count c; the one beyond stands for all unseen words.
+Scoring. Batched matrix products give exact normalisers of both levels for each
+distinct context of a batch. A word of tail token t gets P(t | context)
+* (c + 1) / (N_t + V_t + 1), with its training count c and its tail's counts; the
+one beyond stands for all unseen words of that tail.
 
-Counts of words are looked up in two ways: the ``HEAD`` most frequent words
-are broadcast (a bound on their number and, checked, on their bytes), the rest
-of each text's words go through a join on the word. A word of the rest holds
-less than one part in ``HEAD`` of all tokens, so that join has no hot key.
+Counts of words are looked up in two ways: the vocabulary and at least the ``HEAD``
+most frequent words are broadcast (a bound on their number; keys are bounded in
+bytes), the rest of each text's words go through a join on the word. A word of the
+rest holds less than one part in ``HEAD`` of all tokens, so that join has no hot key.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import repeat
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,23 +52,34 @@ from pyspark.sql import functions as F
 
 from paddock.llm.common import stored
 
-VOCAB = 1024
+ROOT = 16
+TAILS = 256
+LONG = 48
 HEAD = 1 << 17
-HEAD_BYTES = 16 << 20
-DIM = 32
-NOISE = 48
+DIM = 24
+NOISE = 16                        # noise classes of a batch
+INNER = 2                         # noise tokens of a target, of its class
 BATCH = 2048
-RATE = 0.1
+RATE = 0.2
 WARM_DOCS = 2000
 WARM_TOKENS = 1_500_000
 _FLUSH = 400_000
-_CHUNK = 1 << 19
-UNK, END = 0, 1
+_CHUNK = 1 << 18
+_SLICE = 1 << 16
+END = None                        # the end token's key among the words
 
 
 def _words(text: bytes | None) -> list[bytes]:
-    """bytes.lower and bytes.split treat exactly A-Z and 0x20, 0x09-0x0D."""
-    return text.lower().split() if text else []
+    """bytes.lower and bytes.split treat exactly A-Z and 0x20, 0x09-0x0D. A long
+    word's digest follows a space, which no word holds."""
+    words = text.lower().split() if text else []
+    if words and max(map(len, words)) > LONG:
+        words = [w if len(w) <= LONG else b" " + hashlib.blake2b(w, digest_size=16).digest() for w in words]
+    return words
+
+
+def _tail(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % TAILS
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -88,124 +111,192 @@ class Counts:
     n: int                        # tokens, ends included
     v: int                        # distinct tokens, the end included
     ends: int
-    head: dict[bytes, int]        # the most frequent words
+    head: dict[bytes, int]        # the most frequent words, those of the vocabulary first
+    vocab: int                    # how many of them are the vocabulary
+    tails: np.ndarray             # (2, TAILS): counts and distinct words outside the vocabulary
 
 
-def count(texts: DataFrame, head: int = HEAD) -> Counts:
-    """Word counts of all ``texts``; the head is cut at a count, so that ties
-    are all in it or all out of it, by a histogram of logarithms."""
+def count(texts: DataFrame, head: int = HEAD, vocab: int | None = None) -> Counts:
+    """Word counts of all ``texts`` and the vocabulary, by default of
+    ``ROOT`` * sqrt(distinct words). Equal counts go by the word's bytes."""
     table = stored(word_counts(texts), "lbl-counts")
     size = table.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = texts.count()
+    vocab = math.ceil(ROOT * math.sqrt(size["v"])) if vocab is None else vocab
+    head = max(head, vocab)
     bucket = F.floor(F.log2(F.col("c").cast("double")) * 16)
-    steps = (table.groupBy(bucket.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("word")).alias("b"))
-                  .orderBy(F.desc("k")).collect())
-    cut, n, size_b = None, 0, 0
-    for r in steps:
-        n, size_b = n + r["n"], size_b + r["b"]
-        if n > head or size_b > HEAD_BYTES:
+    least, n = 0, 0                                       # the bucket in which the head ends
+    for r in table.groupBy(bucket.alias("k")).count().orderBy(F.desc("k")).collect():
+        least, n = r["k"], n + r["count"]
+        if n >= head:
             break
-        cut = r["k"]
-    rows = [] if cut is None else table.filter(bucket >= cut).collect()
-    return Counts(table, size["n"] + ends, size["v"] + (ends > 0), ends, {bytes(r["word"]): r["c"] for r in rows})
+    rows = table.filter(bucket >= least).orderBy(F.desc("c"), "word").limit(head).collect()
+    words = {bytes(r["word"]): r["c"] for r in rows}
+    vocab = min(vocab, len(words))
+    last = F.when(F.length("word") > 3, F.expr("substring(word, -3, 3)")).otherwise(F.col("word"))
+    tails = np.zeros((2, TAILS), np.int64)
+    for r in table.groupBy((F.crc32(last) % TAILS).alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        tails[:, r["k"]] = r["n"], r["v"]
+    for w in list(words)[:vocab]:
+        tails[:, _tail(w)] -= words[w], 1
+    return Counts(table, size["n"] + ends, size["v"] + (ends > 0), ends, words, vocab, tails)
 
 
 @dataclass
 class Model:
-    vocab: dict[bytes, int]       # word -> id, from 2; 0 <unk>, 1 end
-    log_noise: np.ndarray         # log of the unigram distribution of the ids
-    params: list[np.ndarray]      # context and target embeddings, C1, C2, bias
+    vocab: dict[bytes | None, int]  # word -> id; the end token's key is END
+    tail: np.ndarray              # tail -> id
+    cls: np.ndarray               # id -> class; a class's ids are contiguous
+    lo: np.ndarray                # class -> its first id, and the number of ids at last
+    log_class: np.ndarray         # log unigram of the classes
+    log_inner: np.ndarray         # log unigram of the ids in their class
+    params: list[np.ndarray]      # context, token and class embeddings, C1, C2, biases of tokens and classes
+
+
+def new_model(c: Counts, dim: int = DIM) -> Model:
+    keys = [END, *range(TAILS), *list(c.head)[:c.vocab]]
+    n = np.array([c.ends, *c.tails[0], *[c.head[w] for w in keys[1 + TAILS:]]], float) + 1
+    order = np.argsort(-n, kind="stable")
+    n = n[order]
+    place = np.empty(len(n), np.int64)
+    place[order] = np.arange(len(n))
+    mass = np.cumsum(np.sqrt(n))
+    classes = math.ceil(math.sqrt(len(n)))
+    _, cls = np.unique(np.minimum((mass / mass[-1] * classes).astype(int), classes - 1), return_inverse=True)
+    lo = np.append(np.flatnonzero(np.diff(cls, prepend=-1)), len(n))
+    whole = np.add.reduceat(n, lo[:-1])
+    log_class, log_inner = np.log(whole / whole.sum()), np.log(n / whole[cls])
+    rng = np.random.default_rng(17)
+    some = lambda k: rng.normal(0, 0.1, (k, dim)).astype(np.float32)
+    return Model({k: int(place[i]) for i, k in enumerate(keys) if not isinstance(k, int)}, place[1:1 + TAILS], cls, lo, log_class, log_inner, [
+        some(len(n)), some(len(n)), some(len(whole)), np.eye(dim, dtype=np.float32), np.eye(dim, dtype=np.float32) * np.float32(0.5),
+        log_inner.astype(np.float32), log_class.astype(np.float32)])
 
 
-def new_model(c: Counts, vocab: int = VOCAB, dim: int = DIM) -> Model:
-    top = sorted(c.head.items(), key=lambda x: (-x[1], x[0]))[:vocab - 2]
-    known = sum(k for _, k in top)
-    counts = np.array([c.n - c.ends - known, c.ends, *[k for _, k in top]], float) + 1
-    rng = np.random.default_rng(17)
-    noise = np.log(counts / counts.sum())
-    n = len(counts)
-    return Model({w: i + 2 for i, (w, _) in enumerate(top)}, noise, [
-        rng.normal(0, 0.1, (n, dim)).astype(np.float32), rng.normal(0, 0.1, (n, dim)).astype(np.float32),
-        np.eye(dim, dtype=np.float32), np.eye(dim, dtype=np.float32) * np.float32(0.5),
-        noise.astype(np.float32)])
-
-
-def _rows_sum(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of ``rows`` by id (n rows)."""
-    order = np.argsort(ids, kind="stable")
-    s = ids[order]
-    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[s[first]] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+def _order(ids: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of ids below ``n``; 16-bit keys sort in linear time."""
+    return np.argsort(ids.astype(np.uint16) if n <= 1 << 16 else ids, kind="stable")
+
+
+def _starts(s: np.ndarray) -> np.ndarray:
+    """Where the runs of a sorted array begin."""
+    return np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Trainer:
-    """Adagrad on the NCE objective; a batch shares its noise words."""
+    """Adagrad on the NCE objective of both levels; only rows in use change."""
 
     def __init__(self, model: Model, seed: int):
+        self.m = model
         self.p = [x.copy() for x in model.params]
-        self.g = [np.full_like(x, 1e-2) for x in model.params]
-        self.noise = model.log_noise.astype(np.float32)
-        self.cdf = np.cumsum(np.exp(model.log_noise))
+        self.g = [np.full_like(x, 1) for x in model.params]
+        self.cdf = np.cumsum(np.exp(model.log_class))
+        self.class_noise = (model.log_class + math.log(NOISE)).astype(np.float32)
+        self.inner_noise = (model.log_inner + math.log(INNER)).astype(np.float32)
         self.rng = np.random.default_rng(seed)
         self.tokens = 0
 
+    def _adagrad(self, i: int, g: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+        acc = self.g[i][rows] + g * g
+        self.g[i][rows] = acc
+        self.p[i][rows] -= np.float32(RATE) * g / np.sqrt(acc)
+
     def step(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> None:
-        ctx, out, c1, c2, bias = self.p
-        k, n = NOISE, len(w)
-        neg = np.minimum(np.searchsorted(self.cdf, self.rng.random(k) * self.cdf[-1]), len(self.cdf) - 1)
+        """One batch, in the order of ``w``, hence of its classes."""
+        ctx, out, tops, c1, c2, bias, top_bias = self.p
+        m, n = self.m, len(w)
         r1, r2 = ctx[w1], ctx[w2]
-        hidden = r1 @ c1 + r2 @ c2
-        q, qn = out[w], out[neg]
-        offset = np.float32(math.log(k))
-        pos = np.einsum("ij,ij->i", hidden, q) + bias[w] - self.noise[w] - offset
-        neg_s = hidden @ qn.T + (bias[neg] - self.noise[neg] - offset)
-        dpos = -1 / (1 + np.exp(np.clip(pos, -30, 30)))           # d loss / d score
-        dneg = 1 / (1 + np.exp(np.clip(-neg_s, -30, 30)))
-        dh = dpos[:, None] * q + dneg @ qn
-        g_out = _rows_sum(w, dpos[:, None] * hidden, len(out))
-        g_bias = np.bincount(w, dpos, len(out)).astype(np.float32)
-        np.add.at(g_out, neg, dneg.T @ hidden)
-        np.add.at(g_bias, neg, dneg.sum(axis=0))
-        g_ctx = _rows_sum(w1, dh @ c1.T, len(ctx)) + _rows_sum(w2, dh @ c2.T, len(ctx))
-        for p, acc, g in zip(self.p, self.g, (g_ctx, g_out, r1.T @ dh, r2.T @ dh, g_bias), strict=True):
-            g /= np.float32(n)
-            acc += g * g
-            p -= np.float32(RATE) * g / np.sqrt(acc)
+        h = r1 @ c1 + r2 @ c2
+
+        # the class, against noise classes that the batch shares
+        k = m.cls[w]
+        runs = _starts(k)
+        neg = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE) * self.cdf[-1]), len(self.cdf) - 1)
+        shift = top_bias - self.class_noise
+        q, qn = tops[k], tops[neg]
+        d_pos = -_sigmoid(-(np.einsum("ij,ij->i", h, q) + shift[k]))                    # d loss / d score
+        d_neg = _sigmoid(h @ qn.T + shift[neg])
+        dh = d_pos[:, None] * q + d_neg @ qn
+        g_tops, g_top_bias = np.zeros_like(tops), np.zeros_like(top_bias)
+        g_tops[k[runs]] = np.add.reduceat(d_pos[:, None] * h, runs, axis=0)
+        g_top_bias[k[runs]] = np.add.reduceat(d_pos, runs)
+        np.add.at(g_tops, neg, d_neg.T @ h)
+        np.add.at(g_top_bias, neg, d_neg.sum(axis=0))
+
+        # the token, against tokens that stand elsewhere in the batch, of its class: a draw from the class unigram
+        e, shift = out[w], bias[w] - self.inner_noise[w]
+        d = -_sigmoid(-(np.einsum("ij,ij->i", h, e) + shift))
+        dh += d[:, None] * e
+        g_rows, g_bias = d[:, None] * h, d.copy()
+        sizes = np.diff(np.append(runs, n))
+        lo, size = np.repeat(runs, sizes), np.repeat(sizes, sizes)
+        at = np.arange(n) - lo
+        for _ in range(INNER):
+            other = lo + (at + np.repeat(self.rng.integers(0, sizes), sizes)) % size    # a rotation of each class
+            x = e[other]
+            d = _sigmoid(np.einsum("ij,ij->i", h, x) + shift[other])
+            dh += d[:, None] * x
+            g_rows[other] += d[:, None] * h
+            g_bias[other] += d
+        first = _starts(w)
+        rows = w[first]
+
+        both = np.concatenate((w1, w2))
+        order = _order(both, len(ctx))
+        used = both[order]
+        begin = _starts(used)
+        self._adagrad(0, np.add.reduceat(np.concatenate((dh @ c1.T, dh @ c2.T))[order], begin, axis=0), used[begin])
+        self._adagrad(1, np.add.reduceat(g_rows, first, axis=0), rows)
+        self._adagrad(2, g_tops)
+        self._adagrad(3, (r1.T @ dh) / np.float32(n))
+        self._adagrad(4, (r2.T @ dh) / np.float32(n))
+        self._adagrad(5, np.add.reduceat(g_bias, first), rows)
+        self._adagrad(6, g_top_bias)
         self.tokens += n
 
     def text_ids(self, ids: np.ndarray, starts: np.ndarray) -> None:
-        w2, w1 = contexts(ids, starts)
+        w2, w1 = contexts(ids, starts, self.m.vocab[END])
         order = self.rng.permutation(len(ids))
         for lo in range(0, len(ids), BATCH):
             x = order[lo:lo + BATCH]
+            x = x[_order(ids[x], len(self.m.cls))]
             self.step(w2[x], w1[x], ids[x])
 
 
-def contexts(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def contexts(ids: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The two tokens before each one; before a text's start stand ends."""
-    w1 = np.concatenate(([END], ids[:-1]))
-    w1[starts] = END
-    w2 = np.concatenate(([END], w1[:-1]))
-    w2[starts] = END
+    w1 = np.concatenate(([end], ids[:-1]))
+    w1[starts] = end
+    w2 = np.concatenate(([end], w1[:-1]))
+    w2[starts] = end
     return w2, w1
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], number: dict[bytes, int], rest: bool = False) -> Iterator:
+class _Numbers(dict):
+    """Ids of words; a word without one has -1 - its tail."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - _tail(word)
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], number: _Numbers, rest: bool = False) -> Iterator:
     """(record batches, ids, starts, words without a number) in chunks of about
     _CHUNK tokens of whole texts; the words only if ``rest``, one list a text."""
-    get = number.get
+    get, end = number.__getitem__, number[END]
     parts, ids, starts, unknown, at = [], [], [], [], 0
     for b in batches:
         lo = 0
         for i, t in enumerate(b.column(0)):
             words = _words(t.as_py())
-            x = list(map(get, words, repeat(UNK)))
+            x = list(map(get, words))
             if rest:
-                unknown.append([w for w, k in zip(words, x, strict=True) if not k])
-            x.append(END)
-            ids.append(np.array(x, np.int32))
+                unknown.append([w for w, k in zip(words, x, strict=True) if k < 0])
+            x.append(end)
+            ids.append(np.array(x, np.int64))
             starts.append(at)
             at += len(x)
             if at >= _CHUNK:
@@ -218,23 +309,25 @@ def _encoded(batches: Iterator[pa.RecordBatch], number: dict[bytes, int], rest:
         yield parts, np.concatenate(ids), np.array(starts), unknown
 
 
-def _pack(params: list[np.ndarray]) -> bytes:
-    return np.concatenate([p.ravel() for p in params]).astype(np.float64).tobytes()
+def _pack(params: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([p.ravel() for p in params])
 
 
-def _unpack(data: bytes, like: list[np.ndarray]) -> list[np.ndarray]:
-    flat, out, at = np.frombuffer(data), [], 0
+def _unpack(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    out, at = [], 0
     for p in like:
         out.append(flat[at:at + p.size].reshape(p.shape).astype(np.float32))
         at += p.size
     return out
 
 
-def _mix(t: pa.Table) -> tuple[float, bytes]:
+def _mix(t: pa.Table) -> pa.Table:
+    """The average of one slice's parameters, weighted by tokens."""
     t = t.sort_by("part")
-    total = sum(np.frombuffer(v.as_py()) * n.as_py() for v, n in zip(t.column("p"), t.column("n"), strict=True))
     n = sum(t.column("n").to_pylist())
-    return n, (total / n).tobytes()
+    total = sum(np.frombuffer(v.as_py(), np.float32) * (k.as_py() / n) for v, k in zip(t.column("p"), t.column("n"), strict=True))
+    return pa.table({"part": t.column("part")[:1], "slice": t.column("slice")[:1], "n": [n],
+                     "p": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
 def fit(texts: DataFrame, warm: DataFrame, model: Model) -> Model:
@@ -244,10 +337,11 @@ def fit(texts: DataFrame, warm: DataFrame, model: Model) -> Model:
     def trainer(start, limit):
         def run(batches):
             from pyspark import TaskContext
-            part = TaskContext.get().partitionId()
-            t = Trainer(start.value, part + 1)
+            part, m = TaskContext.get().partitionId(), start.value
+            t, number = Trainer(m, part + 1), _Numbers(m.vocab)
             kept, size = [], 0
-            for _, ids, starts, _ in _encoded(batches, start.value.vocab):
+            for _, ids, starts, _ in _encoded(batches, number):
+                ids = np.where(ids < 0, m.tail[np.maximum(-1 - ids, 0)], ids)
                 if limit is None:
                     t.text_ids(ids, starts)
                 elif size < limit:
@@ -257,66 +351,63 @@ def fit(texts: DataFrame, warm: DataFrame, model: Model) -> Model:
                 for ids, starts in kept:
                     t.text_ids(ids, starts)
             if t.tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int64()), pa.array([float(t.tokens)]), pa.array([_pack(t.p)], pa.binary())],
-                    ["part", "n", "p"])
+                flat = _pack(t.p)
+                for i in range(0, len(flat), _SLICE):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int64()), pa.array([i // _SLICE], pa.int32()), pa.array([float(t.tokens)]),
+                         pa.array([flat[i:i + _SLICE].tobytes()], pa.binary())], ["part", "slice", "n", "p"])
         return run
 
-    schema = "part long, n double, p binary"
+    schema = "part long, slice int, n double, p binary"
     as_bytes = lambda df: df.select(F.col(df.columns[0]).cast("string").cast("binary"))
-    first = as_bytes(warm).coalesce(1).mapInArrow(trainer(spark.sparkContext.broadcast(model), WARM_TOKENS), schema).collect()
-    if first:
-        model = Model(model.vocab, model.log_noise, _unpack(first[0]["p"], model.params))
 
-    def some(t: pa.Table) -> pa.Table:
-        n, p = _mix(t)
-        return pa.table({"part": pa.array([t.column("part")[0].as_py() % 64], pa.int64()), "n": [n], "p": pa.array([p], pa.binary())})
+    def learned(rows) -> Model:
+        if not rows:
+            return model
+        flat = np.concatenate([np.frombuffer(r["p"], np.float32) for r in sorted(rows, key=lambda r: r["slice"])])
+        return replace(model, params=_unpack(flat, model.params))
 
-    mixed = (as_bytes(texts).mapInArrow(trainer(spark.sparkContext.broadcast(model), None), schema)
-             .groupBy((F.col("part") % 64).alias("g")).applyInArrow(some, schema)
-             .groupBy(F.lit(0).alias("g")).applyInArrow(some, schema).collect())
-    if mixed:
-        model = Model(model.vocab, model.log_noise, _unpack(mixed[0]["p"], model.params))
-    return model
+    # the one task reads a few stored rows, not the table that they come from
+    few = stored(as_bytes(warm), "lbl-warm").coalesce(1)
+    model = learned(few.mapInArrow(trainer(spark.sparkContext.broadcast(model), WARM_TOKENS), schema).collect())
+    return learned(as_bytes(texts).mapInArrow(trainer(spark.sparkContext.broadcast(model), None), schema)
+                   .groupBy("slice", (F.col("part") % 64).alias("g")).applyInArrow(_mix, schema)
+                   .groupBy("slice").applyInArrow(_mix, schema).collect())
 
 
 class Scorer:
-    """Normalised natural-log probabilities; the normaliser of a context is
-    kept for the next batches while the table of contexts fits ``TABLE``."""
-
-    TABLE = 1 << 22
+    """Normalised natural-log probabilities of both levels."""
 
     def __init__(self, model: Model):
-        ctx, self.out, c1, c2, self.bias = model.params
+        ctx, self.out, self.tops, c1, c2, self.bias, self.top_bias = model.params
+        self.left, self.right, self.cls, self.lo = ctx @ c1, ctx @ c2, model.cls, model.lo
         self.n = len(self.out)
-        self.left, self.right = ctx @ c1, ctx @ c2
-        self.known = np.full(self.n ** 2, np.nan) if self.n ** 2 <= self.TABLE else None
-
-    def _norms(self, key: np.ndarray, block: int = 4096) -> np.ndarray:
-        norm = np.empty(len(key))
-        for lo in range(0, len(key), block):
-            k = key[lo:lo + block]
-            z = (self.left[k % self.n] + self.right[k // self.n]) @ self.out.T + self.bias
-            top = z.max(axis=1, keepdims=True)
-            z -= top
+
+    @staticmethod
+    def _log_sum(h: np.ndarray, e: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        out = np.empty(len(h), np.float32)
+        block = max(1, (1 << 20) // len(e))
+        for i in range(0, len(h), block):
+            z = h[i:i + block] @ e.T + bias
+            top = z.max(axis=1)
+            z -= top[:, None]
             np.exp(z, out=z)
-            norm[lo:lo + block] = np.log(z.sum(axis=1, dtype=np.float64)) + top[:, 0]
-        return norm
+            out[i:i + block] = np.log(z.sum(axis=1)) + top
+        return out
 
     def __call__(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
-        key = w2.astype(np.int64) * self.n + w1
-        if self.known is None:
-            new, place = np.unique(key, return_inverse=True)
-            norm = self._norms(new)[place]
-        else:
-            new = np.unique(key[np.isnan(self.known[key])])
-            self.known[new] = self._norms(new)
-            norm = self.known[key]
-        score = np.empty(len(w), np.float32)
-        for lo in range(0, len(w), 1 << 16):
-            s = slice(lo, lo + (1 << 16))
-            score[s] = np.einsum("ij,ij->i", self.left[w1[s]] + self.right[w2[s]], self.out[w[s]]) + self.bias[w[s]]
-        return score - norm
+        """Once for each distinct (w, w1, w2), in the order of w, hence of its class."""
+        n = self.n
+        key, place = np.unique((w.astype(np.int64) * n + w1) * n + w2, return_inverse=True)
+        w, w1, w2 = key // (n * n), key // n % n, key % n
+        h, k = self.left[w1] + self.right[w2], self.cls[w]
+        score = np.einsum("ij,ij->i", h, self.out[w] + self.tops[k]) + self.bias[w] + self.top_bias[k]
+        score -= self._log_sum(h, self.tops, self.top_bias)
+        first = np.flatnonzero(np.diff(k, prepend=-1))
+        for a, b in zip(first, np.append(first[1:], len(k)), strict=True):
+            own = slice(self.lo[k[a]], self.lo[k[a] + 1])
+            score[a:b] -= self._log_sum(h[a:b], self.out[own], self.bias[own])
+        return score[place].astype(np.float64)
 
 
 def log_probs(model: Model, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -326,28 +417,28 @@ def log_probs(model: Model, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np
 def score(docs: DataFrame, text: str, keep: list[str], c: Counts, model: Model) -> DataFrame:
     """``keep`` columns, n_tokens, n_known, base_score, score (log10) per row."""
     spark = docs.sparkSession
-    n_unk = c.n - c.ends - sum(k for w, k in c.head.items() if w in model.vocab)
-    v_unk = c.v - (c.ends > 0) - len(model.vocab)
-    base_den, unk_den = math.log10(c.n + c.v + 1), math.log10(n_unk + v_unk + 1)
-    shared = spark.sparkContext.broadcast((model, c.head, c.ends))
+    base_den = math.log10(c.n + c.v + 1)
+    shared = spark.sparkContext.broadcast((model, c.head, c.ends, np.log10(c.tails.sum(axis=0) + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, head, ends = shared.value
-        number = dict(m.vocab)                   # vocabulary ids, then those of the other head words
-        for w in head:
-            number.setdefault(w, len(number) + 2)
-        count = np.zeros(len(number) + 2)
-        count[END] = ends
+        m, head, ends, tail_den = shared.value
+        number = _Numbers(m.vocab)               # vocabulary ids, then those of the other head words
+        vocab = len(m.params[0])
+        others = [w for w in head if w not in m.vocab]
+        number.update(zip(others, range(vocab, vocab + len(others)), strict=True))
+        tails = np.array([_tail(w) for w in others] + [0], np.int64)
+        count = np.zeros(vocab + len(others) + 1)                # at last: words without an id
         for w, i in number.items():
-            count[i] = head[w]
+            count[i] = ends if w is END else head[w]
         logc, known = np.log10(count + 1), (count > 0).astype(np.int64)
-        scorer, vocab = Scorer(m), len(m.params[0])
+        scorer = Scorer(m)
         for parts, ids, starts, unknown in _encoded(batches, number, rest=True):
-            inside = ids < vocab
-            w = np.where(inside, ids, UNK)
-            outside = ~inside | (ids == UNK)     # words that share <unk>
-            w2, w1 = contexts(w, starts)
-            lp = scorer(w2, w1, w) / math.log(10) + np.where(outside, logc[ids] - unk_den, 0)
+            outside = (ids < 0) | (ids >= vocab)                 # words that share a tail token
+            tail = np.where(ids < 0, np.maximum(-1 - ids, 0), tails[np.clip(ids - vocab, 0, len(others))])
+            w = np.where(outside, m.tail[tail], ids)
+            ids = np.where(ids < 0, len(count) - 1, ids)
+            w2, w1 = contexts(w, starts, m.vocab[END])
+            lp = scorer(w2, w1, w) / math.log(10) + np.where(outside, logc[ids] - tail_den[tail], 0)
             n = np.diff(np.append(starts, len(ids)))
             words, tf, cut = [], [], [0]
             for u in unknown:
@@ -380,18 +471,19 @@ def score(docs: DataFrame, text: str, keep: list[str], c: Counts, model: Model)
         (F.col("lp") + F.coalesce("s2", zero)).alias("score")))
 
 
-def warm_rows(docs: DataFrame, doc_id: str, n: int = WARM_DOCS) -> DataFrame:
-    """The rows of the ``n`` smallest hashed ids (more if ids repeat)."""
-    h = F.xxhash64(F.col(doc_id))
-    last = docs.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
-    return docs.filter(h <= F.lit(last))
+def warm_rows(docs: DataFrame, doc_id: str, text: str, n: int = WARM_DOCS) -> DataFrame:
+    """The texts of at most ``n`` rows, those of smallest hash of id and text;
+    rows that are equal in both count once."""
+    rows = docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(text).alias("t"))
+    last = rows.select("h").orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    return rows.filter(F.col("h") <= F.lit(last)).groupBy("h").agg(F.max("t").alias("t")).orderBy("h").select("t")
 
 
 def train_and_score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text",
-                    keep: list[str] | None = None, vocab: int = VOCAB, dim: int = DIM,
+                    keep: list[str] | None = None, vocab: int | None = None, dim: int = DIM,
                     head: int = HEAD) -> tuple[DataFrame, Counts]:
     """Learn from the rows where ``learn`` holds and score all rows."""
     rows = docs.filter(learn)
-    c = count(rows.select(text), head)
-    model = fit(rows.select(text), warm_rows(rows, doc_id).select(text), new_model(c, vocab, dim))
+    c = count(rows.select(text), head, vocab)
+    model = fit(rows.select(text), warm_rows(rows, doc_id, text), new_model(c, dim))
     return score(docs, text, keep or [doc_id], c, model), c

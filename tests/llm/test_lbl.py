@@ -50,14 +50,42 @@ def test_counts_and_base_score(spark):
 def test_probabilities_are_normalised_and_learned(spark):
     rows = [(i, "a b c d " * 40) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
+    c = lbl.count(df.select("text"), vocab=16)
+    m = lbl.fit(df.select("text"), df.select("text").limit(20), lbl.new_model(c, 8))
+    n, a, b, d = len(m.params[0]), m.vocab[b"a"], m.vocab[b"b"], m.vocab[b"d"]
+    assert n == 1 + lbl.TAILS + 4 and len(m.vocab) == 5
+    for w2 in (0, a, d, m.vocab[lbl.END], n - 1):
+        for w1 in (0, a, n - 1):
+            p = np.exp(lbl.log_probs(m, np.full(n, w2), np.full(n, w1), np.arange(n)))
+            assert p.sum() == pytest.approx(1, abs=1e-4)
+    assert lbl.log_probs(m, np.array([d]), np.array([a]), np.array([b]))[0] > math.log(0.5)
+
+
+def test_vocabulary_grows_and_keeps_tails(spark):
+    rows = [(i, " ".join(f"w{(i * k) % (i + 1)}x{k % 7}" for k in range(60)) + " " + "y" * 200 + str(i % 3)) for i in range(200)]
+    rows += [(200, "ab " + "z" * 500_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
     c = lbl.count(df.select("text"))
-    m = lbl.fit(df.select("text"), df.select("text"), lbl.new_model(c, 16, 8))
-    n = len(m.params[0])
-    for w2 in range(n):
-        p = np.exp(lbl.log_probs(m, np.full(n, w2), np.full(n, 2), np.arange(n)))
-        assert p.sum() == pytest.approx(1, abs=1e-4)
-    a, b = m.vocab[b"a"], m.vocab[b"b"]
-    assert lbl.log_probs(m, np.array([m.vocab[b"d"]]), np.array([a]), np.array([b]))[0] > math.log(0.5)
+    seen = Counter(w for _, t in rows for w in lbl._words(t.encode()))
+    assert max(map(len, seen)) <= lbl.LONG and c.vocab == math.ceil(lbl.ROOT * math.sqrt(len(seen))) < len(seen)
+    top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:c.vocab]
+    assert list(c.head.items())[:c.vocab] == top
+    want = np.zeros((2, lbl.TAILS))
+    for w in seen.keys() - dict(top).keys():
+        want[:, lbl._tail(w)] += seen[w], 1
+    assert (c.tails == want).all()
+    m = lbl.new_model(c)
+    assert np.bincount(m.cls).tolist() == np.diff(m.lo).tolist() and len(m.lo) > math.sqrt(len(m.cls)) / 2
+    assert sorted([*m.vocab.values(), *m.tail]) == list(range(len(m.cls)))
+    lists = [np.exp(m.log_inner[a:b]).sum() for a, b in zip(m.lo, m.lo[1:])]
+    assert np.allclose(lists, 1) and np.exp(m.log_class).sum() == pytest.approx(1)
+
+
+def test_warm_rows_are_few_with_repeated_ids(spark):
+    df = spark.createDataFrame([(None, "same")] * 300 + [(None, f"t{i}") for i in range(100)], "doc_id long, text string")
+    warm = lbl.warm_rows(df, "doc_id", "text", 50)
+    assert 1 <= warm.count() <= 50 and warm.distinct().count() == warm.count()
+    assert "Coalesce" not in df._sc._jvm.PythonSQLUtils.explainString(warm._jdf.queryExecution(), "simple")
 
 
 def test_empty_training(spark):
