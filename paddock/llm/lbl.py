@@ -201,23 +201,27 @@ class Trainer:
         self.tokens = 0
 
     def _adagrad(self, i: int, g: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
-        acc = self.g[i][rows] + g * g
+        acc = g * g
+        acc += self.g[i][rows]
         self.g[i][rows] = acc
-        self.p[i][rows] -= np.float32(RATE) * g / np.sqrt(acc)
+        g *= np.float32(RATE)
+        g /= np.sqrt(acc, out=acc)
+        self.p[i][rows] -= g
 
     def step(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> None:
         """One batch, in the order of ``w``, hence of its classes."""
         ctx, out, tops, c1, c2, bias, top_bias = self.p
         m, n = self.m, len(w)
-        r1, r2 = ctx[w1], ctx[w2]
-        h = r1 @ c1 + r2 @ c2
+        r1, r2 = ctx.take(w1, 0), ctx.take(w2, 0)
+        h = r1 @ c1
+        h += r2 @ c2
 
         # the class, against noise classes that the batch shares
         k = m.cls[w]
         runs = _starts(k)
         neg = np.minimum(np.searchsorted(self.cdf, self.rng.random(NOISE) * self.cdf[-1]), len(self.cdf) - 1)
         shift = top_bias - self.class_noise
-        q, qn = tops[k], tops[neg]
+        q, qn = tops.take(k, 0), tops[neg]
         d_pos = -_sigmoid(-(np.einsum("ij,ij->i", h, q) + shift[k]))                    # d loss / d score
         d_neg = _sigmoid(h @ qn.T + shift[neg])
         dh = d_pos[:, None] * q + d_neg @ qn
@@ -228,7 +232,7 @@ class Trainer:
         np.add.at(g_top_bias, neg, d_neg.sum(axis=0))
 
         # the token, against tokens that stand elsewhere in the batch, of its class: a draw from the class unigram
-        e, shift = out[w], bias[w] - self.inner_noise[w]
+        e, shift = out.take(w, 0), bias[w] - self.inner_noise[w]
         d = -_sigmoid(-(np.einsum("ij,ij->i", h, e) + shift))
         dh += d[:, None] * e
         g_rows, g_bias = d[:, None] * h, d.copy()
@@ -236,12 +240,14 @@ class Trainer:
         lo, size = np.repeat(runs, sizes), np.repeat(sizes, sizes)
         at = np.arange(n) - lo
         for _ in range(INNER):
-            other = lo + (at + np.repeat(self.rng.integers(0, sizes), sizes)) % size    # a rotation of each class
-            x = e[other]
+            turn = np.repeat(self.rng.integers(0, sizes), sizes)
+            other, back = lo + (at + turn) % size, lo + (at - turn) % size              # a rotation of each class
+            x = e.take(other, 0)
             d = _sigmoid(np.einsum("ij,ij->i", h, x) + shift[other])
-            dh += d[:, None] * x
-            g_rows[other] += d[:, None] * h
-            g_bias[other] += d
+            x *= d[:, None]
+            dh += x
+            g_rows += (d[:, None] * h).take(back, 0)
+            g_bias += d[back]
         first = _starts(w)
         rows = w[first]
 
@@ -249,7 +255,7 @@ class Trainer:
         order = _order(both, len(ctx))
         used = both[order]
         begin = _starts(used)
-        self._adagrad(0, np.add.reduceat(np.concatenate((dh @ c1.T, dh @ c2.T))[order], begin, axis=0), used[begin])
+        self._adagrad(0, np.add.reduceat(np.concatenate((dh @ c1.T, dh @ c2.T)).take(order, 0), begin, axis=0), used[begin])
         self._adagrad(1, np.add.reduceat(g_rows, first, axis=0), rows)
         self._adagrad(2, g_tops)
         self._adagrad(3, (r1.T @ dh) / np.float32(n))
@@ -386,13 +392,17 @@ class Scorer:
     @staticmethod
     def _log_sum(h: np.ndarray, e: np.ndarray, bias: np.ndarray) -> np.ndarray:
         out = np.empty(len(h), np.float32)
-        block = max(1, (1 << 20) // len(e))
-        for i in range(0, len(h), block):
-            z = h[i:i + block] @ e.T + bias
-            top = z.max(axis=1)
-            z -= top[:, None]
-            np.exp(z, out=z)
-            out[i:i + block] = np.log(z.sum(axis=1)) + top
+        block = max(1, (1 << 17) // len(e))                      # a block's scores stay in the cache
+        e, ones = np.ascontiguousarray(e.T), np.ones(len(e), np.float32)
+        with np.errstate(over="ignore", divide="ignore"):
+            for i in range(0, len(h), block):
+                z = h[i:i + block] @ e
+                z += bias
+                s = np.log(np.exp(z) @ ones)
+                if not np.isfinite(s).all():                     # beyond the range of a float
+                    top = z.max(axis=1)
+                    s = np.log(np.exp(z - top[:, None]) @ ones) + top
+                out[i:i + block] = s
         return out
 
     def __call__(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -400,8 +410,9 @@ class Scorer:
         n = self.n
         key, place = np.unique((w.astype(np.int64) * n + w1) * n + w2, return_inverse=True)
         w, w1, w2 = key // (n * n), key // n % n, key % n
-        h, k = self.left[w1] + self.right[w2], self.cls[w]
-        score = np.einsum("ij,ij->i", h, self.out[w] + self.tops[k]) + self.bias[w] + self.top_bias[k]
+        h, k = self.left.take(w1, 0), self.cls[w]
+        h += self.right.take(w2, 0)
+        score = np.einsum("ij,ij->i", h, self.out.take(w, 0) + self.tops.take(k, 0)) + self.bias[w] + self.top_bias[k]
         score -= self._log_sum(h, self.tops, self.top_bias)
         first = np.flatnonzero(np.diff(k, prepend=-1))
         for a, b in zip(first, np.append(first[1:], len(k)), strict=True):
