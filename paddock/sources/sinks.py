@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -82,10 +82,23 @@ def import_by_year(df: DataFrame, path: str, date_col: str = "race_date") -> Dat
     truncates the whole table on its first year). Rows with a null date land
     in the null-year partition instead of being dropped. Returns (year, rows)
     of what was written.
+
+    The input runs once: the write itself observes which years it contains (one bit
+    a year), and since it replaces those partitions whole, their rows are counted in
+    the written files, of which no data column is read.
     """
-    x = rebalanced(df.withColumn("year", F.year(date_col)), ["year"])
-    x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
-    return x.groupBy("year").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+    x = df.withColumn("year", F.year(date_col))
+    seen = Observation()
+    w = rebalanced(x.observe(seen, F.bitmap_construct_agg(F.col("year").cast("long")).alias("years"),
+                             F.count_if(F.col("year").isNull()).alias("undated")), ["year"])
+    w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+    got = seen.get
+    years = [8 * i + j for i, byte in enumerate(got["years"] or b"") for j in range(8) if byte >> j & 1]
+    written = F.col("year").isin(years)
+    if got["undated"]:
+        written = written | F.col("year").isNull()
+    return (df.sparkSession.read.schema(x.schema).parquet(path).filter(written)
+              .groupBy("year").agg(F.count(F.lit(1)).cast("long").alias("rows")))
 
 
 def save_features(df: DataFrame, path: str, mode: str = "append") -> bool:

@@ -1,6 +1,7 @@
 """Write dispositions, year import, feature extractor registry, global ranks."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,3 +47,24 @@ def test_global_min_rank(spark):
                                "horse_id string, win_probability double")
     r = {x["horse_id"]: x["rank"] for x in min_rank(df, group=None).collect()}
     assert r == {"h1": 1, "h3": 1, "h2": 3, "h4": 4}
+
+
+def test_year_import_runs_its_input_once(spark, tmp_path):
+    path, runs = str(tmp_path / "years"), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    rows = [(i, f"{1990 + i % 4}-05-01" if i % 5 else None) for i in range(40)]
+    df = (spark.createDataFrame(rows, "id int, d string").mapInArrow(seen, "id int, d string")
+          .select("id", F.to_date("d").alias("race_date")))
+    want = Counter(int(d[:4]) if d else None for _, d in rows)
+    assert {r["year"]: r["rows"] for r in K.import_by_year(df, path).collect()} == want
+    assert runs.value == 40
+    one = df.filter(F.year("race_date") == 1991).limit(2)
+    assert [tuple(r) for r in K.import_by_year(one, path).collect()] == [(1991, 2)]
+    assert K.import_by_year(df.limit(0), path).count() == 0
+    left = {r["year"]: r["count"] for r in spark.read.parquet(path).groupBy("year").count().collect()}
+    assert left == {**want, 1991: 2}
