@@ -40,10 +40,11 @@ from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
 from pyspark.ml.classification import GBTClassifier, LogisticRegression  # noqa: E402
 from pyspark.ml.feature import Imputer, VectorAssembler  # noqa: E402
 from pyspark.ml.functions import vector_to_array  # noqa: E402
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression  # noqa: E402
+from pyspark.ml.regression import GBTRegressor  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 
 from paddock.operators import metrics as _M  # noqa: E402
+from paddock.operators.isotonic import fit_isotonic  # noqa: E402
 from paddock.session import staged  # noqa: E402
 
 
@@ -100,9 +101,9 @@ def calibrator(holdout: DataFrame, method: str = "isotonic", prob: str = "predic
                label: str = "is_win"):
     """Calibration fitted on held-out rows: isotonic (monotone step) or
     sigmoid (logistic regression on the score)."""
-    x = holdout.withColumn("_y", F.col(label).cast("double"))
     if method == "isotonic":
-        return IsotonicRegression(featuresCol=prob, labelCol="_y", predictionCol="calibrated_prob").fit(x)
+        return fit_isotonic(holdout, prob, label, out="calibrated_prob")
+    x = holdout.withColumn("_y", F.col(label).cast("double"))
     va = VectorAssembler(inputCols=[prob], outputCol="_pv")
     lr = LogisticRegression(featuresCol="_pv", labelCol="_y", probabilityCol="_cp",
                             rawPredictionCol="_cr", predictionCol="_cl")

@@ -16,6 +16,7 @@ from paddock.operators import parzen as PZ
 from paddock.operators import scoring as SC
 from paddock.operators import splits as S
 from paddock.operators.fitted import FeaturePipeline
+from paddock.operators.isotonic import fit_isotonic
 from paddock.plans.bindings import HISTORY_ORDER, HISTORY_ORDER_SQL as ORD, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import training
@@ -171,6 +172,26 @@ def q_calibrated_scores(spark, sf):
                          rises.alias("keeps_order"))
 
 
+SCORE_STEPS = 128
+
+
+@query("isotonic_fit", with_entries(PREDS_SQL + f"""
+, g AS (SELECT floor(predicted_prob * {SCORE_STEPS}) / {SCORE_STEPS} AS score, sum(is_win) AS s, count(*) AS n FROM preds GROUP BY 1),
+c AS (SELECT *, row_number() OVER (ORDER BY score) AS i, sum(s) OVER (ORDER BY score) AS cs, sum(n) OVER (ORDER BY score) AS cn FROM g),
+m AS (SELECT a.i AS a, b.i AS b, CAST(b.cs - a.cs + a.s AS DOUBLE) / CAST(b.cn - a.cn + a.n AS DOUBLE) AS mean
+      FROM c a JOIN c b ON a.i <= b.i),
+f AS (SELECT c.score, c.n, m.a, min(m.mean) AS low FROM c JOIN m ON m.a <= c.i AND m.b >= c.i GROUP BY c.score, c.n, m.a)
+SELECT score, CAST(n AS BIGINT) AS n_entries, round(max(low), 6) AS calibrated_prob FROM f GROUP BY score, n"""))
+def q_isotonic_fit(spark, sf):
+    """The fitted calibration itself, by score step, on all scored entries (the SQL
+    takes its definition: the largest over starts of the least mean over ends)."""
+    p = predictions(spark, sf).select((F.floor(F.col("predicted_prob") * SCORE_STEPS) / SCORE_STEPS).alias("score"), "is_win")
+    p = staged(p, "isotonic-scores")
+    cal = fit_isotonic(p, "score", "is_win")
+    return (cal.transform(p.groupBy("score").agg(F.count(F.lit(1)).alias("n_entries")))
+               .withColumn("calibrated_prob", r6("calibrated_prob")))
+
+
 @query("rank_regression", with_entries(VALID_SQL + """
 SELECT race_id, count(*) AS n_entries, true AS ranks_complete, true AS follows_score FROM va GROUP BY race_id"""))
 def q_rank_regression(spark, sf):
