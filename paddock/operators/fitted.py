@@ -1,11 +1,11 @@
 """Encoders and scalers fitted on training rows and applied anywhere.
 
-Scalers and one-hot encoders keep their fitted state as model parameters (four
+Scalers and wide one-hot encoders keep their fitted state as model parameters (four
 numbers per scaled column; the values of a one-hot column are its output
-columns) and apply it as a projection. A label encoder's mapping is a frame of
-(value, code) per column, however many categories there are: codes are
-positions in the distributed order of the distinct values, found by ``fit``, and
-applying it is a left join that the optimizer plans by size.
+columns) and apply it as a projection. The mapping of a label or sparse one-hot
+encoder is a frame of (value, code) per column, however many categories there are:
+codes are positions in the distributed order of the distinct values, found by ``fit``,
+and applying it is a left join that the optimizer plans by size.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +24,38 @@ from paddock.functions.features import extract, feature_columns
 from paddock.session import shuffle_parts, staged
 
 # -- G1, G2 ------------------------------------------------------------------
+_MAPPED = ("label", "sparse")
+
+
+def _one_at(code: Column, size: int) -> Column:
+    """A sparse vector's fields: one 1.0 at ``code``, none where it is null."""
+    at = code.cast("int")
+    some = at.isNotNull()
+    return F.struct(F.lit(size).alias("size"), F.when(some, F.array(at)).otherwise(F.array().cast("array<int>")).alias("indices"),
+                    F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+
+
+def as_vector(sparse: str | Column) -> Column:
+    """Spark ML vector of a sparse one-hot column, for an assembler or a model.
+
+    Every category is one entry of the vector, so nothing is expanded, and no
+    list of category names is kept with the column.
+    """
+    s = F.col(sparse) if isinstance(sparse, str) else sparse
+    fields = F.struct(F.struct(F.lit(0).cast("byte").alias("type"), s["size"].alias("size"), s["indices"].alias("indices"),
+                               s["values"].alias("values")).alias("v"))
+    vector = F.from_json(F.to_json(fields), T.StructType([T.StructField("v", VectorUDT())]))["v"]
+    return F.when(s.isNotNull(), vector)
+
+
 @dataclass
 class CategoryEncoderModel:
-    """``mappings``: column -> frame (value, code) for labels, or the list of
-    values of a one-hot column."""
+    """``mappings``: column -> frame (value, code) for labels and sparse one-hot,
+    or the list of values of a one-hot column. ``sizes``: column -> number of
+    values, for sparse one-hot."""
     mappings: dict
     strategy: str = "label"
+    sizes: dict = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
@@ -36,10 +63,14 @@ class CategoryEncoderModel:
         for i, (c, values) in enumerate(self.mappings.items()):
             if c not in df.columns:
                 continue
-            if self.strategy == "label":
+            if self.strategy in _MAPPED:
                 m = values.select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}"))
-                out = (out.join(m, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
-                          .withColumn(f"{c}_encoded", F.coalesce(f"_c{i}", F.lit(-1)).cast("long")).drop(f"_v{i}", f"_c{i}"))
+                out = out.join(m, F.col(c).cast("string") == F.col(f"_v{i}"), "left")
+                if self.strategy == "label":
+                    out = out.withColumn(f"{c}_encoded", F.coalesce(f"_c{i}", F.lit(-1)).cast("long"))
+                else:
+                    out = out.withColumn(f"{c}_onehot", F.when(F.col(c).isNotNull(), _one_at(F.col(f"_c{i}"), self.sizes[c])))
+                out = out.drop(f"_v{i}", f"_c{i}")
             else:
                 s = F.col(c).cast("string")
                 cols |= {f"{c}_{v}": (s == F.lit(v)).cast("long") for v in values}
@@ -47,16 +78,16 @@ class CategoryEncoderModel:
 
     def save(self, path: str) -> dict:
         """Write label mappings below ``path``; returns the rest as plain data."""
-        if self.strategy == "label":
+        if self.strategy in _MAPPED:
             for c, m in self.mappings.items():
                 m.write.mode("overwrite").parquet(f"{path}/{c}")
-            return {"strategy": "label", "columns": list(self.mappings)}
+            return {"strategy": self.strategy, "columns": list(self.mappings), "sizes": self.sizes}
         return {"strategy": self.strategy, "mappings": self.mappings}
 
     @classmethod
     def load(cls, spark: SparkSession, d: dict, path: str) -> CategoryEncoderModel:
-        if d["strategy"] == "label":
-            return cls({c: spark.read.parquet(f"{path}/{c}") for c in d["columns"]}, "label")
+        if d["strategy"] in _MAPPED:
+            return cls({c: spark.read.parquet(f"{path}/{c}") for c in d["columns"]}, d["strategy"], d.get("sizes", {}))
         return cls(d["mappings"], d["strategy"])
 
 
@@ -95,7 +126,12 @@ def _codes(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
 @dataclass
 class CategoryEncoder:
     """Label (sorted distinct non-null values -> 0..k-1, unseen/null -> -1) or
-    one-hot (``{c}_{value}`` 0/1 per fitted value; null stays null)."""
+    one-hot (``{c}_{value}`` 0/1 per fitted value; null stays null).
+
+    "sparse" is one-hot for columns of very many values: one column ``{c}_onehot``
+    of (size, indices, values), null for null, without an index for unseen values.
+    Its width does not grow with the categories and no value reaches the driver.
+    """
     columns: Sequence[str]
     strategy: str = "label"
 
@@ -103,6 +139,9 @@ class CategoryEncoder:
         cols = [c for c in self.columns if c in df.columns]
         if self.strategy == "label":
             return CategoryEncoderModel(_codes(df, cols), "label")
+        if self.strategy == "sparse":
+            codes = _codes(df, cols)
+            return CategoryEncoderModel(codes, "sparse", {c: m.count() for c, m in codes.items()})
         if not cols:
             return CategoryEncoderModel({}, self.strategy)
         row = df.agg(*[F.array_sort(F.collect_set(F.col(c))).alias(c) for c in cols]).first()

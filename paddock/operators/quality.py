@@ -8,49 +8,49 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.session import values_frame
-
-VIOLATION_SCHEMA = "dataset string, column string, error_type string, value double, message string"
-
 
 def _q(s: str) -> str:
     """Text safe inside a SQL single-quoted literal."""
     return s.replace("'", "''")
 
 
+def summary(df: DataFrame, dataset: str, required: Sequence[str] = (),
+            max_null_rate: float = 0.5) -> DataFrame:
+    """One row (dataset, rows, violations): the row count and the violations of
+    C1-C3 as an array, from one aggregate over the frame, whatever its width."""
+    cols = df.columns
+    # expressions as SQL text: one plan call per expression, however wide the table
+    counts = df.agg(F.expr("count(1) AS _n"), *[F.expr(f"count(`{c}`) AS _c{i}") for i, c in enumerate(cols)])
+    thr = f"{round(max_null_rate * 100, 1):.1f}%"
+    name = f"'{_q(dataset)}'"
+
+    def entry(column: str, error: str, value: str, message: str, order: int, found: str) -> str:
+        return (f"named_struct('dataset', {name}, 'column', '{_q(column)}', 'error_type', '{error}', "
+                f"'value', {value}, 'message', {message}, '_o', {order}, 'found', {found})")
+
+    no_value = "CAST(NULL AS DOUBLE)"
+    checks = [entry(c, "missing_column", no_value, f"'{_q(f"Required column '{c}' is missing")}'", 0, "true")
+              for c in required if c not in cols]
+    for i, c in enumerate(cols):
+        rate = f"(CASE WHEN _n > 0 THEN (_n - _c{i}) / _n END)"
+        text = (f"concat('Column ', chr(39), '{_q(c)}', chr(39), ' has ', CAST(round({rate} * 100, 1) AS STRING), "
+                f"'% nulls (threshold: {thr})')")
+        checks.append(entry(c, "high_null_rate", rate, text, 1, f"coalesce({rate} > {float(max_null_rate)!r}, false)"))
+    checks.append(entry("*", "empty_dataframe", no_value, "'DataFrame has no rows'", 2, "_n = 0"))
+    kept = ("transform(filter(_checks, v -> v.found), v -> named_struct('dataset', v.dataset, 'column', v.column, "
+            "'error_type', v.error_type, 'value', v.value, 'message', v.message, '_o', v._o)) AS violations")
+    return (counts.selectExpr("_n", f"array({', '.join(checks)}) AS _checks")
+                  .selectExpr(f"{name} AS dataset", "CAST(_n AS BIGINT) AS rows", kept))
+
+
 def validate(df: DataFrame, dataset: str, required: Sequence[str] = (),
              max_null_rate: float = 0.5) -> DataFrame:
     """(dataset, column, error_type, value, message) rows, in the order
     missing columns, high null rates, empty frame."""
-    spark: SparkSession = df.sparkSession
-    missing = [c for c in required if c not in df.columns]                     # C1
-    parts = []
-    if missing:
-        parts.append(values_frame(
-            spark, [(dataset, c, "missing_column", None, f"Required column '{c}' is missing")
-                    for c in missing], VIOLATION_SCHEMA).withColumn("_o", F.lit(0)))
-    cols = df.columns
-    # one aggregate per frame; every candidate violation is derived from its single row
-    # (expressions as SQL text: one plan call per expression, however wide the table)
-    counts = df.agg(F.expr("count(1) AS _n"), *[F.expr(f"count(`{c}`) AS _c{i}") for i, c in enumerate(cols)])
-    rows = [f"'{_q(c)}', 'high_null_rate', CASE WHEN _n > 0 THEN (_n - _c{i}) / _n END, 1"
-            for i, c in enumerate(cols)]
-    rows.append("'*', 'empty_dataframe', CAST(NULL AS DOUBLE), 2")
-    x = counts.selectExpr("_n", f"stack({len(rows)}, {', '.join(rows)}) AS (column, error_type, value, _o)")
-    x = x.where("CASE WHEN error_type = 'empty_dataframe' THEN _n = 0 "
-                f"ELSE _n > 0 AND value > {float(max_null_rate)!r} END")
-    thr = f"{round(max_null_rate * 100, 1):.1f}%"
-    msg = ("CASE WHEN error_type = 'empty_dataframe' THEN 'DataFrame has no rows' ELSE "
-           "concat('Column ', chr(39), column, chr(39), ' has ', CAST(round(value * 100, 1) AS STRING), "
-           f"'% nulls (threshold: {thr})') END AS message")
-    parts.append(x.selectExpr(f"'{_q(dataset)}' AS dataset", "column", "error_type", "value", msg, "_o"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return summary(df, dataset, required, max_null_rate).selectExpr("inline(violations)")
 
 
 def report(checks: Sequence[DataFrame]) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.operators.sequence import with_position
+from paddock.operators.sequence import running_sum, with_position
 
 
 _DAY, _TIME = "_day", "_time"
@@ -176,6 +176,53 @@ def calibration_holdout(train_rows: DataFrame, order: Sequence[str], holdout: fl
     return _cut_days(train_rows, h, order, date_col, [by], "role", "fit", "calibration")
 
 
+def holdout_stats(df: DataFrame, periods: DataFrame, order: Sequence[str], holdout: float = 0.2,
+                  sums: Sequence[str] = (), date_col: str = "race_date") -> DataFrame:
+    """H4 + H5 without a copy of a row per period: (period, role, rows, first_date,
+    last_date, and the sum of each of ``sums``) of what ``calibration_holdout`` would tag
+    on the rows of each period's training side.
+
+    Days are reduced once; a period adds up its days. Only where a period's cut falls
+    inside a day are rows looked at again: those of the cut days, once each, whose
+    running sums give what lies before the cut.
+    """
+    sums = list(sums)
+    day = F.col(date_col).cast("date")
+    per_day = df.groupBy(day.alias(_DAY)).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"_s_{c}") for c in sums])
+    w = Window.partitionBy("period")                                       # over the calendar only
+    x = assign_periods(per_day, periods, "train", _DAY).withColumns({
+        "n_before": F.coalesce(F.sum("n").over(w.orderBy(_DAY).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_cut": F.floor(F.sum("n").over(w) * F.lit(1.0 - holdout)).cast("long")})
+    x = x.withColumn("_k", F.greatest(F.lit(0), F.least(F.col("n"), F.col("_cut") - F.col("n_before"))))
+    cuts = x.filter("_k > 0 and _k < n").select("period", F.col(_DAY).alias("_d"), "_k")
+
+    rows = df.withColumn(_DAY, day).join(F.broadcast(cuts.select(F.col("_d").alias(_DAY)).distinct()), _DAY)
+    rest = [c for c in order if c != date_col]
+    if df.schema[date_col].dataType.typeName() != "date":
+        rows = rows.withColumn(_TIME, F.col(date_col).cast("timestamp").cast("double"))
+        rest = [_TIME, *rest]
+    rows = rows.select(*dict.fromkeys([_DAY, *rest]), *[F.coalesce(c, F.lit(0)).alias(f"_b_{c}") for c in sums], F.lit(1).alias("_one"))
+    inner = running_sum(rows, [_DAY], rest, ["_one", *[f"_b_{c}" for c in sums]])
+    inner = (inner.join(F.broadcast(cuts), (F.col("_d") == F.col(_DAY)) & (F.col("_one_before") == F.col("_k")))
+                  .select("period", F.col("_d").alias(_DAY), *[F.col(f"_b_{c}_before").alias(f"_f_{c}") for c in sums]))
+
+    x = x.join(F.broadcast(inner), ["period", _DAY], "left")
+    fit = {c: F.when(F.col("_k") == F.col("n"), F.col(f"_s_{c}")).when(F.col("_k") > 0, F.col(f"_f_{c}")) for c in sums}
+    own = [F.struct(F.lit("fit").alias("role"), F.col("_k").cast("long").alias("rows"), *[fit[c].alias(c) for c in sums]),
+           F.struct(F.lit("calibration").alias("role"), (F.col("n") - F.col("_k")).cast("long").alias("rows"),
+                    *[(F.coalesce(f"_s_{c}", F.lit(0)) - F.coalesce(fit[c], F.lit(0))).alias(c) for c in sums])]
+    return (x.select("period", _DAY, F.explode(F.array(*own)).alias("_r")).select("period", _DAY, "_r.*").filter("rows > 0")
+             .groupBy("period", "role").agg(F.sum("rows").alias("rows"), F.min(_DAY).alias("first_date"), F.max(_DAY).alias("last_date"),
+                                            *[F.sum(c).alias(c) for c in sums]))
+
+
+def period_integrity(df: DataFrame, periods: DataFrame, date_col: str = "race_date") -> DataFrame:
+    """H10 for the rows' own periods, from the days that have rows (no row is copied per period)."""
+    days = df.select(F.col(date_col).cast("date").alias(date_col)).filter(F.col(date_col).isNotNull()).distinct()
+    return temporal_integrity(assign_periods(days, periods, "train", date_col), assign_periods(days, periods, "test", date_col),
+                              date_col=date_col)
+
+
 def temporal_integrity(train_rows: DataFrame, test_rows: DataFrame, by: str = "period",
                        date_col: str = "race_date") -> DataFrame:
     """Per period, the latest train date must be before the earliest test date."""

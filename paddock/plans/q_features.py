@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from paddock.functions import features as FT
 from paddock.operators.fitted import CategoryEncoder, FeaturePipeline, FeatureScaler
-from paddock.plans.bindings import with_entries
+from paddock.plans.bindings import entries, with_entries
 from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import TRAIN_SQL, training
 from paddock.session import staged
@@ -160,6 +160,25 @@ def q_onehot(spark, sf):
     return model.transform(df).select(*_ids(), *ONEHOT_COLS, *out)
 
 
+SPARSE_COLS = ["horse_id", "jockey_id", "course"]
+
+
+@query("onehot_sparse", with_entries(", " + ",\n".join(
+    f"""s_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS BIGINT) AS idx
+       FROM (SELECT DISTINCT {c} AS v FROM entries WHERE race_date < DATE '{SPLIT_DATE}' AND {c} IS NOT NULL))"""
+    for c in SPARSE_COLS) + "\nSELECT e.race_id, e.horse_id, CAST(e.ln AS BIGINT) AS ln, "
+       + ", ".join(f"CASE WHEN e.{c} IS NOT NULL THEN (SELECT count(*) FROM s_{c}) END AS {c}_size, s_{c}.idx AS {c}_index"
+                   for c in SPARSE_COLS)
+       + " FROM entries e " + " ".join(f"LEFT JOIN s_{c} ON e.{c} = s_{c}.v" for c in SPARSE_COLS)))
+def q_onehot_sparse(spark, sf):
+    """G2 for columns of very many values: every horse and jockey is a category."""
+    df = staged(entries(spark, sf).select(*dict.fromkeys(["race_id", "horse_id", "ln", "race_date", *SPARSE_COLS])), "encode-sparse")
+    x = CategoryEncoder(SPARSE_COLS, "sparse").fit(_train_rows(df)).transform(df)
+    return x.select(*_ids(), *[e for c in SPARSE_COLS for e in (
+        F.col(f"{c}_onehot.size").cast("long").alias(f"{c}_size"),
+        F.get(F.col(f"{c}_onehot.indices"), 0).cast("long").alias(f"{c}_index"))])
+
+
 SCALE_COLS = ["avg_finish", "win_odds", "carried_weight", "distance", "jockey_win_rate"]
 
 

@@ -292,6 +292,22 @@ def q_import_summary(spark, sf):
     return I.import_summary(r, h, j)
 
 
+MESSAGES_LIMIT = 0.02
+
+
+@query("import_messages", with_raw(NORM_SQL + RACE_DIM_SQL + """
+, races AS (SELECT * FROM rd WHERE k = 1),
+q AS (""" + "\nUNION ALL ".join(
+    quality_sql(rel, name, cols, req, MESSAGES_LIMIT) for rel, name, cols, req in (
+        ("races", "races", RACE_DIM_COLUMNS, I.RACE_COLUMNS), ("norm", "horse_results", HR_COLUMNS, I.HORSE_RESULT_COLUMNS),
+        ("norm", "jockey_results", JR_COLUMNS, I.JOCKEY_RESULT_COLUMNS))) + """)
+SELECT dataset AS view, "column", error_type, round(value, 6) AS value, message FROM q"""))
+def q_import_messages(spark, sf):
+    """What the import found in each view, with a strict limit on null shares."""
+    r, h, j = _views(spark, sf)
+    return I.import_messages(r, h, j, MESSAGES_LIMIT).withColumn("value", r6("value"))
+
+
 QUALITY_TABLES = {
     # table: required columns (one absent on purpose in orders)
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"],

@@ -96,13 +96,9 @@ SELECT period, role, CAST(count(*) AS BIGINT) AS rows, min(race_date) AS first_d
        CAST(sum(race_id * 10 + ln) AS BIGINT) AS checksum
 FROM roles GROUP BY period, role"""))
 def q_calibration_holdout(spark, sf):
-    e = entries(spark, sf)
-    tr = S.assign_periods(e, periods(spark, sf), side="train")
-    c = S.calibration_holdout(tr, HISTORY_ORDER, 0.2)
-    return c.groupBy("period", "role").agg(
-        F.count(F.lit(1)).cast("long").alias("rows"), F.min("race_date").alias("first_date"),
-        F.max("race_date").alias("last_date"),
-        F.sum(F.col("race_id") * 10 + F.col("ln")).cast("long").alias("checksum"))
+    """H4 + H5: sizes, dates and a checksum of each period's fit and calibration rows."""
+    e = entries(spark, sf).withColumn("checksum", (F.col("race_id") * 10 + F.col("ln")).cast("long"))
+    return S.holdout_stats(e, periods(spark, sf), HISTORY_ORDER, 0.2, ["checksum"])
 
 
 PTEST_SQL = """
@@ -169,9 +165,8 @@ te AS (SELECT p.period, min(e.race_date) AS test_min FROM periods p JOIN entries
          ON e.race_date >= p.test_start AND e.race_date <= p.test_end GROUP BY p.period)
 SELECT period, train_max, test_min, train_max < test_min AS ok FROM tr FULL JOIN te USING (period)"""))
 def q_temporal_integrity(spark, sf):
-    e = entries(spark, sf)
-    p = periods(spark, sf)
-    return S.temporal_integrity(S.assign_periods(e, p, "train"), S.assign_periods(e, p, "test"))
+    """Latest training and earliest test day of each period."""
+    return S.period_integrity(entries(spark, sf), periods(spark, sf))
 
 
 @query("time_fold_table", with_entries(f"""

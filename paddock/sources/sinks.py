@@ -132,6 +132,35 @@ def load_features(spark: SparkSession, path: str, columns: Sequence[str] | None
     return df
 
 
+def save_feature_table(df: DataFrame, name: str, path: str | None = None, key: str = "race_id", buckets: int = 200,
+                       mode: str = "append") -> bool:
+    """A14, clustered: a catalog table bucketed and sorted by ``key``.
+
+    The one shuffle on the write is the last one on that key: loading a set of keys
+    reads their buckets only, and joins or aggregates on the key of tables with as
+    many buckets need no exchange. ``path``: shared folder of the files (by default
+    the warehouse). Appends must keep the table's buckets. An empty frame writes nothing.
+    """
+    if df.isEmpty():
+        return False
+    m = "overwrite" if mode in ("truncate", "overwrite") else "append"
+    w = df.repartition(buckets, key).write.mode(m).format("parquet").bucketBy(buckets, key).sortBy(key)
+    (w.option("path", path) if path else w).saveAsTable(name)
+    return True
+
+
+def load_feature_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None,
+                       keys: DataFrame | Sequence | None = None, key: str = "race_id") -> DataFrame:
+    """A15 on a clustered table: optional column list and restriction to ``keys``
+    (literals prune buckets; a frame of keys is a semi join in place)."""
+    df = spark.table(name)
+    if isinstance(keys, DataFrame):
+        df = df.join(keys.select(key), key, "left_semi")
+    elif keys is not None:
+        df = df.filter(F.col(key).isin(list(keys)))
+    return df.select(*columns) if columns else df
+
+
 def sink_predictions(df: DataFrame, table_path: str, json_path: str | None = None,
                      date_col: str = "predicted_date") -> None:
     """Append to the predictions table; optional JSON dump by date."""

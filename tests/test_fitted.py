@@ -3,9 +3,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from paddock.operators.fitted import CategoryEncoder, FeaturePipeline, FeaturePipelineModel, FeatureScaler
+from paddock.operators.fitted import CategoryEncoder, FeaturePipeline, FeaturePipelineModel, FeatureScaler, as_vector
 
 
 def test_standard_scale_uses_train_stats(spark):
@@ -52,6 +53,32 @@ def test_label_encode_many_categories(spark):
     assert m.transform(df).filter(F.col("c_encoded") != F.col("id")).count() == 0
 
 
+def test_sparse_onehot_of_many_categories(spark, tmp_path):
+    df = spark.range(100_000).select(F.concat(F.lit("horse_"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("c"), "id")
+    p = FeaturePipeline([], CategoryEncoder(["c"], "sparse")).fit(df)
+    p.save(spark, str(tmp_path / "sparse"))
+    for model in (p, FeaturePipelineModel.load(spark, str(tmp_path / "sparse"))):
+        out = model.transform(df)
+        assert out.columns == ["c", "id", "c_onehot"]
+        wrong = (F.col("c_onehot.size") != 100_000) | (F.col("c_onehot.indices") != F.array(F.col("id").cast("int")))
+        assert out.filter(wrong).count() == 0
+    new = spark.createDataFrame([("horse_0000007",), ("other",), (None,)], "c string")
+    got = [r[0] for r in p.encoder.transform(new).orderBy("c").select("c_onehot").collect()]
+    assert got == [None, (100_000, [7], [1.0]), (100_000, [], [])]
+    empty = CategoryEncoder(["c"], "sparse").fit(df.limit(0)).transform(new).filter("c is not null").select("c_onehot").distinct().collect()
+    assert [tuple(r[0]) for r in empty] == [(0, [], [])]
+
+
+def test_sparse_onehot_feeds_a_model(spark):
+    rows = [(f"k{i % 50}", float(i % 50 < 10)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "c string, y double")
+    x = CategoryEncoder(["c"], "sparse").fit(df).transform(df).withColumn("features", as_vector("c_onehot"))
+    first = x.first()["features"]
+    assert type(first).__name__ == "SparseVector" and first.size == 50 and first.numNonzeros() == 1
+    fit = LogisticRegression(labelCol="y", regParam=0.001).fit(x)
+    assert fit.transform(x).filter("prediction != y").count() == 0
+
+
 def test_pipeline_state_survives_a_reload(spark, tmp_path):
     df = spark.createDataFrame([("t", 1000, dt.date(2024, 1, 1)), ("u", 2000, dt.date(2024, 2, 1))],
                                "track_type string, distance int, last_race_date date")

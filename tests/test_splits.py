@@ -1,7 +1,9 @@
 """Splits, folds and walk-forward periods."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from paddock.operators import splits as S
@@ -67,3 +69,24 @@ def test_null_and_timestamp_dates_are_kept(spark):
     assert [r["race_date"] for r in by_time] == sorted(r["race_date"] for r in by_time)
     roles = calibration_holdout(df.selectExpr("*", "race_id % 2 AS period"), ["race_date", "race_id"], 0.2).collect()
     assert len(roles) == 100 and sum(r["role"] == "fit" for r in roles) == 80
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_holdout_stats_equal_the_tagged_copies(spark, kind):
+    rnd = random.Random(11)
+    rows = [(i, dt.date(2024, 1, 1) + dt.timedelta(days=rnd.choice([3, 3, 3, 40, rnd.randint(0, 90)])), rnd.randint(0, 9)) for i in range(400)]
+    rows += [(900 + i, None, 5) for i in range(5)] + [(990, dt.date(2024, 1, 4), None)]
+    df = spark.createDataFrame(rows, "id long, race_date date, v long")
+    if kind == "timestamp":
+        df = df.withColumn("race_date", F.col("race_date").cast("timestamp") + F.expr("make_dt_interval(0, 0, pmod(id * 37, 600))"))
+    order = ["race_date", "id"]
+    p = S.walk_forward_periods(df, 30, 10, 7)
+    got = S.holdout_stats(df, p, order, 0.3, ["v"])
+    tagged = S.calibration_holdout(S.assign_periods(df, p, "train"), order, 0.3)
+    want = tagged.groupBy("period", "role").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.col("race_date").cast("date")).alias("first_date"),
+        F.max(F.col("race_date").cast("date")).alias("last_date"), F.sum("v").alias("v"))
+    a, b = sorted(map(tuple, got.collect())), sorted(map(tuple, want.collect()))
+    assert a == b and len(a) > 10
+    ok = S.period_integrity(df, p)
+    assert ok.columns == ["period", "train_max", "test_min", "ok"] and ok.count() == p.count() and ok.filter("not ok").count() == 0
