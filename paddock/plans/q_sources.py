@@ -8,6 +8,7 @@ it and returns what it reads back.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from paddock.plans.catalog import query, r6
 from paddock.plans.q_history import TRAIN_SQL, training
 from paddock.plans.q_ingest import NORM_SQL, RACE_DIM_SQL, normalised
 from paddock.plans.q_metrics import PREDS_SQL, predictions
-from paddock.session import scratch_dir
+from paddock.session import scratch_dir, staged
 from paddock.sources import landing as L
 from paddock.sources import sinks as K
 
@@ -135,6 +136,30 @@ def q_feature_store_load(spark, sf):
     return back.select("race_id", "horse_id", "ln", r6("feat_avg_finish").alias("feat_avg_finish"))
 
 
+FEATURE_BUCKETS = 16
+
+
+@query("feature_table_join", with_entries(TRAIN_SQL + """
+SELECT race_id, count(*) AS n_entries, round(avg(round(avg_finish, 6)), 6) AS mean_finish,
+       CAST(sum(CASE WHEN finish_position = 1 THEN 1 ELSE 0 END) AS BIGINT) AS winners
+FROM train WHERE race_id IN (SELECT race_id FROM entries WHERE year(race_date) = 1997) GROUP BY race_id"""))
+def q_feature_table_join(spark, sf):
+    """A14 + A15, clustered: features and results in tables bucketed by race, a year's
+    races reduced and joined by race without another shuffle of either table."""
+    t = staged(extract(training(spark, sf), ["horse"]), "feature-table")
+    tag = uuid.uuid4().hex[:12]
+    names = [f"features_{tag}", f"results_{tag}"]
+    ids = ["race_id", "horse_id", "ln"]
+    parts = [t.select(*ids, F.round("feat_avg_finish", 6).alias("feat_avg_finish")), t.select(*ids, "race_date", "finish_position")]
+    for name, part in zip(names, parts, strict=True):
+        K.save_feature_table(part, name, scratch_dir(spark, name), buckets=FEATURE_BUCKETS)
+    f, r = (K.load_feature_table(spark, n) for n in names)
+    means = f.groupBy("race_id").agg(F.count(F.lit(1)).alias("n_entries"), r6(F.avg("feat_avg_finish")).alias("mean_finish"))
+    won = r.filter(F.year("race_date") == 1997).groupBy("race_id").agg(
+        F.sum(F.when(F.col("finish_position") == 1, 1).otherwise(0)).cast("long").alias("winners"))
+    return means.join(won, "race_id")
+
+
 @query("prediction_sink", with_entries(PREDS_SQL + """
 SELECT race_id, horse_id, round(predicted_prob, 6) AS win_probability, race_date AS predicted_date,
        'deterministic' AS model_name FROM preds"""))
