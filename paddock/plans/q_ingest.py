@@ -13,7 +13,7 @@ from paddock.plans.bindings import entries, raw_results, with_entries, with_raw
 from paddock.plans.catalog import query, r6
 from paddock.session import scratch_dir
 from paddock.sources.results_csv import filter_dates, load_race_results, map_columns, normalise
-from paddock.sources.tables import table
+from paddock.sources.tables import counted_table, table
 
 NON_FINISH_SQL = ", ".join(f"'{w}'" for w in P.NON_FINISH)
 
@@ -329,7 +329,7 @@ ENTRY_REQUIRED = ["race_id", "horse_id", "jockey_id", "horse_name"]
 
 
 def _quality_checks(spark, sf):
-    checks = [validate(table(spark, sf, t), t, req, 0.5) for t, req in QUALITY_TABLES.items()]
+    checks = [validate(counted_table(spark, sf, t), t, req, 0.5) for t, req in QUALITY_TABLES.items()]
     checks.append(validate(entries(spark, sf), "entries", ENTRY_REQUIRED, 0.1))
     checks.append(validate(table(spark, sf, "orders").filter(F.col("o_totalprice") < 0),
                            "refunds", ["o_orderkey"], 0.5))

@@ -22,6 +22,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # counts of rows and non-null values from footers, where a reader can do so (sources/tables.py)
+    "spark.sql.parquet.aggregatePushdown": "true",
     # plans are built from many column expressions; capturing a Python call
     # site for each costs several JVM round trips per expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
