@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from paddock.operators.backtest import min_rank
 from paddock.operators.models import ModelRegistry, predict_proba
+from paddock.sources.sinks import rebalanced
 
 
 def score(model: PipelineModel, features: DataFrame, feature_cols: Sequence[str],
@@ -64,5 +65,6 @@ def batch_predict(registry: ModelRegistry, name: str, raw: DataFrame,
     out = audit(s, name, version)
     if sink is not None:
         w = out.withColumn("predicted_date", F.col(date_col)) if date_col in out.columns else out
-        w.write.mode("append").partitionBy(*(["predicted_date"] if date_col in out.columns else [])).parquet(sink)
+        by = ["predicted_date"] if date_col in out.columns else []
+        rebalanced(w, by).write.mode("append").partitionBy(*by).parquet(sink)
     return out
