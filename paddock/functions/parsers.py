@@ -56,8 +56,7 @@ def parse_sex_age(c: str | Column) -> tuple[Column, Column]:
 def parse_corners(c: str | Column) -> list[Column]:
     """B4: '3-3-2-1' -> four ints; missing or bad parts -> null."""
     s = _c(c).cast("string")
-    parts = F.split(s, "-")
-    return [F.trim(F.get(parts, i)).try_cast("int") for i in range(4)]
+    return [F.trim(F.split_part(s, F.lit("-"), F.lit(i))).try_cast("int") for i in range(1, 5)]
 
 
 def parse_weight(c: str | Column) -> tuple[Column, Column]:
