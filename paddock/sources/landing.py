@@ -22,6 +22,7 @@ RACE_SCHEMA = (f"race_id string, race_name string, race_number int, course strin
                f"entries array<struct<{ENTRY_SCHEMA}>>, race_date date")
 RESULT_SCHEMA = ("race_id string, race_date date, course string, distance int, finish_position int, "
                  "weight double, jockey_id string, horse_id string, ln int")
+RESULT_COLUMNS = [f.split()[0] for f in RESULT_SCHEMA.split(", ")]
 PAGE_SCHEMA = f"entity_id string, chunk int, results array<struct<{RESULT_SCHEMA}>>, page_date date"
 
 
@@ -92,18 +93,22 @@ def jockey_results(spark: SparkSession, path: str, requested: DataFrame, year: i
 def land_races(entries: DataFrame, path: str, chunk: int = 500) -> None:
     """Write one JSON record per (race, chunk of entries), partitioned by date."""
     e = entries.withColumn("chunk", F.floor((F.col("finish_position") - 1) / chunk).cast("int"))
-    arr = e.groupBy("race_id", "chunk").agg(F.collect_list(F.struct(
-        F.col("horse_id").cast("string").alias("horse_id"),
-        F.concat(F.lit("ホース"), F.col("horse_id").cast("string")).alias("horse_name"),
-        F.col("jockey_id").cast("string").alias("jockey_id"), F.col("odds"),
-        F.col("finish_position"), F.col("weight").cast("int").alias("weight"))).alias("entries"))
-    head = e.filter(F.col("finish_position") == 1).select(
-        "race_id", "race_date",
+    head = F.struct(
+        "race_date",
         F.when(F.col("race_id") % 7 != 0, F.concat(F.lit("R"), F.col("race_id").cast("string"))).alias("race_name"),
         (F.col("race_id") % 12 + 1).cast("int").alias("race_number"), "course",
         F.when(F.col("race_id") % 11 != 0, F.col("distance")).alias("distance"),
         "track_type", "track_condition", "weather", "grade")
-    rec = head.join(arr, "race_id").select(
+    # the race's own columns are those of its winner, which is in one chunk: handed to the others by race
+    arr = e.filter(F.col("race_id").isNotNull()).groupBy("race_id", "chunk").agg(
+        F.collect_list(F.struct(
+            F.col("horse_id").cast("string").alias("horse_id"),
+            F.concat(F.lit("ホース"), F.col("horse_id").cast("string")).alias("horse_name"),
+            F.col("jockey_id").cast("string").alias("jockey_id"), F.col("odds"),
+            F.col("finish_position"), F.col("weight").cast("int").alias("weight"))).alias("entries"),
+        F.collect_list(F.when(F.col("finish_position") == 1, head)).alias("_heads"))
+    heads = F.flatten(F.collect_list("_heads").over(Window.partitionBy("race_id")))
+    rec = arr.withColumn("_heads", heads).withColumn("_head", F.explode("_heads")).select("race_id", "chunk", "entries", "_head.*").select(
         F.when(F.col("race_id") % 89 == 0, F.lit("")).otherwise(F.col("race_id").cast("string")).alias("race_id"),
         "race_name", "race_number", "course", "distance", "track_type", "track_condition", "weather", "grade",
         "chunk", F.when(F.col("race_id") % 53 != 0, F.col("entries")).alias("entries"), "race_date")
@@ -116,14 +121,17 @@ def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500) ->
     order = [desc("race_date"), desc("race_id"), desc("ln")]
     e = with_position(entries, [entity], order, name="_k")
     e = e.withColumn("chunk", F.floor(F.col("_k") / chunk).cast("int"))
-    res = F.struct(F.col("race_id").cast("string").alias("race_id"), "race_date", "course",
-                   F.col("distance").cast("int").alias("distance"), "finish_position",
-                   F.col("weight").cast("double").alias("weight"),
-                   F.col("jockey_id").cast("string").alias("jockey_id"),
-                   F.col("horse_id").cast("string").alias("horse_id"), F.col("ln").cast("int").alias("ln"))
-    g = e.groupBy(F.col(entity).cast("string").alias("entity_id"), "chunk").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_k"), res.alias("r")))).alias("_rs"),
-        F.max("race_date").alias("page_date"))
-    g.select("entity_id", "chunk", F.transform("_rs", lambda s: s["r"]).alias("results"), "page_date") \
-     .hint("rebalance", "page_date").write.mode("overwrite").partitionBy("page_date").json(path)
+    # the two shuffles move the columns as they are, without the entity that the page names; texts are made at last
+    kept = [c for c in ("race_id", "race_date", "course", "distance", "finish_position", "weight", "jockey_id", "horse_id", "ln") if c != entity]
+    g = e.groupBy(F.col(entity).alias("_entity"), "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("_k", *kept))).alias("_rs"), F.max("race_date").alias("page_date"))
+    kinds = {"race_id": "string", "distance": "int", "weight": "double", "jockey_id": "string", "horse_id": "string", "ln": "int"}
+
+    def result(s):
+        own = {c: s[c] if c != entity else F.col("_entity") for c in [*kept, entity]}
+        return F.struct(*[own[c].cast(kinds[c]).alias(c) if c in kinds else own[c].alias(c) for c in RESULT_COLUMNS])
+
+    g.hint("rebalance", "page_date").select(
+        F.col("_entity").cast("string").alias("entity_id"), "chunk", F.transform("_rs", result).alias("results"), "page_date") \
+     .write.mode("overwrite").partitionBy("page_date").json(path)
 

@@ -37,7 +37,7 @@ def ingest_landed_races(spark: SparkSession, landing: str, table: str,
            .json(landing))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_batch", F.lit(batch_id)).hint("rebalance")
+        rows = batch.withColumn("_batch", F.lit(batch_id))           # the scan packs small files already
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("_batch").parquet(table))
 
