@@ -5,6 +5,9 @@ Tokens: ASCII-lower-cased words (runs of characters other than 0x20 and
 rows are texts each; an empty table gives no rows; further columns, of any name,
 are not read. A word of more than ``LONG`` bytes travels as its 16-byte digest.
 
+Texts are split by Arrow, up to ``_BYTES`` at a time; Python looks up each distinct
+word of these once.
+
 Counts. Each task counts its words and flushes partial counts; one shuffle
 adds them over all training texts and the table is written to shared storage.
 
@@ -41,12 +44,12 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,19 +68,60 @@ WARM_DOCS = 2000
 WARM_TOKENS = 1_500_000
 _FLUSH = 400_000
 _CHUNK = 1 << 18
+_BYTES = 4 << 20
 _SLICE = 1 << 16
 END = None                        # the end token's key among the words
 
 
-def _words(text: bytes | None) -> list[bytes]:
-    """bytes.lower and bytes.split treat exactly A-Z and 0x20, 0x09-0x0D. A long
-    word's digest follows a space, which no word holds."""
-    words = text.lower().split() if text else []
+def _keys(words: list[bytes]) -> list[bytes]:
+    """A long word's digest follows a space, which no word holds."""
     if words and max(map(len, words)) > LONG:
         words = [w if len(w) <= LONG else b" " + hashlib.blake2b(w, digest_size=16).digest() for w in words]
     return words
 
 
+def _words(text: bytes | None) -> list[bytes]:
+    """bytes.lower and bytes.split treat exactly A-Z and 0x20, 0x09-0x0D."""
+    return _keys(text.lower().split() if text else [])
+
+
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """``_words`` of many texts at once: the place among the distinct words of every
+    word, the distinct words, and where each text's words begin (at last, their number).
+    Arrow's ASCII functions treat the same bytes and leave an empty word beside white
+    space at a text's ends."""
+    texts = pc.fill_null(pc.cast(texts, pa.string(), safe=False), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    begin = np.asarray(lists.offsets, np.int64)
+    begin = begin - begin[0]
+    coded = lists.flatten().dictionary_encode()
+    at, words = np.asarray(coded.indices), pc.cast(coded.dictionary, pa.binary())
+    size = np.asarray(pc.binary_length(words))
+    empty = np.flatnonzero(size == 0)
+    if len(empty):
+        kept = at != empty[0]
+        begin = np.append(0, np.cumsum(kept))[begin]
+        at = at[kept]
+    if size.max(initial=0) > LONG:
+        words = pa.array(_keys(_list(words)), pa.binary())
+    return at, words, begin
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``_BYTES`` of text in the first column, or of one row."""
+    for b in batches:
+        end = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(b.column(0)), 0), np.int64))
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(int(np.searchsorted(end, (end[lo - 1] if lo else 0) + _BYTES, side="right")), lo + 1)
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
+def _list(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def _tail(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % TAILS
 
@@ -86,20 +130,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word binary, c long) over all rows of a one-column frame of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-            seen.clear()
-            return out
-
-        for b in batches:
-            for t in b.column(0):
-                seen.update(_words(t.as_py()))
-                if len(seen) > _FLUSH:
-                    yield flush()
+        seen, size = [], 0
+
+        def merged() -> pa.Table:
+            return pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("c", "sum")]).select(["word", "c_sum"]).rename_columns(["word", "c"])
+
+        for b in _slices(batches):
+            at, words, _ = _split(b.column(0))
+            c = np.bincount(at, minlength=len(words))
+            seen.append(pa.table({"word": words, "c": c}).filter(pa.array(c > 0)))
+            size += seen[-1].num_rows
+            if size > _FLUSH:
+                seen = [merged()]
+                if 2 * seen[0].num_rows > _FLUSH:
+                    yield from seen[0].to_batches()
+                    seen = []
+                size = sum(t.num_rows for t in seen)
         if seen:
-            yield flush()
+            yield from merged().to_batches()
 
     text = F.col(texts.columns[0]).cast("string").cast("binary")
     return texts.select(text).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -183,8 +231,33 @@ def _starts(s: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
 
 
+def _sums(x: np.ndarray, begin: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
+    """``np.add.reduceat`` over the rows of ``x`` (taken in ``order``). That costs a loop per
+    run and column, so runs of one and of two rows, which are most, are added at once."""
+    row = (lambda i: x.take(i, 0)) if order is None else (lambda i: x.take(order[i], 0))
+    sizes = np.diff(np.append(begin, len(x)))
+    out = row(begin)
+    two = np.flatnonzero(sizes == 2)
+    out[two] += row(begin[two] + 1)
+    more = np.flatnonzero(sizes > 2)
+    if len(more):
+        k = sizes[more]
+        at = np.cumsum(k) - k
+        out[more] = np.add.reduceat(row(np.repeat(begin[more] - at, k) + np.arange(k.sum())), at, axis=0)
+    return out
+
+
+def _records(a: np.ndarray) -> np.ndarray:
+    """The rows of a contiguous array as single items, which numpy sets faster."""
+    return a.view(np.dtype((np.void, a.strides[0]))).reshape(-1) if a.ndim == 2 else a
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place."""
+    np.minimum(np.maximum(x, -30, out=x), 30, out=x)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 class Trainer:
@@ -200,13 +273,19 @@ class Trainer:
         self.rng = np.random.default_rng(seed)
         self.tokens = 0
 
-    def _adagrad(self, i: int, g: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+    def _adagrad(self, i: int, g: np.ndarray, rows: np.ndarray | None = None) -> None:
         acc = g * g
-        acc += self.g[i][rows]
-        self.g[i][rows] = acc
+        acc += self.g[i] if rows is None else self.g[i].take(rows, 0)
+        if rows is None:
+            self.g[i][:] = acc
+        else:
+            _records(self.g[i])[rows] = _records(acc)
         g *= np.float32(RATE)
         g /= np.sqrt(acc, out=acc)
-        self.p[i][rows] -= g
+        if rows is None:
+            self.p[i] -= g
+        else:
+            _records(self.p[i])[rows] = _records(self.p[i].take(rows, 0) - g)
 
     def step(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> None:
         """One batch, in the order of ``w``, hence of its classes."""
@@ -241,7 +320,11 @@ class Trainer:
         at = np.arange(n) - lo
         for _ in range(INNER):
             turn = np.repeat(self.rng.integers(0, sizes), sizes)
-            other, back = lo + (at + turn) % size, lo + (at - turn) % size              # a rotation of each class
+            other, back = at + turn, at - turn                                          # a rotation of each class
+            other -= np.where(other >= size, size, 0)
+            back += np.where(back < 0, size, 0)
+            other += lo
+            back += lo
             x = e.take(other, 0)
             d = _sigmoid(np.einsum("ij,ij->i", h, x) + shift[other])
             x *= d[:, None]
@@ -255,8 +338,8 @@ class Trainer:
         order = _order(both, len(ctx))
         used = both[order]
         begin = _starts(used)
-        self._adagrad(0, np.add.reduceat(np.concatenate((dh @ c1.T, dh @ c2.T)).take(order, 0), begin, axis=0), used[begin])
-        self._adagrad(1, np.add.reduceat(g_rows, first, axis=0), rows)
+        self._adagrad(0, _sums(np.concatenate((dh @ c1.T, dh @ c2.T)), begin, order), used[begin])
+        self._adagrad(1, _sums(g_rows, first), rows)
         self._adagrad(2, g_tops)
         self._adagrad(3, (r1.T @ dh) / np.float32(n))
         self._adagrad(4, (r2.T @ dh) / np.float32(n))
@@ -286,33 +369,48 @@ class _Numbers(dict):
     """Ids of words; a word without one has -1 - its tail."""
 
     def __missing__(self, word: bytes) -> int:
-        return -1 - _tail(word)
+        return -1 - zlib.crc32(word[-3:]) % TAILS
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], number: _Numbers, rest: bool = False) -> Iterator:
     """(record batches, ids, starts, words without a number) in chunks of about
-    _CHUNK tokens of whole texts; the words only if ``rest``, one list a text."""
+    _CHUNK tokens of whole texts; the words only if ``rest``, one list of (word, tf) a
+    text, as arrays to concatenate."""
     get, end = number.__getitem__, number[END]
     parts, ids, starts, unknown, at = [], [], [], [], 0
-    for b in batches:
+    for b in _slices(batches):
+        place, words, begin = _split(b.column(0))
+        known = np.fromiter(map(get, _list(words)), np.int64, len(words))
+        more = _unknown(place, words, begin, known < 0) if rest else None
+        n = np.diff(begin)
+        begin = begin + np.arange(len(begin))                    # an end follows each text's words
+        x = np.full(begin[-1], end, np.int64)
+        x[np.arange(len(place)) + np.repeat(np.arange(len(n)), n)] = known[place]
         lo = 0
-        for i, t in enumerate(b.column(0)):
-            words = _words(t.as_py())
-            x = list(map(get, words))
+        while lo < b.num_rows:
+            hi = min(int(np.searchsorted(begin, begin[lo] + _CHUNK - at)), b.num_rows)
+            parts.append(b.slice(lo, hi - lo))
+            ids.append(x[begin[lo]:begin[hi]])
+            starts.append(begin[lo:hi] - begin[lo] + at)
             if rest:
-                unknown.append([w for w, k in zip(words, x, strict=True) if k < 0])
-            x.append(end)
-            ids.append(np.array(x, np.int64))
-            starts.append(at)
-            at += len(x)
+                unknown.append(more.slice(lo, hi - lo))
+            at += len(ids[-1])
+            lo = hi
             if at >= _CHUNK:
-                parts.append(b.slice(lo, i + 1 - lo))
-                yield parts, np.concatenate(ids), np.array(starts), unknown
-                parts, ids, starts, unknown, at, lo = [], [], [], [], 0, i + 1
-        if lo < b.num_rows:
-            parts.append(b.slice(lo))
+                yield parts, np.concatenate(ids), np.concatenate(starts), unknown
+                parts, ids, starts, unknown, at = [], [], [], [], 0
     if ids:
-        yield parts, np.concatenate(ids), np.array(starts), unknown
+        yield parts, np.concatenate(ids), np.concatenate(starts), unknown
+
+
+def _unknown(place: np.ndarray, words: pa.Array, begin: np.ndarray, missing: np.ndarray) -> pa.ListArray:
+    """(word, tf) of each text's distinct ``missing`` words."""
+    text = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+    there = missing[place]
+    key, tf = np.unique(text[there] * len(words) + place[there], return_counts=True)
+    cut = np.searchsorted(key, np.arange(len(begin)) * len(words))
+    return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays(
+        [words.take(pa.array(key % max(len(words), 1))), pa.array(tf, pa.int32())], ["word", "tf"]))
 
 
 def _pack(params: list[np.ndarray]) -> np.ndarray:
@@ -451,19 +549,11 @@ def score(docs: DataFrame, text: str, keep: list[str], c: Counts, model: Model)
             w2, w1 = contexts(w, starts, m.vocab[END])
             lp = scorer(w2, w1, w) / math.log(10) + np.where(outside, logc[ids] - tail_den[tail], 0)
             n = np.diff(np.append(starts, len(ids)))
-            words, tf, cut = [], [], [0]
-            for u in unknown:
-                seen = Counter(u)
-                words += seen.keys()
-                tf += seen.values()
-                cut.append(len(words))
-            rest = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(tf, pa.int32())], ["word", "tf"]))
             table = pa.Table.from_batches(parts).combine_chunks()
             yield pa.RecordBatch.from_arrays(
                 [*[table.column(j).chunk(0) for j in range(1, table.num_columns)], pa.array(n, pa.int64()),
                  pa.array(np.add.reduceat(known[ids], starts)), pa.array(np.add.reduceat(logc[ids], starts)),
-                 pa.array(np.add.reduceat(lp, starts)), rest],
+                 pa.array(np.add.reduceat(lp, starts)), pa.concat_arrays(unknown)],
                 [*keep, "n_tokens", "k", "s", "lp", "rest"])
 
     types = ", ".join(f"`{f}` {docs.schema[f].dataType.simpleString()}" for f in keep)

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,43 @@ def test_empty_training(spark):
     assert lbl.train_and_score(df.limit(0), F.lit(True))[0].count() == 0
 
 
+ODD = [None, b"", b" ", b"\t\n\x0b\x0c\r a\x1cB\x1d \x1e\x1fC\xc2\x85d\xc2\xa0 \xc3\x89 \x00 e", b"a  b", b" a A ", b"\xff\xfe A\xff",
+       b"x" * 60 + b" Y " + b"X" * 60 + b" " + b"z" * 49 + b" " + b"z" * 48, b"a " * 500, b"b"]
+
+
+def test_texts_are_encoded_by_distinct_word(monkeypatch):
+    asked = []
+
+    class Numbers(lbl._Numbers):
+        def __missing__(self, word):
+            asked.append(word)
+            return super().__missing__(word)
+
+    want = [lbl._words(t) for t in ODD]
+    for rows, chunk, size in ((100, 1 << 18, 1 << 20), (3, 7, 1 << 20), (100, 1 << 18, 20)):
+        monkeypatch.setattr(lbl, "_CHUNK", chunk)
+        monkeypatch.setattr(lbl, "_BYTES", size)
+        all_ = pa.RecordBatch.from_arrays([pa.array(ODD, pa.binary()), pa.array(range(len(ODD)))], ["t", "i"])
+        batches = [all_.slice(i, rows) for i in range(0, len(ODD), rows)]
+        asked.clear()
+        out = list(lbl._encoded(iter(batches), Numbers({lbl.END: 0, b"a": 1}), rest=True))
+        if size > 1000 and rows == 100:
+            assert len(asked) == len(set(asked))                 # once for a batch's distinct words
+        ids = [x.tolist() for _, i, s, _ in out for x in np.split(i, s[1:])]
+        assert ids == [[1 if w == b"a" else -1 - lbl._tail(w) for w in x] + [0] for x in want]
+        assert [v for p, *_ in out for b in p for v in b.column(1).to_pylist()] == list(range(len(ODD)))
+        rest = [v for *_, u in out for v in pa.concat_arrays(u).to_pylist()]
+        assert [{x["word"]: x["tf"] for x in v} for v in rest] == [Counter(w for w in x if w != b"a") for x in want]
+
+
+def test_sums_equal_reduceat():
+    rng = np.random.default_rng(3)
+    x, ids = rng.normal(size=(500, 5)).astype(np.float32), np.sort((200 ** rng.random(500)).astype(int))
+    order, begin = rng.permutation(500), lbl._starts(ids)
+    assert (lbl._sums(x, begin) == np.add.reduceat(x, begin, axis=0)).all()
+    assert (lbl._sums(x, begin, order) == np.add.reduceat(x[order], begin, axis=0)).all()
+
+
 def test_query_on_documents(spark):
     sf = "/root/testdata/sf0.01"
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
