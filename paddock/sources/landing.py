@@ -117,7 +117,9 @@ def land_races(entries: DataFrame, path: str, chunk: int = 500) -> None:
 
 def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500) -> None:
     """Write entity pages: results newest first, in chunks, partitioned by the
-    date of the page's newest result."""
+    date of the page's newest result. Pages repeat their field names in every
+    result, so their files are compressed; a file is what one task of the
+    rebalanced shuffle writes of a date, so no reader gets a large one whole."""
     order = [desc("race_date"), desc("race_id"), desc("ln")]
     e = with_position(entries, [entity], order, name="_k")
     e = e.withColumn("chunk", F.floor(F.col("_k") / chunk).cast("int"))
@@ -133,5 +135,5 @@ def land_pages(entries: DataFrame, path: str, entity: str, chunk: int = 500) ->
 
     g.hint("rebalance", "page_date").select(
         F.col("_entity").cast("string").alias("entity_id"), "chunk", F.transform("_rs", result).alias("results"), "page_date") \
-     .write.mode("overwrite").partitionBy("page_date").json(path)
+     .write.mode("overwrite").option("compression", "gzip").partitionBy("page_date").json(path)
 
