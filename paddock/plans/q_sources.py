@@ -146,10 +146,11 @@ FROM train WHERE race_id IN (SELECT race_id FROM entries WHERE year(race_date) =
 def q_feature_table_join(spark, sf):
     """A14 + A15, clustered: features and results in tables bucketed by race, a year's
     races reduced and joined by race without another shuffle of either table."""
-    t = staged(extract(training(spark, sf), ["horse"]), "feature-table")
+    ids = ["race_id", "horse_id", "ln"]
+    # both tables come from one written frame, which holds the columns of the two and no more
+    t = staged(extract(training(spark, sf), ["horse"]).select(*ids, "race_date", "finish_position", "feat_avg_finish"), "feature-table")
     tag = uuid.uuid4().hex[:12]
     names = [f"features_{tag}", f"results_{tag}"]
-    ids = ["race_id", "horse_id", "ln"]
     parts = [t.select(*ids, F.round("feat_avg_finish", 6).alias("feat_avg_finish")), t.select(*ids, "race_date", "finish_position")]
     for name, part in zip(names, parts, strict=True):
         K.save_feature_table(part, name, scratch_dir(spark, name), buckets=FEATURE_BUCKETS)
